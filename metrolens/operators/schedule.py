@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from metrolens.functions.numeric import half_up_div
 from metrolens.functions.timeparse import SECONDS_PER_DAY, hms_seconds, seconds_of_day
+from metrolens.session import ensure_checkpoint_dir
 
 TIMETABLE_KEY = ["stop_zespol", "stop_slupek", "line"]
 
@@ -114,7 +115,7 @@ def resolve_departures(ping_seconds: DataFrame, departures: DataFrame, keys: lis
 
 
 def nearest_departure(matches: DataFrame, timetable: DataFrame, on: list[str] | None = None,
-                      wrap: bool = False) -> DataFrame:
+                      wrap: bool = False, materialize: bool = True) -> DataFrame:
     """Attach the nearest scheduled departure to each matched ping.
 
     matches: rows with `on` keys and event_ts. timetable: (on..., pos, time_text,
@@ -124,7 +125,13 @@ def nearest_departure(matches: DataFrame, timetable: DataFrame, on: list[str] |
     measures around the clock.
     """
     keys = list(on or TIMETABLE_KEY)
+    # The matched pings are used twice (distinct asks, join back). They are
+    # checkpointed to the shared checkpoint folder so the upstream nearest-stop work
+    # runs once and a lost executor re-reads them instead of recomputing the chain.
     m = matches.withColumn("_t", seconds_of_day("event_ts"))
+    if materialize:
+        ensure_checkpoint_dir(m.sparkSession)
+        m = m.checkpoint(eager=True)
     deps = parse_timetable(timetable, keys)
     asks = m.select(*keys, F.col("_t").alias("s")).distinct()
     best = resolve_departures(asks, deps, keys, wrap=wrap)
