@@ -41,10 +41,8 @@ def half_up_div(num: Column, den: Column) -> Column:
 
 def exact_avg(col, digits: int = 2, scale: int = 2) -> Column:
     """Aggregate: avg(col) rounded HALF_UP to `digits`, for values with <= `scale` decimals."""
-    if scale < digits:
-        raise ValueError("scale must be >= digits")
-    total = F.sum(units(col, scale))
-    n = F.count(_c(col)) * F.lit(10 ** (scale - digits))
+    total = F.sum(units(col, scale)) * F.lit(10 ** max(digits - scale, 0))
+    n = F.nullif(F.count(_c(col)), F.lit(0)) * F.lit(10 ** max(scale - digits, 0))
     return (half_up_div(total, n).cast("double") / F.lit(float(10 ** digits)))
 
 
@@ -52,7 +50,7 @@ def exact_mean(col, scale: int = 2) -> Column:
     """Aggregate: unrounded avg(col) as one division of exact integers."""
     total = F.sum(units(col, scale)).cast("double")
     n = (F.count(_c(col)) * F.lit(10 ** scale)).cast("double")
-    return total / n
+    return total / F.nullif(n, F.lit(0.0))
 
 
 def exact_round(col, digits: int = 2, scale: int = 4) -> Column:

@@ -1,7 +1,9 @@
 """The registered query catalog: name -> fn(spark, sf_dir) -> DataFrame.
 
 Every query reads the test tables through metrolens.sources.fixtures, so its work
-grows with them. Queries are built lazily; nothing is collected here.
+grows with them. Queries are built lazily; nothing is collected here (the only
+actions at build time are the bounded size check before a broadcast and the
+checkpoint of matched pings).
 """
 
 from __future__ import annotations
@@ -9,27 +11,297 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from metrolens.operators.delays import line_delay_summary
-from metrolens.operators.nearest import MAX_DISTANCE_METERS, nearest_stop, normalize_stops
-from metrolens.operators.schedule import nearest_departure
+from metrolens.functions.labels import hour_rowkey, line_rowkey, station_day_rowkey
+from metrolens.functions.timeparse import dt_to_day, hour_stamp
+from metrolens.operators import air, delays, keyed, report, weather
+from metrolens.operators.clean import clean_pings, latest_per_key, ping_slice
+from metrolens.operators.common import dedupe
+from metrolens.operators.nearest import MAX_DISTANCE_METERS, nearest_stop, normalize_stops, stop_line_pairs
+from metrolens.operators.quality import step_counts
+from metrolens.operators.schedule import nearest_departure, parse_timetable, punctuality, timetable_explode
 from metrolens.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Parameters of the registered queries (the reference passes these on the command line).
+SLICE_DT, SLICE_HOUR, SLICE_LINES = "20240110", 8, ["click", "view"]
+WEATHER_DT = "2024-01-10"
+AIR_SINCE = "2024-01-03"
+REPORT_DAY = "2024-01-10"
+EARLIER_RADIUS_M = 500.0
+SCAN_LIMIT = 10
+GET_KEY = "20240110_08_click"
+AIR_PARAMETERS = ["no2", "o3", "pm10", "pm25", "so2", "temperature"]
 
-def matched_pings(spark: SparkSession, sf_dir: str, radius_m: float = MAX_DISTANCE_METERS) -> DataFrame:
+
+# -- shared sub-plans -------------------------------------------------------------------
+
+def matched_pings(spark, sf_dir, radius_m=MAX_DISTANCE_METERS):
     return nearest_stop(fx.pings(spark, sf_dir), normalize_stops(fx.stops(spark, sf_dir)), radius_m)
 
 
-def departures(spark: SparkSession, sf_dir: str, radius_m: float = MAX_DISTANCE_METERS) -> DataFrame:
+def departures(spark, sf_dir, radius_m=MAX_DISTANCE_METERS):
     return nearest_departure(matched_pings(spark, sf_dir, radius_m), fx.timetable(spark, sf_dir))
 
 
+def summary(spark, sf_dir, radius_m=MAX_DISTANCE_METERS):
+    return delays.line_delay_summary(departures(spark, sf_dir, radius_m))
+
+
+def weather_obs(spark, sf_dir):
+    return weather.with_event_time(fx.weather(spark, sf_dir))
+
+
+def summary_cells(spark, sf_dir, radius_m, version):
+    s = summary(spark, sf_dir, radius_m)
+    return keyed.to_cells(s, line_rowkey("dt", "hour", "line"),
+                          {"cf": ["line", "dt", "hour", "avg_time_diff_minutes",
+                                  "measurement_count", "total_time_diff"]}, version=version)
+
+
+# -- clean ------------------------------------------------------------------------------
+
+def q_ping_slice(spark, sf_dir):
+    return ping_slice(fx.pings(spark, sf_dir), SLICE_DT, SLICE_HOUR, SLICE_LINES)
+
+
+def q_weather_slice(spark, sf_dir):
+    return weather.weather_slice(fx.weather(spark, sf_dir), WEATHER_DT)
+
+
+def q_bus_clean(spark, sf_dir):
+    return clean_pings(fx.raw_pings(spark, sf_dir))
+
+
+def q_latest_per_key(spark, sf_dir):
+    p = fx.pings(spark, sf_dir).withColumn(
+        "event_ts", F.date_trunc("hour", "event_ts").cast("timestamp_ntz"))
+    return latest_per_key(p.select("vehicle_number", "event_ts", "ingest_ms", "line", "lat", "lon"),
+                          ["vehicle_number", "event_ts"])
+
+
+def q_dedupe_by_key(spark, sf_dir):
+    return weather.dedupe_observations(fx.weather(spark, sf_dir))
+
+
+def q_quality_counts(spark, sf_dir):
+    return step_counts(fx.raw_pings(spark, sf_dir))
+
+
+def q_partition_counts(spark, sf_dir):
+    return air.partition_counts(fx.air_quality(spark, sf_dir), "date")
+
+
+def q_dimension_values(spark, sf_dir):
+    return air.dimension_values(fx.air_quality(spark, sf_dir))
+
+
+# -- geo + schedule ---------------------------------------------------------------------
+
+def q_stops_normalized(spark, sf_dir):
+    return normalize_stops(fx.stops(spark, sf_dir))
+
+
+def q_nearest_stop(spark, sf_dir):
+    return matched_pings(spark, sf_dir)
+
+
+def q_stop_line_pairs(spark, sf_dir):
+    return stop_line_pairs(matched_pings(spark, sf_dir))
+
+
+def q_timetable_explode(spark, sf_dir):
+    tt = timetable_explode(fx.timetable_payloads(spark, sf_dir), "payload", pos_base="feed_id")
+    return parse_timetable(tt)
+
+
+def q_nearest_departure(spark, sf_dir):
+    return departures(spark, sf_dir)
+
+
+def q_punctuality(spark, sf_dir):
+    return punctuality(departures(spark, sf_dir))
+
+
+# -- delays -----------------------------------------------------------------------------
+
 def q_line_delay_summary(spark, sf_dir):
-    return line_delay_summary(departures(spark, sf_dir))
+    return summary(spark, sf_dir)
+
+
+def q_line_delay_ranked(spark, sf_dir):
+    return delays.line_delay_ranked(summary(spark, sf_dir))
+
+
+def q_top_lines(spark, sf_dir):
+    return delays.top_lines(summary(spark, sf_dir), 10)
+
+
+def q_delay_corr(spark, sf_dir):
+    return delays.delay_corr(summary(spark, sf_dir))
+
+
+def q_delay_pairs(spark, sf_dir):
+    return delays.delay_pairs(summary(spark, sf_dir))
+
+
+# -- weather ----------------------------------------------------------------------------
+
+def q_weather_basic(spark, sf_dir):
+    return weather.weather_basic(fx.weather(spark, sf_dir))
+
+
+def q_weather_by_condition(spark, sf_dir):
+    return weather.weather_by_condition(fx.weather(spark, sf_dir))
+
+
+def q_weather_hourly(spark, sf_dir):
+    return weather.weather_hourly(weather_obs(spark, sf_dir))
+
+
+def q_precip_stats(spark, sf_dir):
+    return weather.precip_stats(fx.weather(spark, sf_dir))
+
+
+def q_weather_daily(spark, sf_dir):
+    return weather.weather_daily(fx.weather(spark, sf_dir))
+
+
+def q_weather_gauges(spark, sf_dir):
+    return weather.weather_gauges(weather.weather_daily(fx.weather(spark, sf_dir)))
+
+
+def q_restamp_report(spark, sf_dir):
+    return weather.restamp_daily(fx.weather(spark, sf_dir), REPORT_DAY)
+
+
+def q_hour_stamp(spark, sf_dir):
+    s = summary(spark, sf_dir)
+    return s.select(hour_stamp(dt_to_day("dt"), "hour").alias("timestamp"), "hour",
+                    F.col("line").alias("line_number"),
+                    F.col("avg_time_diff_minutes").alias("metric_val"),
+                    F.col("measurement_count").alias("count"))
+
+
+def q_day_slice(spark, sf_dir):
+    return air.day_slice(fx.air_quality(spark, sf_dir), REPORT_DAY)
+
+
+# -- air quality ------------------------------------------------------------------------
+
+def q_aq_station_avg(spark, sf_dir):
+    return air.station_average(fx.air_quality(spark, sf_dir), AIR_SINCE)
+
+
+def q_aq_pivot(spark, sf_dir):
+    return air.pivot_daily(fx.air_quality(spark, sf_dir), AIR_SINCE, AIR_PARAMETERS)
+
+
+def q_aq_corr_matrix(spark, sf_dir):
+    return air.correlation_matrix(fx.air_quality(spark, sf_dir), AIR_SINCE)
+
+
+def q_aq_map(spark, sf_dir):
+    return air.map_points(fx.air_quality(spark, sf_dir), AIR_SINCE)
+
+
+def q_box_stats(spark, sf_dir):
+    return air.box_stats(fx.air_quality(spark, sf_dir), AIR_SINCE, "pm25")
+
+
+def q_aq_series(spark, sf_dir):
+    return air.series(fx.air_quality(spark, sf_dir), AIR_SINCE)
+
+
+def q_pm_bands(spark, sf_dir):
+    return air.pm_bands(fx.air_quality(spark, sf_dir), "pm25")
+
+
+def q_sensor_means(spark, sf_dir):
+    return air.sensor_means(fx.air_quality(spark, sf_dir))
+
+
+# -- keyed tables -----------------------------------------------------------------------
+
+def q_keyed_upsert(spark, sf_dir):
+    earlier = summary_cells(spark, sf_dir, EARLIER_RADIUS_M, version=1)
+    latest = summary_cells(spark, sf_dir, MAX_DISTANCE_METERS, version=2)
+    return keyed.upsert_cells(earlier, latest)
+
+
+def q_weather_keyed(spark, sf_dir):
+    h = weather.weather_hourly(weather_obs(spark, sf_dir))
+    return keyed.to_cells(h, hour_rowkey("dt", "hour"),
+                          {"cf": ["dt", "hour", "measurement_count", "avg_temp", "avg_humidity",
+                                  "avg_wind_speed", "avg_pressure"]})
+
+
+def q_aq_cells(spark, sf_dir):
+    p = air.pivot_daily(fx.air_quality(spark, sf_dir), AIR_SINCE, AIR_PARAMETERS)
+    p = p.withColumnRenamed("location_name", "location").withColumnRenamed("day", "date")
+    return keyed.to_cells(p, station_day_rowkey("location", "date"),
+                          {"meta": ["location", "date"], "stats": AIR_PARAMETERS})
+
+
+def q_keyed_scan(spark, sf_dir):
+    return keyed.keyed_scan(summary_cells(spark, sf_dir, MAX_DISTANCE_METERS, None), SCAN_LIMIT)
+
+
+def q_keyed_get(spark, sf_dir):
+    return keyed.keyed_get(summary_cells(spark, sf_dir, MAX_DISTANCE_METERS, None), GET_KEY)
+
+
+# -- report -----------------------------------------------------------------------------
+
+def q_city_report(spark, sf_dir):
+    wd = weather.weather_daily(fx.weather(spark, sf_dir))
+    readings = air.daily_readings(fx.air_quality(spark, sf_dir))
+    return report.city_report(wd, readings, summary(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
+    "ping_slice": q_ping_slice,
+    "weather_slice": q_weather_slice,
+    "bus_clean": q_bus_clean,
+    "latest_per_key": q_latest_per_key,
+    "dedupe_by_key": q_dedupe_by_key,
+    "quality_counts": q_quality_counts,
+    "partition_counts": q_partition_counts,
+    "dimension_values": q_dimension_values,
+    "stops_normalized": q_stops_normalized,
+    "nearest_stop": q_nearest_stop,
+    "stop_line_pairs": q_stop_line_pairs,
+    "timetable_explode": q_timetable_explode,
+    "nearest_departure": q_nearest_departure,
+    "punctuality": q_punctuality,
     "line_delay_summary": q_line_delay_summary,
+    "line_delay_ranked": q_line_delay_ranked,
+    "top_lines": q_top_lines,
+    "delay_corr": q_delay_corr,
+    "delay_pairs": q_delay_pairs,
+    "weather_basic": q_weather_basic,
+    "weather_by_condition": q_weather_by_condition,
+    "weather_hourly": q_weather_hourly,
+    "precip_stats": q_precip_stats,
+    "weather_daily": q_weather_daily,
+    "weather_gauges": q_weather_gauges,
+    "restamp_report": q_restamp_report,
+    "hour_stamp": q_hour_stamp,
+    "day_slice": q_day_slice,
+    "aq_station_avg": q_aq_station_avg,
+    "aq_pivot": q_aq_pivot,
+    "aq_corr_matrix": q_aq_corr_matrix,
+    "aq_map": q_aq_map,
+    "box_stats": q_box_stats,
+    "aq_series": q_aq_series,
+    "pm_bands": q_pm_bands,
+    "sensor_means": q_sensor_means,
+    "keyed_upsert": q_keyed_upsert,
+    "weather_keyed": q_weather_keyed,
+    "aq_cells": q_aq_cells,
+    "keyed_scan": q_keyed_scan,
+    "keyed_get": q_keyed_get,
+    "city_report": q_city_report,
 }

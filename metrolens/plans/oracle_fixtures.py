@@ -75,6 +75,10 @@ SELECT stop_zespol, stop_slupek, line, pos,
 FROM tt_base"""
 
 # Independent parse of 'H:M:S' entries: hour folded % 24, minute/second 0..59.
+def parsed_from(src: str) -> str:
+    return TIMETABLE_PARSED.replace("FROM timetable))", f"FROM {src}))")
+
+
 TIMETABLE_PARSED = """
 SELECT stop_zespol, stop_slupek, line, pos, direction,
        ((h % 24) + 24) % 24 * 3600 + m * 60 + s AS sec,
@@ -162,7 +166,42 @@ SELECT line, dt, CAST(hr AS INTEGER) AS hour,
 FROM (SELECT *, CAST(round(time_diff_minutes * 100) AS BIGINT) AS c FROM departed)
 GROUP BY line, dt, hr"""
 
+FEED_ITEMS = f"""
+SELECT stop_zespol, stop_slupek, line, pos * 1024 AS pos, {hms("sec_raw")} AS time_text, direction FROM tt_base
+UNION ALL
+SELECT stop_zespol, stop_slupek, line, pos * 1024 + 1 AS pos, {hms("(sec_raw + 1800) % 90000")} AS time_text,
+       '' AS direction FROM tt_base"""
+
+CLEAN_STD = """
+SELECT Lines AS line, VehicleNumber AS vehicle_number, Brigade AS brigade, Lat AS lat, Lon AS lon,
+       date_trunc('second', make_timestamp("Time" * 1000)) AS event_ts, ingest_time AS ingest_ms,
+       dt AS src_dt, hr AS src_hr
+FROM raw_pings"""
+
+CLEAN_VALID = """
+SELECT line, vehicle_number, brigade, lat, lon, event_ts, ingest_ms,
+       strftime(event_ts, '%Y%m%d') AS dt, strftime(event_ts, '%H') AS hr
+FROM clean_std
+WHERE src_dt IS NOT NULL AND src_hr IS NOT NULL
+  AND vehicle_number IS NOT NULL AND length(vehicle_number) > 0
+  AND lat IS NOT NULL AND lon IS NOT NULL AND lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180
+  AND event_ts IS NOT NULL"""
+
+CLEANED = """
+SELECT line, vehicle_number, brigade, lat, lon, event_ts, ingest_ms, dt, hr
+FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_number, event_ts
+        ORDER BY ingest_ms DESC NULLS LAST, line ASC NULLS LAST, brigade ASC NULLS LAST,
+                 lat ASC NULLS LAST, lon ASC NULLS LAST, ingest_ms ASC NULLS LAST,
+                 dt ASC NULLS LAST, hr ASC NULLS LAST) AS rn
+      FROM clean_valid)
+WHERE rn = 1"""
+
 CTES = {
+    "feed_items": FEED_ITEMS,
+    "feed_parsed": parsed_from("feed_items"),
+    "clean_std": CLEAN_STD,
+    "clean_valid": CLEAN_VALID,
+    "cleaned": CLEANED,
     "pings": PINGS,
     "raw_pings": RAW_PINGS,
     "stops_raw": STOPS_RAW,
@@ -180,6 +219,11 @@ CTES = {
 
 # Dependencies between the CTEs above (so each query only carries what it uses).
 DEPENDS = {
+    "feed_items": ["tt_base"],
+    "feed_parsed": ["feed_items"],
+    "clean_std": ["raw_pings"],
+    "clean_valid": ["clean_std"],
+    "cleaned": ["clean_valid"],
     "stops": ["stops_raw"],
     "timetable": ["tt_base"],
     "tt_parsed": ["timetable"],
@@ -190,7 +234,7 @@ DEPENDS = {
 }
 
 
-def with_ctes(body: str, *names: str) -> str:
+def with_ctes(body: str, *names: str, extra_ctes: dict | None = None) -> str:
     """Prefix `body` with the named fixture CTEs (and their dependencies, in order)."""
     order: list[str] = []
 
@@ -202,7 +246,20 @@ def with_ctes(body: str, *names: str) -> str:
 
     for n in names:
         visit(n)
-    if not order:
+    if not order and not extra_ctes:
         return body.strip()
     ctes = ",\n".join(f"{n} AS ({CTES[n].strip()})" for n in order)
+    extra = ",\n".join(f"{n} AS ({q.strip()})" for n, q in (extra_ctes or {}).items())
+    if extra:
+        ctes = ctes + ",\n" + extra
     return f"WITH {ctes}\n{body.strip()}"
+
+
+def chain_ctes(radius_m: float, suffix: str) -> dict:
+    """The nearest-stop -> departure -> summary chain at another radius, as extra CTEs."""
+    r = repr(float(radius_m))
+    return {
+        f"nearest{suffix}": NEAREST.replace("nearest_pairs WHERE d <= 700.0", f"nearest_pairs WHERE d <= {r}"),
+        f"departed{suffix}": DEPARTED.replace("FROM nearest n JOIN", f"FROM nearest{suffix} n JOIN"),
+        f"summary{suffix}": SUMMARY.replace("FROM departed)", f"FROM departed{suffix})"),
+    }

@@ -27,6 +27,7 @@ def build_session(master: str = "local[8]", app: str = "metrolens",
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = "16g"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
