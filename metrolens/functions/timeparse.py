@@ -36,7 +36,17 @@ def epoch_ms(col) -> Column:
 
 
 def truncate_second(col) -> Column:
-    return F.date_trunc("second", _c(col))
+    """Drop sub-second digits of a TIMESTAMP_NTZ (zone-free; date_trunc would return
+    a session-zone TIMESTAMP)."""
+    c = _c(col)
+    micros = F.timestamp_diff("MICROSECOND", _epoch(), c)
+    return F.timestamp_add("MICROSECOND", -F.pmod(micros, F.lit(1000000)), c)
+
+
+def truncate_hour(col) -> Column:
+    c = _c(col)
+    micros = F.timestamp_diff("MICROSECOND", _epoch(), c)
+    return F.timestamp_add("MICROSECOND", -F.pmod(micros, F.lit(3600 * 1000000)), c)
 
 
 def seconds_of_day(col) -> Column:
@@ -86,24 +96,24 @@ def dt_to_day(col) -> Column:
     return F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2))
 
 
-def hms_seconds(col) -> tuple[Column, Column]:
-    """Parse an 'H:M:S' timetable entry.
+# Fixed value: a timetable time entry that parses (hour of up to 9 digits, optionally
+# signed and padded; minute and second 0..59 with one or two digits).
+HMS_PATTERN = r"^\s*[+-]?\d{1,9}\s*:[0-5]?\d:[0-5]?\d$"
 
-    Returns (seconds_of_day, normalised text). Hours of 24 and more fold with % 24;
-    minutes and seconds must be 0..59; anything else (empty, '8h', missing parts)
-    gives NULL so the entry is skipped. The text keeps the minute and second parts as
-    written and zero-pads the folded hour.
-    """
-    c = _c(col)
-    parts = F.split(c, ":")
-    ok_shape = (F.size(parts) == 3)
-    h = F.try_element_at(parts, F.lit(1)).try_cast("int")
-    m = F.try_element_at(parts, F.lit(2)).try_cast("int")
-    s = F.try_element_at(parts, F.lit(3)).try_cast("int")
-    valid = ok_shape & h.isNotNull() & m.between(0, 59) & s.between(0, 59)
-    hh = F.pmod(h, F.lit(24))
-    secs = F.when(valid, hh * 3600 + m * 60 + s)
-    text = F.when(valid, F.concat(F.lpad(hh.cast("string"), 2, "0"), F.lit(":"),
-                                  F.try_element_at(parts, F.lit(2)), F.lit(":"),
-                                  F.try_element_at(parts, F.lit(3))))
+
+def hms_valid(col) -> Column:
+    return F.coalesce(_c(col).rlike(HMS_PATTERN), F.lit(False))
+
+
+def hms_parts(col) -> tuple[Column, Column]:
+    """(seconds of day, normalised text) of an entry that satisfies hms_valid.
+
+    Hours of 24 and more fold with % 24; the text keeps the minute and second parts
+    as written and zero-pads the folded hour."""
+    parts = F.split(_c(col), ":")
+    hh = F.pmod(F.try_element_at(parts, F.lit(1)).try_cast("int"), F.lit(24))
+    mm = F.try_element_at(parts, F.lit(2))
+    ss = F.try_element_at(parts, F.lit(3))
+    secs = hh * 3600 + mm.try_cast("int") * 60 + ss.try_cast("int")
+    text = F.concat(F.lpad(hh.cast("string"), 2, "0"), F.lit(":"), mm, F.lit(":"), ss)
     return secs, text

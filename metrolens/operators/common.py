@@ -23,6 +23,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS)
     return F.broadcast(df) if n <= max_rows else df
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin `df` over at least `min_partitions` partitions (default: the
+    cluster's default parallelism) if it has fewer, before CPU-heavy per-row work.
+
+    A Parquet row group cannot be split, so an input of a few large row groups is
+    scanned by a few tasks; everything up to the next shuffle would run on them.
+    Inputs that already have enough splits (any large table) are returned unchanged,
+    so this adds no shuffle at scale.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def dedupe(df: DataFrame, keys: list[str] | None = None, order: list | None = None) -> DataFrame:
     """Keep one row per key.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metrolens.functions.labels import hour_rowkey, line_rowkey, station_day_rowkey
-from metrolens.functions.timeparse import dt_to_day, hour_stamp
+from metrolens.functions.timeparse import dt_to_day, hour_stamp, truncate_hour
 from metrolens.operators import air, delays, keyed, report, weather
 from metrolens.operators.clean import clean_pings, latest_per_key, ping_slice
 from metrolens.operators.common import dedupe
@@ -76,8 +76,7 @@ def q_bus_clean(spark, sf_dir):
 
 
 def q_latest_per_key(spark, sf_dir):
-    p = fx.pings(spark, sf_dir).withColumn(
-        "event_ts", F.date_trunc("hour", "event_ts").cast("timestamp_ntz"))
+    p = fx.pings(spark, sf_dir).withColumn("event_ts", truncate_hour("event_ts"))
     return latest_per_key(p.select("vehicle_number", "event_ts", "ingest_ms", "line", "lat", "lon"),
                           ["vehicle_number", "event_ts"])
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metrolens.functions.timeparse import FMT_DAY, epoch_ms, dt_key, hr_key
+from metrolens.functions.timeparse import FMT_DAY, dt_key, epoch_ms, hr_key, truncate_hour
 from metrolens.operators.nearest import pad_short
 
 
@@ -56,7 +56,7 @@ def raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     eid = F.col("event_id")
     stored = F.col("ts") + F.expr("INTERVAL 10 MINUTES")
-    t_ms = epoch_ms(F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")) + (eid % 7) * 100
+    t_ms = epoch_ms(truncate_hour("ts")) + (eid % 7) * 100
     return ev.select(
         F.when(eid % 61 == 0, F.lit(90.1)).otherwise(_ping_lat(eid)).alias("Lat"),
         F.when(eid % 67 == 0, F.lit(-180.1)).otherwise(_ping_lon(eid)).alias("Lon"),
