@@ -1,0 +1,88 @@
+import math
+
+from pyspark.sql import functions as F
+
+from metrolens.operators.nearest import nearest_stop, nearest_within, normalize_stops
+from tests.conftest import rows
+
+STOPS = "stop_id string, stop_code string, stop_name string, stop_lat double, stop_lon double"
+PINGS = "line string, vehicle_number string, brigade string, lat double, lon double, event_ts timestamp_ntz"
+DEG_M = 6371000.0 * math.pi / 180  # metres per degree of latitude
+
+
+def test_normalize_stop_ids(spark):
+    df = spark.createDataFrame([("7009_01", None, "A", 52.0, 21.0), ("7009", "3", "B", 52.0, 21.0),
+                                ("5", "12", "C", 52.0, 21.0), ("70011_2", None, "D", 52.0, 21.0),
+                                ("12_", None, "E", None, 21.0)], STOPS)
+    out = rows(normalize_stops(df), "stop_name", "stop_zespol", "stop_slupek")
+    assert out == [("A", "7009", "01"), ("B", "7009", "03"), ("C", "0005", "12"), ("D", "70011", "02"), ("E", "0012", "00")]
+
+
+def _ping(spark, lat=52.0, lon=21.0):
+    return spark.createDataFrame([("L1", "v1", "1", lat, lon, None)], PINGS).withColumn(
+        "event_ts", F.lit("2026-01-10 19:00:00").cast("timestamp_ntz"))
+
+
+def test_radius_edge_699_and_701(spark):
+    stops = spark.createDataFrame([("0001_01", None, "near", 52.0 + 699 / DEG_M, 21.0),
+                                   ("0002_01", None, "far", 52.0 + 701 / DEG_M, 21.0)], STOPS)
+    out = nearest_stop(_ping(spark), normalize_stops(stops)).collect()
+    assert len(out) == 1 and out[0]["stop_name"] == "near" and abs(out[0]["distance_m"] - 699.0) < 0.01
+    stops2 = stops.where("stop_name = 'far'")
+    assert nearest_stop(_ping(spark), normalize_stops(stops2)).count() == 0
+
+
+def test_null_coordinate_stop_does_not_hide_matches(spark):
+    stops = spark.createDataFrame([("0001_01", None, "nullpos", None, None),
+                                   ("0002_01", None, "real", 52.001, 21.0)], STOPS)
+    out = nearest_stop(_ping(spark), normalize_stops(stops)).collect()
+    assert [r["stop_name"] for r in out] == ["real"]
+
+
+def test_two_stops_same_position_smallest_id_wins(spark):
+    stops = spark.createDataFrame([("0009_01", None, "second", 52.001, 21.0),
+                                   ("0003_01", None, "first", 52.001, 21.0)], STOPS)
+    out = nearest_stop(_ping(spark), normalize_stops(stops)).collect()
+    assert [r["stop_name"] for r in out] == ["first"]
+
+
+def test_equidistant_tie_breaks_on_stop_id(spark):
+    stops = spark.createDataFrame([("0009_01", None, "east", 52.0, 21.001),
+                                   ("0004_01", None, "west", 52.0, 20.999)], STOPS)
+    out = nearest_stop(_ping(spark), normalize_stops(stops)).collect()
+    assert [r["stop_name"] for r in out] == ["west"]
+
+
+def test_grid_equals_brute_force(spark):
+    """Property: grid join result == brute-force nearest (computed on the driver)."""
+    import random
+
+    rnd = random.Random(3)
+    st = [(f"{i:04d}_01", None, f"s{i}", 52.0 + rnd.uniform(0, 0.05), 21.0 + rnd.uniform(0, 0.08)) for i in range(300)]
+    ps = [("L1", f"v{i}", "1", 52.0 + rnd.uniform(-0.01, 0.06), 21.0 + rnd.uniform(-0.01, 0.09), None) for i in range(400)]
+    stops = normalize_stops(spark.createDataFrame(st, STOPS))
+    pings = spark.createDataFrame(ps, PINGS).withColumn("event_ts", F.lit("2026-01-10 19:00:00").cast("timestamp_ntz"))
+    got = {r["vehicle_number"]: (r["stop_zespol"], r["distance_m"]) for r in nearest_stop(pings, stops).collect()}
+
+    def hav(a, b, c, d):
+        p1, p2 = math.radians(a), math.radians(c)
+        x = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin((math.radians(d) - math.radians(b)) / 2) ** 2
+        return 2 * math.asin(min(math.sqrt(x), 1.0)) * 6371000.0
+
+    want = {}
+    for _, v, _, la, lo, _ in ps:
+        best = min(((round(hav(la, lo, s[3], s[4]), 6), s[0][:4]) for s in st))
+        if best[0] <= 700.0:
+            want[v] = (best[1], round(best[0], 2))
+    assert set(got) == set(want)
+    for v in want:
+        assert got[v][0] == want[v][0]
+        assert abs(got[v][1] - want[v][1]) < 0.011
+
+
+def test_nearest_within_generic_columns(spark):
+    pts = spark.createDataFrame([(1, 10.0, 10.0)], "id int, y double, x double")
+    tg = spark.createDataFrame([("a", 10.001, 10.0), ("b", 10.0, 10.0005)], "name string, ty double, tx double")
+    out = nearest_within(pts, tg, key=["id"], radius_m=500, point_lat="y", point_lon="x",
+                         target_lat="ty", target_lon="tx", target_order=["name"]).collect()
+    assert [r["name"] for r in out] == ["b"]
