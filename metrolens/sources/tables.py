@@ -87,9 +87,19 @@ def show_partitions(spark: SparkSession, name: str) -> DataFrame:
 
 
 def drop_partition(spark: SparkSession, name: str, spec: dict[str, str]) -> None:
-    """Unregister a partition and remove its data (full rotation, not just metadata)."""
-    cond = ", ".join(f"`{k}` = '{str(v)}'" for k, v in spec.items())
-    spark.sql(f"ALTER TABLE {_ident(name)} DROP IF EXISTS PARTITION ({cond}) PURGE")
+    """Remove a partition's data and unregister it (a full rotation, not just metadata).
+
+    The data goes with a static-partition INSERT OVERWRITE of no rows (an external
+    table keeps its files on DROP PARTITION, and a later repair would bring them back)."""
+    for k, v in spec.items():
+        if "'" in str(v) or not k.replace("_", "").isalnum():
+            raise ValueError(f"bad partition spec: {spec!r}")
+    cond = ", ".join(f"`{k}` = '{v}'" for k, v in spec.items())
+    t = _ident(name)
+    data_cols = [f for f in spark.table(name).schema.fields if f.name not in spec]
+    empty = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in data_cols)
+    spark.sql(f"INSERT OVERWRITE TABLE {t} PARTITION ({cond}) SELECT {empty} WHERE false")
+    spark.sql(f"ALTER TABLE {t} DROP IF EXISTS PARTITION ({cond})")
 
 
 def rotate_partition(spark: SparkSession, name: str, path: str, partition_col: str,

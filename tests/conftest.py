@@ -30,4 +30,5 @@ def tmpdir_path():
 def rows(df, *cols):
     """Collect a small result as sorted tuples of the given columns."""
     cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    out = [tuple(r[c] for c in cols) for r in df.collect()]
+    return sorted(out, key=lambda t: tuple((v is None, str(type(v)), v if v is not None else 0) for v in t))
