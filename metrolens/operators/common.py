@@ -51,5 +51,6 @@ def dedupe(df: DataFrame, keys: list[str] | None = None, order: list | None = No
         return df.dropDuplicates()
     order = list(order or [])
     others = [c for c in df.columns if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(*order, *[F.col(c).asc_nulls_last() for c in others])
+    # a 64-bit hash first in the partitioning lets the sort settle on an 8-byte prefix
+    w = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order, *[F.col(c).asc_nulls_last() for c in others])
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

@@ -85,7 +85,9 @@ def nearest_within(points: DataFrame, targets: DataFrame, key: list[str],
     pairs = (p.join(t, ["_band", "_cell"], "inner")
               .withColumn("_d", dist)
               .where(F.col("_d") <= F.lit(float(radius_m))))
-    w = Window.partitionBy(*key).orderBy(F.round("_d", 6), *[F.col(c).asc_nulls_last() for c in order])
+    # a 64-bit hash first in the partitioning lets the sort settle on an 8-byte prefix
+    w = (Window.partitionBy(F.xxhash64(*key), *key)
+               .orderBy(F.round("_d", 6), *[F.col(c).asc_nulls_last() for c in order]))
     best = pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     return (best.withColumn(distance_col, F.round("_d", 2))
                 .drop("_rn", "_d", "_band", "_cell"))
