@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metrolens.functions.timeparse import FMT_DAY, dt_key, epoch_ms, hr_key, truncate_hour
+from metrolens.operators.common import spread
 from metrolens.operators.nearest import pad_short
 
 
@@ -108,7 +109,9 @@ def _hms(sec: Column) -> Column:
 
 
 def _timetable_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    # spread the four narrow key columns (not the text built from them) when the
+    # table arrives in fewer splits than there are cores
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     return li.select(
         pad_short(_div(F.col("l_partkey"), 100).cast("string"), 4).alias("stop_zespol"),
