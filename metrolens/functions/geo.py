@@ -31,21 +31,27 @@ def haversine_m(lat1, lon1, lat2, lon2) -> Column:
 class Grid:
     """Equal-latitude bands; each band has its own longitude cell width.
 
-    A band's cell width is the widest longitude gap two points within `radius_m` can
-    have when one of them lies in that band, so a point only needs the 3x3 cells
-    around it. The number of columns per band divides 360 exactly, which makes the
+    With k cells per radius, a band's cell width is 1/k of the widest longitude gap two
+    points within `radius_m` can have when one of them lies in that band, so a point
+    only needs the (2k+1)x(2k+1) cells around it (3x3 for k=1). The number of columns per band divides 360 exactly, which makes the
     antimeridian wrap (pmod) exact; near the poles a band collapses to one column.
     Everything is a per-row expression: no statistics pass over the data is needed.
     """
 
-    def __init__(self, radius_m: float):
-        if radius_m <= 0:
-            raise ValueError("radius_m must be positive")
+    def __init__(self, radius_m: float, cells_per_radius: int = 1):
+        if radius_m <= 0 or cells_per_radius < 1:
+            raise ValueError("radius_m must be positive and cells_per_radius >= 1")
         self.radius_m = float(radius_m)
+        self.k = int(cells_per_radius)
         self.dlat_deg = math.degrees(self.radius_m / EARTH_RADIUS_M)
-        self.cell_lat = self.dlat_deg * _MARGIN
+        self.cell_lat = self.dlat_deg * _MARGIN / self.k
         self.sin_half = math.sin(self.radius_m / (2 * EARTH_RADIUS_M))
 
+    @property
+    def offsets(self) -> list[int]:
+        """Neighbour offsets: a point within the radius is at most k cells away per axis."""
+        return list(range(-self.k, self.k + 1))
+
     def band(self, lat) -> Column:
         return F.floor(_c(lat) / F.lit(self.cell_lat)).cast("long")
 
@@ -55,7 +61,7 @@ class Grid:
         hi = F.abs((band + F.lit(1)) * F.lit(self.cell_lat))
         psi = F.least(F.greatest(lo, hi) + F.lit(self.dlat_deg), F.lit(90.0))
         ratio = F.least(F.lit(self.sin_half) / F.cos(F.radians(psi)), F.lit(1.0))
-        width = F.degrees(F.lit(2.0) * F.asin(ratio)) * F.lit(_MARGIN)
+        width = F.degrees(F.lit(2.0) * F.asin(ratio)) * F.lit(_MARGIN / self.k)
         return F.greatest(F.floor(F.lit(360.0) / width), F.lit(1)).cast("long")
 
     def column(self, lon, ncols: Column) -> Column:

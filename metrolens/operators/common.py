@@ -17,10 +17,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS)
     unchanged and Spark plans a shuffle join (AQE may still convert it at runtime
     from measured shuffle sizes, and splits skewed partitions).
     """
+    return F.broadcast(df) if fits(df, max_rows) else df
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True if `df` has at most `max_rows` rows (reads at most max_rows + 1 rows)."""
     if max_rows <= 0:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+        return False
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

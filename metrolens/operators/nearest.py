@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from metrolens.functions.geo import Grid, haversine_m
 from metrolens.functions.timeparse import time_of_day
-from metrolens.operators.common import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, dedupe, spread
+from metrolens.operators.common import DEFAULT_BROADCAST_MAX_ROWS, dedupe, fits, spread
 
 # Fixed value: default match radius in metres.
 MAX_DISTANCE_METERS = 700.0
@@ -51,11 +51,11 @@ def _valid_coords(lat, lon):
 
 
 def grid_targets(targets: DataFrame, grid: Grid, lat: str, lon: str) -> DataFrame:
-    """Copy every target to the (band, cell) keys of the 3x3 neighbourhood around it."""
-    t = targets.withColumn("_band", F.explode(F.array(*[grid.band(lat) + F.lit(d) for d in (-1, 0, 1)])))
+    """Copy every target to the (band, cell) keys of the neighbourhood around it."""
+    t = targets.withColumn("_band", F.explode(F.array(*[grid.band(lat) + F.lit(d) for d in grid.offsets])))
     nc = grid.columns(F.col("_band"))
     t = t.withColumn("_nc", nc).withColumn("_cx", grid.column(lon, F.col("_nc")))
-    cells = F.array_distinct(F.array(*[F.pmod(F.col("_cx") + F.lit(d), F.col("_nc")) for d in (-1, 0, 1)]))
+    cells = F.array_distinct(F.array(*[F.pmod(F.col("_cx") + F.lit(d), F.col("_nc")) for d in grid.offsets]))
     return t.withColumn("_cell", F.explode(cells)).drop("_nc", "_cx")
 
 
@@ -65,7 +65,8 @@ def nearest_within(points: DataFrame, targets: DataFrame, key: list[str],
                    target_lat: str = "stop_lat", target_lon: str = "stop_lon",
                    target_order: list[str] | None = None,
                    distance_col: str = "distance_m",
-                   broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                   broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                   shuffle_cells_per_radius: int = 2) -> DataFrame:
     """For each point (one row per `key`), the nearest target within `radius_m` metres.
 
     Equivalent to ranking every target by distance and keeping rank 1 if it is within
@@ -73,11 +74,19 @@ def nearest_within(points: DataFrame, targets: DataFrame, key: list[str],
     to 6 digits, then `target_order`. Points with no target in range are dropped.
     Output: point columns + target columns + distance_col (metres, rounded to 2).
     """
-    grid = Grid(radius_m)
     order = target_order or [c for c in targets.columns if c not in (target_lat, target_lon)]
-    t = targets.where(_valid_coords(target_lat, target_lon))
-    t = dedupe(t, keys=[target_lat, target_lon], order=[F.col(c).asc_nulls_last() for c in order])
-    t = bounded_broadcast(grid_targets(t, grid, target_lat, target_lon), broadcast_max_rows)
+    t0 = targets.where(_valid_coords(target_lat, target_lon))
+    t0 = dedupe(t0, keys=[target_lat, target_lon], order=[F.col(c).asc_nulls_last() for c in order])
+    # Broadcast radius-sized cells when the copied targets provably fit; otherwise
+    # shuffle-join on finer cells: more distinct join keys (parallelism) and fewer
+    # candidate pairs per point (area (2k+1)^2/k^2 r^2: 9 r^2 for k=1, 6.25 r^2 for k=2).
+    grid = Grid(radius_m, 1)
+    t = grid_targets(t0, grid, target_lat, target_lon)
+    if fits(t, broadcast_max_rows):
+        t = F.broadcast(t)
+    else:
+        grid = Grid(radius_m, shuffle_cells_per_radius)
+        t = grid_targets(t0, grid, target_lat, target_lon)
 
     band = grid.band(point_lat)
     p = spread(points).withColumn("_band", band).withColumn("_cell", grid.column(point_lon, grid.columns(band)))

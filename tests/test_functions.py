@@ -78,14 +78,19 @@ def test_restamp_and_hour_stamp(spark):
 
 def test_grid_covers_every_pair_within_radius(spark):
     """Property: for random point pairs, d <= r implies the target is copied into the
-    point's cell (so the grid join can never miss a match), at several latitudes."""
+    point's cell (so the grid join can never miss a match), at several latitudes and
+    grid resolutions."""
     import random
 
-    from metrolens.operators.nearest import grid_targets
-
     rnd = random.Random(7)
     r = 700.0
-    g = Grid(r)
+    for k in (1, 2, 3):
+        _check_grid(spark, Grid(r, k), r, rnd)
+
+
+def _check_grid(spark, g, r, rnd):
+    from metrolens.operators.nearest import grid_targets
+
     pts = []
     for lat0 in (0.0, 52.2, 70.0, 89.99, -60.0):
         for _ in range(150):

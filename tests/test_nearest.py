@@ -86,3 +86,17 @@ def test_nearest_within_generic_columns(spark):
     out = nearest_within(pts, tg, key=["id"], radius_m=500, point_lat="y", point_lon="x",
                          target_lat="ty", target_lon="tx", target_order=["name"]).collect()
     assert [r["name"] for r in out] == ["b"]
+
+
+def test_shuffle_path_with_finer_cells_matches_broadcast_path(spark):
+    """broadcast_max_rows=0 forces the shuffle join on half-radius cells; same answer."""
+    import random
+
+    rnd = random.Random(5)
+    st = [(f"{i:04d}_01", None, f"s{i}", 52.0 + rnd.uniform(0, 0.05), 21.0 + rnd.uniform(0, 0.08)) for i in range(200)]
+    ps = [("L1", f"v{i}", "1", 52.0 + rnd.uniform(-0.01, 0.06), 21.0 + rnd.uniform(-0.01, 0.09), None) for i in range(300)]
+    stops = normalize_stops(spark.createDataFrame(st, STOPS))
+    pings = spark.createDataFrame(ps, PINGS).withColumn("event_ts", F.lit("2026-01-10 19:00:00").cast("timestamp_ntz"))
+    a = rows(nearest_stop(pings, stops), "vehicle_number", "stop_zespol", "distance_m")
+    b = rows(nearest_stop(pings, stops, broadcast_max_rows=0), "vehicle_number", "stop_zespol", "distance_m")
+    assert a == b and len(a) > 100
