@@ -29,12 +29,13 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin `df` over at least `min_partitions` partitions (default: the
-    cluster's default parallelism) if it has fewer, before CPU-heavy per-row work.
+    cluster's default parallelism) if it has fewer.
 
     A Parquet row group cannot be split, so an input of a few large row groups is
     scanned by a few tasks; everything up to the next shuffle would run on them.
     Inputs that already have enough splits (any large table) are returned unchanged,
-    so this adds no shuffle at scale.
+    so this adds no shuffle at scale. Apply it to a scan: counting the partitions of a
+    frame that already contains a shuffle would run that shuffle.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:

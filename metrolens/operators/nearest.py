@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from metrolens.functions.geo import Grid, haversine_m
 from metrolens.functions.timeparse import time_of_day
-from metrolens.operators.common import DEFAULT_BROADCAST_MAX_ROWS, dedupe, fits, spread
+from metrolens.operators.common import DEFAULT_BROADCAST_MAX_ROWS, dedupe, fits
 
 # Fixed value: default match radius in metres.
 MAX_DISTANCE_METERS = 700.0
@@ -89,7 +89,7 @@ def nearest_within(points: DataFrame, targets: DataFrame, key: list[str],
         t = grid_targets(t0, grid, target_lat, target_lon)
 
     band = grid.band(point_lat)
-    p = spread(points).withColumn("_band", band).withColumn("_cell", grid.column(point_lon, grid.columns(band)))
+    p = points.withColumn("_band", band).withColumn("_cell", grid.column(point_lon, grid.columns(band)))
     dist = haversine_m(point_lat, point_lon, target_lat, target_lon)
     pairs = (p.join(t, ["_band", "_cell"], "inner")
               .withColumn("_d", dist)

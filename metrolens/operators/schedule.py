@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from metrolens.functions.numeric import half_up_div
 from metrolens.functions.timeparse import SECONDS_PER_DAY, hms_parts, hms_valid, seconds_of_day
-from metrolens.operators.common import spread
 from metrolens.session import ensure_checkpoint_dir
 
 TIMETABLE_KEY = ["stop_zespol", "stop_slupek", "line"]
@@ -43,8 +42,8 @@ def timetable_explode(df: DataFrame, payload: str = "payload", keys: list[str] |
     tie-break, first entry wins); with `pos_base` it is pos_base * 1024 + index.
     """
     keys = list(keys or TIMETABLE_KEY)
-    parsed = spread(df).select(*keys, *([pos_base] if pos_base else []),
-                               F.from_json(F.col(payload), PAYLOAD_SCHEMA).alias("_p"))
+    parsed = df.select(*keys, *([pos_base] if pos_base else []),
+                       F.from_json(F.col(payload), PAYLOAD_SCHEMA).alias("_p"))
     items = parsed.select(*keys, *([pos_base] if pos_base else []),
                           F.posexplode(F.col("_p.result")).alias("_i", "_item"))
     n = F.size("_item")
@@ -65,7 +64,7 @@ def parse_timetable(tt: DataFrame, keys: list[str] | None = None) -> DataFrame:
     # Validate the raw text first: a cheap predicate that can be pushed to the scan
     # (filtering on the parsed value would be pushed down with the parse inlined).
     sec, text = hms_parts("time_text")
-    return (spread(tt).where(hms_valid("time_text"))
+    return (tt.where(hms_valid("time_text"))
               .select(*keys, "pos", sec.alias("sec"), text.alias("scheduled_time"),
                       F.coalesce(F.col("direction"), F.lit("")).alias("direction")))
 

@@ -28,10 +28,10 @@ def build_session(master: str = "local[8]", app: str = "metrolens",
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = "16g"
     conf["spark.ui.showConsoleProgress"] = "false"
-    # Local runs use small inputs: let AQE keep post-shuffle partitions down to 256 KB
+    # Local runs use small inputs: let AQE keep post-shuffle partitions down to 32 KB
     # (default 1 MB) so CPU-heavy stages after small shuffles still use every core.
     # Cluster runs keep the defaults (partitions are sized by data there).
-    conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "256k"
+    conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "32k"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
