@@ -48,9 +48,16 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the configured checkpoint folder; only when none is set (local tests) make one."""
+    """Return the shared checkpoint folder named in ``spark.checkpoint.dir``.
+
+    Only a local-mode session without one (tests, a laptop) gets a fresh temporary
+    folder; on a cluster a machine-local folder would be wrong (executors would write
+    to their own disks), so a missing setting is an error there."""
     value = checkpoint_dir(spark)
     if value is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3) "
+                               "for checkpoints and staged writes")
         value = tempfile.mkdtemp(prefix="metrolens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", value)
     spark.sparkContext.setCheckpointDir(value)
