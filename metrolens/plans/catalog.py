@@ -17,7 +17,6 @@ from metrolens.functions.labels import hour_rowkey, line_rowkey, station_day_row
 from metrolens.functions.timeparse import dt_to_day, hour_stamp, truncate_hour
 from metrolens.operators import air, delays, keyed, report, weather
 from metrolens.operators.clean import clean_pings, latest_per_key, ping_slice
-from metrolens.operators.common import dedupe
 from metrolens.operators.nearest import MAX_DISTANCE_METERS, nearest_stop, normalize_stops, stop_line_pairs
 from metrolens.operators.quality import step_counts
 from metrolens.operators.schedule import nearest_departure, parse_timetable, punctuality, timetable_explode

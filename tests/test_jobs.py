@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from metrolens.plans import jobs
 from metrolens.sources.readers import read_partitioned
