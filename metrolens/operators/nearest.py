@@ -82,7 +82,10 @@ def nearest_within(points: DataFrame, targets: DataFrame, key: list[str],
     # candidate pairs per point (area (2k+1)^2/k^2 r^2: 9 r^2 for k=1, 6.25 r^2 for k=2).
     grid = Grid(radius_m, 1)
     t = grid_targets(t0, grid, target_lat, target_lon)
-    if fits(t, broadcast_max_rows):
+    # grid rows <= 9 copies x distinct positions <= 9 x input rows: checking the
+    # input (a scan) bounds the broadcast without running the de-dup shuffle twice
+    copies = len(grid.offsets) ** 2
+    if fits(targets, broadcast_max_rows // copies):
         t = F.broadcast(t)
     else:
         grid = Grid(radius_m, shuffle_cells_per_radius)
