@@ -1,8 +1,9 @@
 """Stops: id normalisation and the nearest-stop-within-radius match.
 
 The nearest stop is found with a grid equi-join instead of a cross join: each stop is
-copied to the 3x3 grid cells around it, each point sits in exactly one cell, and the
-exact haversine distance is only evaluated for pairs that share a cell. Stops that
+copied to the grid cells around it (3x3 radius-sized cells when the stops are
+broadcast, 5x5 half-radius cells on the shuffle path), each point sits in exactly one
+cell, and the exact haversine distance is only evaluated for pairs that share a cell. Stops that
 share one position are collapsed first (the smallest id wins, which is also what the
 distance tie-break would pick), so the pairs per point are bounded by geometry, not by
 how many rows the stop table has.

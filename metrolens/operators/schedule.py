@@ -39,8 +39,9 @@ def timetable_explode(df: DataFrame, payload: str = "payload", keys: list[str] |
 
     Output: keys..., pos, time_text, direction. Empty departure lists are skipped;
     a one-item list has no direction (''). `pos` is the feed position (used as the
-    tie-break, first entry wins); with `pos_base` it is pos_base * 1024 + index.
-    """
+    tie-break, first entry wins); with `pos_base` it is pos_base * 1024 + index, which
+    orders entries across payloads of one key as long as a payload holds at most 1024
+    departures (a stop and line has a few hundred a day)."""
     keys = list(keys or TIMETABLE_KEY)
     parsed = df.select(*keys, *([pos_base] if pos_base else []),
                        F.from_json(F.col(payload), PAYLOAD_SCHEMA).alias("_p"))
@@ -69,10 +70,6 @@ def parse_timetable(tt: DataFrame, keys: list[str] | None = None) -> DataFrame:
                       F.coalesce(F.col("direction"), F.lit("")).alias("direction")))
 
 
-def _dep(sec="sec"):
-    return F.struct(F.col(sec).alias("sec"), F.col("pos"), F.col("scheduled_time"), F.col("direction"))
-
-
 def resolve_departures(ping_seconds: DataFrame, departures: DataFrame, keys: list[str],
                        wrap: bool = False) -> DataFrame:
     """Nearest departure for each distinct (keys, s): (keys, s, best struct).
