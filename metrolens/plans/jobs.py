@@ -25,18 +25,25 @@ def _frame(spark: SparkSession, source) -> DataFrame:
 
 
 def clean_job(spark: SparkSession, raw, target_path: str, dt: str, table_name: str | None = None,
-              tz: str = "UTC") -> DataFrame:
+              tz: str = "UTC") -> dict:
     """Clean one raw partition date and merge it into the cleaned (dt, hr) table.
+
     Stray pings of another date are merged into their own partition instead of
-    replacing it. Registers the partitions on disk when `table_name` is given."""
-    cleaned = clean_pings(_frame(spark, raw), dt=require_dt(dt), tz=tz)
+    replacing it. Registers the partitions on disk when `table_name` is given.
+    Returns {"table": staged frame, "counts": {raw_rows, cleaned_rows}}; the counts are
+    observed during the write itself (df.observe), so no extra job runs for them."""
+    from pyspark.sql import Observation
+
+    raw_obs, out_obs = Observation("raw"), Observation("cleaned")
+    src = _frame(spark, raw).observe(raw_obs, F.count(F.lit(1)).alias("rows"))
+    cleaned = clean_pings(src, dt=require_dt(dt), tz=tz).observe(out_obs, F.count(F.lit(1)).alias("rows"))
     staged = tables.merge_partitions(cleaned, target_path, ["dt", "hr"], keys=["vehicle_number", "event_ts"],
                                      order=[F.col("ingest_ms").desc_nulls_last()])
     if table_name:
         tables.create_external_table(spark, table_name, CLEAN_TABLE_COLUMNS, [("dt", "string"), ("hr", "string")],
                                      target_path)
         tables.register_partitions(spark, table_name)
-    return staged
+    return {"table": staged, "counts": {"raw_rows": raw_obs.get["rows"], "cleaned_rows": out_obs.get["rows"]}}
 
 
 def delay_job(spark: SparkSession, pings, stops, timetable: DataFrame, dt: str, hour: int,

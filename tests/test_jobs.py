@@ -9,7 +9,8 @@ TT = "stop_zespol string, stop_slupek string, line string, pos long, time_text s
 
 def test_clean_then_delay_job(spark, tmpdir_path):
     cleaned_path = f"{tmpdir_path}/cleaned"
-    jobs.clean_job(spark, raw_df(spark), cleaned_path, "20260110", table_name="ztm_clean_t")
+    res = jobs.clean_job(spark, raw_df(spark), cleaned_path, "20260110", table_name="ztm_clean_t")
+    assert res["counts"] == {"raw_rows": 13, "cleaned_rows": 5}
     assert spark.table("ztm_clean_t").count() == read_partitioned(spark, cleaned_path).count() == 5
     stops = f"{tmpdir_path}/stops.txt"
     with open(stops, "w") as f:
