@@ -10,7 +10,7 @@ from metrolens.functions.numeric import exact_avg, exact_mean
 from metrolens.functions.timeparse import dt_to_day
 
 
-def ztm_day(summary: DataFrame) -> DataFrame:
+def bus_day(summary: DataFrame) -> DataFrame:
     """Summary rows (dt, hour, line, avg, count) -> per day: rows, total measurements,
     mean deviation, most-measured line and worst line (ties: smaller line)."""
     s = summary.select(F.to_date(dt_to_day("dt")).alias("date"), "line",
@@ -38,6 +38,6 @@ def city_report(weather_day: DataFrame, readings: DataFrame, summary: DataFrame)
     """Full outer join on date of the three per-day tables (each one row per date)."""
     w = weather_day.select("date", "avg_temp", "avg_humidity", "avg_pressure", "avg_wind_speed")
     out = (w.join(pm25_day(readings), "date", "full_outer")
-            .join(ztm_day(summary), "date", "full_outer"))
+            .join(bus_day(summary), "date", "full_outer"))
     return out.withColumn("pm25_status", F.when(F.col("avg_pm25").isNull(), F.lit("no data"))
                                            .otherwise(F.lit("ok")))

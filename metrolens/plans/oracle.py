@@ -102,7 +102,7 @@ def cells(src: str, rowkey: str, families: dict, version: int | None = None) ->
 
 LINE_KEY = "printf('%s_%02d_%s', dt, hour, line)"
 
-ZTM_DAY = f"""
+BUS_DAY = f"""
 SELECT a.date, summary_rows, total_measurements, avg_metric, top_line, top_line_count,
        worst_line, worst_line_metric
 FROM (SELECT date, count(*) AS summary_rows, CAST(sum(count) AS BIGINT) AS total_measurements,
@@ -279,5 +279,5 @@ ORACLE: dict[str, str] = {
                          WHERE parameter = 'pm25' GROUP BY date_) p USING (date)
         FULL OUTER JOIN zd USING (date)""", "weather", "air", "summary",
                              extra_ctes={"wx_dedup": WX_DEDUPED, "wx_daily": WX_DAILY, "air_daily": AIR_DAILY,
-                                         "zs": ZS, "zd": ZTM_DAY}),
+                                         "zs": ZS, "zd": BUS_DAY}),
 }

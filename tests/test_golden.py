@@ -40,7 +40,7 @@ SAMPLE = """rowkey,dt,hour,line,avg_time_diff_minutes,measurement_count,total_ti
 
 @pytest.fixture()
 def summary(spark, tmpdir_path):
-    path = f"{tmpdir_path}/ztm_line_avg_delays.csv"
+    path = f"{tmpdir_path}/line_summary.csv"
     with open(path, "w") as f:
         f.write(SAMPLE)
     return read_summary_csv(spark, path)

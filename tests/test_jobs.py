@@ -9,19 +9,19 @@ TT = "stop_zespol string, stop_slupek string, line string, pos long, time_text s
 
 def test_clean_then_delay_job(spark, tmpdir_path):
     cleaned_path = f"{tmpdir_path}/cleaned"
-    res = jobs.clean_job(spark, raw_df(spark), cleaned_path, "20260110", table_name="ztm_clean_t")
+    res = jobs.clean_job(spark, raw_df(spark), cleaned_path, "20260110", table_name="bus_clean_t")
     assert res["counts"] == {"raw_rows": 13, "cleaned_rows": 5}
-    assert spark.table("ztm_clean_t").count() == read_partitioned(spark, cleaned_path).count() == 5
+    assert spark.table("bus_clean_t").count() == read_partitioned(spark, cleaned_path).count() == 5
     stops = f"{tmpdir_path}/stops.txt"
     with open(stops, "w") as f:
         f.write("stop_id,stop_code,stop_name,stop_lat,stop_lon\n0001_01,,A,52.1,21.0\n0002_01,,B,52.2,21.0\n")
     tt = spark.createDataFrame([("0001", "01", "L-1", 0, "19:58:00", "X"), ("0002", "01", "L-1", 1, "20:03:30", "Y")], TT)
-    out = jobs.delay_job(spark, "ztm_clean_t", stops, tt, "20260110", 20, keyed_path=f"{tmpdir_path}/keyed")
+    out = jobs.delay_job(spark, "bus_clean_t", stops, tt, "20260110", 20, keyed_path=f"{tmpdir_path}/keyed")
     s = out["summary"].collect()
     # vehicles 100 and 106 sit on stops A and B (2.0 and 3.5 min off); 101 and 103 are far away
     assert [(r["line"], r["measurement_count"], r["total_time_diff"]) for r in s] == [("L-1", 2, 5.5)]
     assert {r["qualifier"] for r in out["keyed"].collect()} >= {"avg_time_diff_minutes", "measurement_count"}
-    spark.sql("DROP TABLE IF EXISTS ztm_clean_t")
+    spark.sql("DROP TABLE IF EXISTS bus_clean_t")
 
 
 def test_weather_air_report_jobs(spark, tmpdir_path):

@@ -95,13 +95,13 @@ def test_stops_csv_by_header(spark, tmpdir_path):
 def test_csv_summary_table(spark, tmpdir_path):
     from tests.test_golden import SAMPLE
 
-    d = f"{tmpdir_path}/ztm"
+    d = f"{tmpdir_path}/bus_summary"
     os.makedirs(d)
-    with open(f"{d}/ztm_summary.csv", "w") as f:
+    with open(f"{d}/bus_summary.csv", "w") as f:
         f.write(SAMPLE)
-    tables.drop_table(spark, "ztm_t")
-    tables.create_csv_table(spark, "ztm_t", [("rowkey", "string"), ("dt", "string"), ("hour", "int"), ("line", "string"),
+    tables.drop_table(spark, "bus_summary_t")
+    tables.create_csv_table(spark, "bus_summary_t", [("rowkey", "string"), ("dt", "string"), ("hour", "int"), ("line", "string"),
                                              ("avg_time_diff_minutes", "double"), ("measurement_count", "bigint"),
                                              ("total_time_diff", "double")], d)
-    assert spark.table("ztm_t").count() == 26
-    tables.drop_table(spark, "ztm_t")
+    assert spark.table("bus_summary_t").count() == 26
+    tables.drop_table(spark, "bus_summary_t")
