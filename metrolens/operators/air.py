@@ -3,13 +3,14 @@ matrix, map points, distributions, severity bands."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metrolens.functions.labels import severity_band, truncate_label
 from metrolens.functions.numeric import corr_safe, exact_avg, exact_mean
 from metrolens.functions.timeparse import FMT_DAY, FMT_DMY, parse_ntz
 from metrolens.operators.common import dedupe
+from metrolens.session import ensure_checkpoint_dir
 
 VALUE_SCALE = 2
 
@@ -80,18 +81,54 @@ def map_points(df: DataFrame, since: str) -> DataFrame:
     return r.groupBy(*keys).agg(exact_mean("value", VALUE_SCALE).alias("mean_value"))
 
 
-def five_numbers(df: DataFrame, by: str, value: str) -> DataFrame:
-    """Per group: n, min, quartiles (linear interpolation), max.
-
-    Exact percentiles keep a value -> count map per group, bounded by the number of
-    distinct values (sensor readings have fixed precision), merged map-side."""
-    q = F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (df.groupBy(by)
-              .agg(F.count(value).alias("n"), F.min(value).alias("min"), q.alias("_q"),
-                   F.max(value).alias("max"))
-              .select(by, "n", "min", F.round(F.col("_q")[0], 6).alias("q1"),
-                      F.round(F.col("_q")[1], 6).alias("median"),
-                      F.round(F.col("_q")[2], 6).alias("q3"), "max"))
+def five_numbers(df: DataFrame, by: str, value: str, probs: tuple = (0.25, 0.5, 0.75),
+                 partitions: int | None = None) -> DataFrame:
+    """Per group: n, min, quartiles (linear interpolation between order statistics,
+    as exact percentiles), max.
+
+    No group is ever held by one task: values are first counted per distinct
+    (group, value), then range-partitioned on (group, value) so a large group spans
+    many tasks. The range split is checkpointed once (its boundaries come from
+    sampling), running counts are taken inside each range partition, and a small
+    per-partition total table gives each partition's offset within its group. The
+    few order statistics needed (two per quantile) are then looked up by rank: each
+    group joins at most 2 x len(probs) target rows, so the lookup stays linear.
+    """
+    spark = df.sparkSession
+    hist = (df.where(F.col(value).isNotNull())
+              .groupBy(F.col(by).alias("_g"), F.col(value).alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c")))
+    stats = hist.groupBy("_g").agg(F.sum("_c").alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"))
+
+    ensure_checkpoint_dir(spark)
+    ranged = (hist.repartitionByRange(partitions or spark.sparkContext.defaultParallelism, "_g", "_v")
+                  .checkpoint(eager=True)
+                  .withColumn("_pid", F.spark_partition_id()))
+    run = Window.partitionBy("_pid", "_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumn("_cum", F.sum("_c").over(run))
+    before = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("_g", "_pid").agg(F.sum("_c").alias("_tot"))
+                     .withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
+                     .select("_g", "_pid", "_off"))
+    ranked = (local.join(offsets, ["_g", "_pid"])
+                   .select("_g", "_v", (F.col("_off") + F.col("_cum") - F.col("_c")).alias("_first"),
+                           (F.col("_off") + F.col("_cum") - F.lit(1)).alias("_last")))
+
+    pos = {i: F.lit(float(p)) * (F.col("n") - F.lit(1)).cast("double") for i, p in enumerate(probs)}
+    wanted = []
+    for i in pos:
+        wanted.append(F.struct(F.lit(f"lo{i}").alias("_k"), F.floor(pos[i]).cast("long").alias("_r")))
+        wanted.append(F.struct(F.lit(f"hi{i}").alias("_k"), F.ceil(pos[i]).cast("long").alias("_r")))
+    targets = stats.select("_g", F.inline(F.array(*wanted)))
+    hits = (ranked.join(targets, "_g")
+                  .where((F.col("_first") <= F.col("_r")) & (F.col("_r") <= F.col("_last")))
+                  .groupBy("_g").pivot("_k", [k for i in pos for k in (f"lo{i}", f"hi{i}")])
+                  .agg(F.first("_v")))
+    out = stats.join(hits, "_g")
+    names = ["q1", "median", "q3"] if len(probs) == 3 else [f"q{i}" for i in pos]
+    qs = [F.round(F.col(f"lo{i}") + (pos[i] - F.floor(pos[i])) * (F.col(f"hi{i}") - F.col(f"lo{i}")), 6)
+          .alias(names[i]) for i in pos]
+    return out.select(F.col("_g").alias(by), "n", "min", *qs, "max")
 
 
 def box_stats(df: DataFrame, since: str, parameter: str = "pm25") -> DataFrame:

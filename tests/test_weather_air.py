@@ -96,3 +96,29 @@ def test_five_numbers(spark):
     df = spark.createDataFrame([("s", float(v)) for v in (1, 2, 3, 4)], "k string, v double")
     r = air.five_numbers(df, "k", "v").first()
     assert (r["n"], r["min"], r["q1"], r["median"], r["q3"], r["max"]) == (4, 1.0, 1.75, 2.5, 3.25, 4.0)
+
+
+def test_five_numbers_matches_linear_interpolation_with_hot_group(spark):
+    """Brute force (numpy linear percentiles) on skewed data: one group holds most rows,
+    many duplicates, a one-row group."""
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(13)
+    data = [("hot", float(rnd.randint(0, 300))) for _ in range(3000)]
+    data += [(f"g{i}", round(rnd.uniform(0, 100), 2)) for i in range(40) for _ in range(rnd.randint(1, 30))]
+    data += [("one", 7.5), ("nul", None)]
+    df = spark.createDataFrame(data, "k string, v double")
+    got = {r["k"]: r for r in air.five_numbers(df, "k", "v", partitions=7).collect()}
+    groups = {}
+    for k, v in data:
+        if v is not None:
+            groups.setdefault(k, []).append(v)
+    assert set(got) == set(groups)
+    for k, vals in groups.items():
+        a = np.array(vals)
+        r = got[k]
+        assert r["n"] == len(vals) and r["min"] == a.min() and r["max"] == a.max()
+        for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+            assert abs(r[name] - float(np.percentile(a, p * 100))) < 1e-6, (k, name)
