@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from metrolens.functions.geo import Grid, haversine_m
 from metrolens.functions.timeparse import time_of_day
-from metrolens.operators.common import DEFAULT_BROADCAST_MAX_ROWS, dedupe, fits
+from metrolens.operators.common import DEFAULT_BROADCAST_MAX_ROWS, dedupe, fits, hash_prefixed
 
 # Fixed value: default match radius in metres.
 MAX_DISTANCE_METERS = 700.0
@@ -98,8 +98,7 @@ def nearest_within(points: DataFrame, targets: DataFrame, key: list[str],
     pairs = (p.join(t, ["_band", "_cell"], "inner")
               .withColumn("_d", dist)
               .where(F.col("_d") <= F.lit(float(radius_m))))
-    # a 64-bit hash first in the partitioning lets the sort settle on an 8-byte prefix
-    w = (Window.partitionBy(F.xxhash64(*key), *key)
+    w = (Window.partitionBy(*hash_prefixed(points, key))
                .orderBy(F.round("_d", 6), *[F.col(c).asc_nulls_last() for c in order]))
     best = pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     return (best.withColumn(distance_col, F.round("_d", 2))
