@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from metrolens.operators.common import dedupe
 from metrolens.session import staging_path
-from metrolens.sources.readers import _ident
+from metrolens.sources.readers import _ident, read_partitioned
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
@@ -48,8 +48,9 @@ def merge_partitions(df: DataFrame, path: str, partition_cols: list[str], keys:
     new = df.withColumn("_new", F.lit(1))
     if path_exists(spark, path):
         touched = df.select(*partition_cols).distinct()
-        old = (spark.read.parquet(path).join(touched, partition_cols, "left_semi")
-                    .select(*df.columns).withColumn("_new", F.lit(0)))
+        stored = read_partitioned(spark, path)  # partition values stay strings ('08', not 8)
+        old = (stored.join(touched, partition_cols, "left_semi")
+                     .select(*df.columns).withColumn("_new", F.lit(0)))
         new = new.unionByName(old)
     merged = dedupe(new, keys=keys, order=list(order or []) + [F.col("_new").desc()]).drop("_new")
     stage = staging_path(spark, "merge")

@@ -105,3 +105,16 @@ def test_csv_summary_table(spark, tmpdir_path):
                                              ("total_time_diff", "double")], d)
     assert spark.table("bus_summary_t").count() == 26
     tables.drop_table(spark, "bus_summary_t")
+
+
+def test_merge_keeps_zero_padded_partition_values(spark, tmpdir_path):
+    path = f"{tmpdir_path}/morning"
+    schema = "Lat double, Lon double, VehicleNumber string, Lines string, Brigade string, Time long, ingest_time long, dt string, hr string"
+    t8 = 1768032000000  # 2026-01-10 08:00:00 UTC
+    first = spark.createDataFrame([(52.0, 21.0, "1", "L", "1", t8, 1, "20260110", "08")], schema)
+    later = spark.createDataFrame([(52.0, 21.0, "2", "L", "1", t8 + 5000, 2, "20260110", "08")], schema)
+    for raw in (first, later):
+        tables.merge_partitions(clean_pings(raw), path, ["dt", "hr"], keys=["vehicle_number", "event_ts"])
+    back = read_partitioned(spark, path)
+    assert sorted(os.listdir(f"{path}/dt=20260110")) == ["hr=08"]
+    assert back.count() == 2 and {r["hr"] for r in back.collect()} == {"08"}
