@@ -7,8 +7,10 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
-FAST = ["weather_hourly", "bus_clean", "aq_pivot", "aq_corr_matrix", "box_stats", "timetable_explode",
-        "line_delay_summary", "city_report"]
+FAST = ["weather_hourly", "weather_by_condition", "precip_stats", "weather_gauges", "restamp_report",
+        "dedupe_by_key", "bus_clean", "latest_per_key", "quality_counts", "aq_station_avg", "aq_pivot",
+        "aq_corr_matrix", "box_stats", "pm_bands", "sensor_means", "aq_cells", "timetable_explode",
+        "line_delay_summary", "keyed_scan", "city_report"]
 
 
 def test_entry_runs(spark):
