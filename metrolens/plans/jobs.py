@@ -54,13 +54,19 @@ def delay_job(spark: SparkSession, pings, stops, timetable: DataFrame, dt: str,
 
     pings: cleaned table name or frame; stops: stops file path or raw stops frame;
     timetable: (stop_zespol, stop_slupek, line, pos, time_text, direction) entries."""
-    p = ping_slice(_frame(spark, pings), dt, hour, lines)
+    from pyspark.sql import Observation
+
+    obs = {name: Observation(name) for name in ("pings", "near_stop", "measured")}
+    count = F.count(F.lit(1)).alias("rows")
+    p = ping_slice(_frame(spark, pings), dt, hour, lines).observe(obs["pings"], count)
     s = read_stops_csv(spark, stops) if isinstance(stops, str) else stops
-    matched = nearest_stop(p, normalize_stops(s), max_distance)
-    measured = punctuality(nearest_departure(matched, timetable, wrap=wrap))
+    matched = nearest_stop(p, normalize_stops(s), max_distance).observe(obs["near_stop"], count)
+    measured = punctuality(nearest_departure(matched, timetable, wrap=wrap)).observe(obs["measured"], count)
     summary = delays.line_delay_summary(measured)
+    # step counts (pings in the slice, pings near a stop, measurements with a departure)
+    # are filled in by the first action that runs the plan; read them with .get
     out = {"measurements": measured, "summary": summary,
-           "ranked": delays.line_delay_ranked(summary)}
+           "ranked": delays.line_delay_ranked(summary), "observations": obs}
     if keyed_path:
         cells = keyed.to_cells(summary, line_rowkey("dt", "hour", "line"),
                                {"cf": ["line", "dt", "hour", "avg_time_diff_minutes", "measurement_count",

@@ -18,6 +18,8 @@ def test_clean_then_delay_job(spark, tmpdir_path):
     tt = spark.createDataFrame([("0001", "01", "L-1", 0, "19:58:00", "X"), ("0002", "01", "L-1", 1, "20:03:30", "Y")], TT)
     out = jobs.delay_job(spark, "bus_clean_t", stops, tt, "20260110", 20, keyed_path=f"{tmpdir_path}/keyed")
     s = out["summary"].collect()
+    counts = {k: o.get["rows"] for k, o in out["observations"].items()}
+    assert counts == {"pings": 4, "near_stop": 2, "measured": 2}
     # vehicles 100 and 106 sit on stops A and B (2.0 and 3.5 min off); 101 and 103 are far away
     assert [(r["line"], r["measurement_count"], r["total_time_diff"]) for r in s] == [("L-1", 2, 5.5)]
     assert {r["qualifier"] for r in out["keyed"].collect()} >= {"avg_time_diff_minutes", "measurement_count"}
