@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from metrolens.operators.common import dedupe
+
 CELL_COLUMNS = ["rowkey", "family", "qualifier", "value"]
 
 
@@ -32,6 +34,17 @@ def upsert_cells(current: DataFrame, updates: DataFrame) -> DataFrame:
              .agg(F.max_by("value", "version").alias("value"), F.max("version").alias("version")))
 
 
+def upsert(current: DataFrame, updates: DataFrame, key: list[str], order: list | None = None) -> DataFrame:
+    """Wide-row upsert: one row per `key`, an update replacing the stored row.
+
+    `order` (optional) ranks rows before the update-wins rule, e.g. a version column
+    descending. Planned as a de-duplication (partial WindowGroupLimit), so a hot key
+    sends at most one row per map task across the network."""
+    tagged = (updates.withColumn("_src", F.lit(1))
+                     .unionByName(current.withColumn("_src", F.lit(0)), allowMissingColumns=True))
+    return dedupe(tagged, keys=key, order=list(order or []) + [F.col("_src").desc()]).drop("_src")
+
+
 def keyed_scan(cells: DataFrame, limit: int = 10) -> DataFrame:
     """All cells of the first `limit` row keys in key order (a scan with LIMIT)."""
     first = cells.select("rowkey").distinct().orderBy("rowkey").limit(limit)

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from metrolens.functions.labels import hour_rowkey, line_rowkey, station_day_rowkey
-from metrolens.operators.keyed import from_cells, keyed_get, keyed_scan, to_cells, upsert_cells
+from metrolens.operators.keyed import from_cells, keyed_get, keyed_scan, to_cells, upsert, upsert_cells
 from metrolens.sources.tables import write_keyed
 from tests.conftest import rows
 
@@ -40,3 +40,11 @@ def test_write_keyed_round_trip(spark, tmpdir_path):
     write_keyed(a, path)
     out = write_keyed(b, path)
     assert rows(out, "rowkey", "value") == [("k1", "2"), ("k2", "3")]
+
+
+def test_wide_row_upsert(spark):
+    cur = spark.createDataFrame([("k1", 1.0, 1), ("k2", 2.0, 1)], "k string, v double, ver int")
+    upd = spark.createDataFrame([("k1", 9.0, 2), ("k3", 3.0, 2), ("k3", 4.0, 3)], "k string, v double, ver int")
+    out = rows(upsert(cur, upd, ["k"], order=[F.col("ver").desc()]), "k", "v")
+    assert out == [("k1", 9.0), ("k2", 2.0), ("k3", 4.0)]
+    assert rows(upsert(cur, upd.where("k = 'k1'"), ["k"]), "k", "v") == [("k1", 9.0), ("k2", 2.0)]
