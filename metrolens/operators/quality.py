@@ -23,3 +23,13 @@ def step_counts(raw_pings: DataFrame) -> DataFrame:
     cleaned = (clean_pings(raw_pings).agg(F.count(F.lit(1)).alias("rows"))
                .select(F.lit("cleaned").alias("step"), "rows"))
     return steps.unionByName(cleaned)
+
+
+def named_counts(frames: dict[str, DataFrame]) -> DataFrame:
+    """(step, rows) for a set of named frames, as one union of count aggregates."""
+    parts = [df.agg(F.count(F.lit(1)).cast("long").alias("rows")).select(F.lit(name).alias("step"), "rows")
+             for name, df in frames.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -18,7 +18,7 @@ from metrolens.functions.timeparse import dt_to_day, hour_stamp, truncate_hour
 from metrolens.operators import air, delays, keyed, report, weather
 from metrolens.operators.clean import clean_pings, latest_per_key, ping_slice
 from metrolens.operators.nearest import MAX_DISTANCE_METERS, nearest_stop, normalize_stops, stop_line_pairs
-from metrolens.operators.quality import step_counts
+from metrolens.operators.quality import named_counts, step_counts
 from metrolens.operators.schedule import nearest_departure, parse_timetable, punctuality, timetable_explode
 from metrolens.sources import fixtures as fx
 
@@ -85,7 +85,19 @@ def q_dedupe_by_key(spark, sf_dir):
 
 
 def q_quality_counts(spark, sf_dir):
-    return step_counts(fx.raw_pings(spark, sf_dir))
+    """Row counts at each step of the clean, delay, weather and air jobs."""
+    matched = matched_pings(spark, sf_dir)
+    extra = named_counts({
+        "stops": fx.stops(spark, sf_dir),
+        "pings": fx.pings(spark, sf_dir),
+        "near_stop": matched,
+        "stop_line_pairs": stop_line_pairs(matched),
+        "measured": nearest_departure(matched, fx.timetable(spark, sf_dir)),
+        "weather": fx.weather(spark, sf_dir),
+        "air": fx.air_quality(spark, sf_dir),
+        "air_since": air.readings_since(fx.air_quality(spark, sf_dir), AIR_SINCE),
+    })
+    return step_counts(fx.raw_pings(spark, sf_dir)).unionByName(extra)
 
 
 def q_partition_counts(spark, sf_dir):

@@ -137,7 +137,16 @@ ORACLE: dict[str, str] = {
         SELECT 'raw' AS step, count(*) AS rows FROM raw_pings
         UNION ALL SELECT 'partition_ok', count(*) FROM raw_pings WHERE dt IS NOT NULL AND hr IS NOT NULL
         UNION ALL SELECT 'valid', count(*) FROM clean_valid
-        UNION ALL SELECT 'cleaned', count(*) FROM cleaned""", "cleaned"),
+        UNION ALL SELECT 'cleaned', count(*) FROM cleaned
+        UNION ALL SELECT 'stops', count(*) FROM stops_raw
+        UNION ALL SELECT 'pings', count(*) FROM pings
+        UNION ALL SELECT 'near_stop', count(*) FROM nearest
+        UNION ALL SELECT 'stop_line_pairs', count(*) FROM (SELECT DISTINCT stop_zespol, stop_slupek, line FROM nearest)
+        UNION ALL SELECT 'measured', count(*) FROM departed
+        UNION ALL SELECT 'weather', count(*) FROM weather
+        UNION ALL SELECT 'air', count(*) FROM air
+        UNION ALL SELECT 'air_since', count(*) FROM air_since""", "cleaned", "departed", "weather", "air",
+                                extra_ctes={"air_since": AIR_SINCE}),
     "partition_counts": with_ctes("SELECT date, count(*) AS rows FROM air GROUP BY date", "air"),
     "dimension_values": with_ctes("""
         SELECT DISTINCT 'parameter' AS dimension, parameter AS value FROM air WHERE parameter IS NOT NULL
