@@ -32,3 +32,21 @@ def rows(df, *cols):
     cols = cols or tuple(df.columns)
     out = [tuple(r[c] for c in cols) for r in df.collect()]
     return sorted(out, key=lambda t: tuple((v is None, str(type(v)), v if v is not None else 0) for v in t))
+
+
+def plan_text(df, mode: str = "simple") -> str:
+    """The physical plan as printed by df.explain (public API), captured."""
+    import contextlib
+    import io
+
+    spark = df.sparkSession
+    key = "spark.sql.maxMetadataStringLength"  # scan metadata is cut at 100 chars by default
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "100000")
+    buf = io.StringIO()
+    try:
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode=mode)
+    finally:
+        spark.conf.set(key, prev)
+    return buf.getvalue()

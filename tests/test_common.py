@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from metrolens.operators.common import bounded_broadcast, fits, hash_prefixed, spread
+from tests.conftest import plan_text
 
 
 def test_fits_reads_a_bounded_prefix(spark):
@@ -13,7 +14,7 @@ def test_bounded_broadcast_marks_only_small_frames(spark):
     big = spark.range(0, 100)
     joined_small = spark.range(0, 100).join(bounded_broadcast(small, 50), "id")
     joined_big = spark.range(0, 100).join(bounded_broadcast(big, 50), "id")
-    assert "broadcast" in joined_small._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "BroadcastHashJoin" in plan_text(joined_small)
     assert joined_big.count() == 100
 
 

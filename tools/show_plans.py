@@ -15,7 +15,20 @@ KEY = ["bus_clean", "nearest_stop", "line_delay_summary", "weather_hourly", "aq_
 
 
 def plan_text(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan as printed by df.explain(), captured."""
+    import contextlib
+    import io
+
+    spark = df.sparkSession
+    prev = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    buf = io.StringIO()
+    try:
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", prev)
+    return buf.getvalue()
 
 
 def shape(text: str) -> list[str]:
