@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,6 +15,10 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables. Also tells Python workers where this package is, for
+    sessions that were not started with it on their path."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metrolens.llm import exact_dedup, langid, mixing, packing, token_output
+from metrolens.llm import embedding_dedup, exact_dedup, jaccard_join, langid, mixing, packing, token_output, warc
 from metrolens.llm.common import table
 
 
@@ -17,7 +17,10 @@ def _over(name: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": _over("documents", mixing.query),
     "op2_exact_dedup": _over("documents", exact_dedup.query),
+    "op3_ngram_jaccard_join": _over("documents", jaccard_join.query),
+    "op5_embedding_dedup": _over("embeddings", embedding_dedup.query),
     "op6_best_fit_packing": _over("documents", packing.query),
+    "op8_warc": _over("pages", warc.query),
     "op9_token_output": _over("documents", token_output.query),
     "op10_language_id": _over("documents", langid.query),
 }
