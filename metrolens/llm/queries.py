@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metrolens.llm import embedding_dedup, exact_dedup, jaccard_join, langid, mixing, packing, token_output, warc
+from metrolens.llm import embedding_dedup, exact_dedup, jaccard_join, langid, mixing, packing, substring_dedup, token_output, warc
 from metrolens.llm.common import table
 
 
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": _over("documents", jaccard_join.query),
     "op5_embedding_dedup": _over("embeddings", embedding_dedup.query),
     "op6_best_fit_packing": _over("documents", packing.query),
+    "op7_substring_dedup": _over("documents", substring_dedup.query),
     "op8_warc": _over("pages", warc.query),
     "op9_token_output": _over("documents", token_output.query),
     "op10_language_id": _over("documents", langid.query),
