@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metrolens.llm import embedding_dedup, exact_dedup, jaccard_join, langid, mixing, packing, substring_dedup, token_output, warc
+from metrolens.llm import embedding_dedup, exact_dedup, jaccard_join, langid, mixing, packing, pii, substring_dedup, token_output, warc
 from metrolens.llm.common import table
 
 
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": _over("documents", mixing.query),
     "op2_exact_dedup": _over("documents", exact_dedup.query),
     "op3_ngram_jaccard_join": _over("documents", jaccard_join.query),
+    "op4_pii": _over("documents", pii.query),
     "op5_embedding_dedup": _over("embeddings", embedding_dedup.query),
     "op6_best_fit_packing": _over("documents", packing.query),
     "op7_substring_dedup": _over("documents", substring_dedup.query),
