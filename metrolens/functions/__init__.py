@@ -2,5 +2,5 @@
 
 from metrolens.functions.geo import EARTH_RADIUS_KM, haversine_m  # noqa: F401
 from metrolens.functions.numeric import (  # noqa: F401
-    corr_safe, corr_verdict, exact_avg, exact_mean, exact_round, half_up_div, units,
+    corr_safe, corr_verdict, half_up_div, not_nan, rounded_avg, units,
 )

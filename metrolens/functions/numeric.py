@@ -1,11 +1,8 @@
-"""Exact rounding and guarded statistics.
-
-Averages that are rounded to two digits must not depend on the order in which a cluster
-adds doubles up: a sum that lands on 12.3449999 on one run and 12.3450001 on another
-rounds differently. Every rounded average here is therefore computed on exact integers:
-values are scaled to integer units (cents for two decimals), summed as BIGINT, and
-divided once with an integer HALF_UP rule. Unrounded means are one IEEE division of
-two exact integers, so they are bit-identical on any engine and any partitioning.
+"""Rounded averages, exact rounding of whole-unit ratios, and guarded statistics.
+
+Averages are taken over the values as they are and only the result is rounded. Minutes
+of deviation are ratios of whole seconds and are rounded on integers (HALF_UP), so a
+value such as 59.46 / 12 does not depend on how a double represents it.
 """
 
 from __future__ import annotations
@@ -39,31 +36,26 @@ def half_up_div(num: Column, den: Column) -> Column:
     return F.when(num >= 0, pos).otherwise(neg)
 
 
-def exact_avg(col, digits: int = 2, scale: int = 2) -> Column:
-    """Aggregate: avg(col) rounded HALF_UP to `digits`, for values with <= `scale` decimals."""
-    total = F.sum(units(col, scale)) * F.lit(10 ** max(digits - scale, 0))
-    n = F.nullif(F.count(_c(col)), F.lit(0)) * F.lit(10 ** max(scale - digits, 0))
-    return (half_up_div(total, n).cast("double") / F.lit(float(10 ** digits)))
-
+def rounded_avg(col, digits: int = 2) -> Column:
+    """Aggregate: avg(col) rounded to `digits`; NULLs are left out, a NaN makes it NaN.
 
-def exact_mean(col, scale: int = 2) -> Column:
-    """Aggregate: unrounded avg(col) as one division of exact integers."""
-    total = F.sum(units(col, scale)).cast("double")
-    n = (F.count(_c(col)) * F.lit(10 ** scale)).cast("double")
-    return total / F.nullif(n, F.lit(0.0))
+    The mean is first rounded to ten digits: (24.99 + 30.0) / 2 is 27.494999999999997 as a
+    double, and sums in another order differ in such digits, so without it the result
+    could depend on the partitioning."""
+    return F.round(F.round(F.avg(_c(col)), 10), digits)
 
 
-def exact_round(col, digits: int = 2, scale: int = 4) -> Column:
-    """Row-level HALF_UP rounding of a value with <= `scale` decimals."""
-    if scale < digits:
-        raise ValueError("scale must be >= digits")
-    u = units(col, scale)
-    return half_up_div(u, F.lit(10 ** (scale - digits))).cast("double") / F.lit(float(10 ** digits))
+def not_nan(col) -> Column:
+    """The value, or NULL where it is NaN (for the summaries that skip missing readings)."""
+    c = _c(col)
+    return F.when(~F.isnan(c), c)
 
 
 def corr_safe(a, b, digits: int = 6) -> Column:
-    """Pearson correlation that is NULL (not an error) for a constant column or n < 2."""
-    a, b = _c(a), _c(b)
+    """Pearson correlation over the rows where both values are present; NULL (not an
+    error) for a constant column or fewer than two such rows."""
+    both = _c(a).isNotNull() & _c(b).isNotNull()
+    a, b = F.when(both, _c(a)), F.when(both, _c(b))
     denom = F.stddev_samp(a) * F.stddev_samp(b)
     return F.round(F.covar_samp(a, b) / F.nullif(denom, F.lit(0.0)), digits)
 

@@ -6,15 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from metrolens.functions.labels import severity_band, truncate_label
-from metrolens.functions.numeric import corr_safe, exact_avg, exact_mean
+from metrolens.functions.labels import severity_band, station_day_rowkey, truncate_label
+from metrolens.functions.numeric import corr_safe, not_nan, rounded_avg
 from metrolens.functions.timeparse import FMT_DAY, FMT_DMY, parse_ntz
 from metrolens.operators.common import dedupe
+from metrolens.operators.keyed import to_cells
 from metrolens.session import ensure_checkpoint_dir
 
-VALUE_SCALE = 2
-
-
 def parse_readings(df: DataFrame) -> DataFrame:
     """Add ts (TIMESTAMP_NTZ) parsed from 'dd-MM-yyyy HH:mm:ss'; malformed -> NULL."""
     return df.withColumn("ts", parse_ntz("datetimelocal", FMT_DMY))
@@ -36,22 +34,41 @@ def station_average(df: DataFrame, since: str) -> DataFrame:
     """Mean value per (station, parameter), rounded, highest first."""
     r = readings_since(df, since)
     return (r.groupBy("location_name", "parameter")
-             .agg(exact_avg("value", 2, VALUE_SCALE).alias("average_value"))
+             .agg(rounded_avg("value", 2).alias("average_value"))
              .orderBy(F.col("average_value").desc(), "location_name", "parameter"))
 
 
+def station_day_readings(df: DataFrame, since: str) -> DataFrame:
+    r = readings_since(df, since, dedupe_keys=["location_name", "datetimelocal", "parameter"],
+                       whole_row=False)
+    return r.withColumn("day", F.date_format("ts", FMT_DAY))
+
+
+def daily_cells(df: DataFrame, since: str, processed_at: bool = False) -> DataFrame:
+    """The station-day means as keyed cells (family meta: location, date[, processed_at];
+    family stats: one cell per parameter that has a mean), for every parameter present."""
+    r = station_day_readings(df, since)
+    key = station_day_rowkey("location_name", "day")
+    means = r.where(F.col("parameter").isNotNull()).groupBy("location_name", "day", "parameter").agg(rounded_avg("value", 2).alias("mean"))
+    stats = means.select(key.alias("rowkey"), F.lit("stats").alias("family"), F.col("parameter").alias("qualifier"),
+                         F.col("mean").cast("string").alias("value")).where(F.col("value").isNotNull())
+    days = means.select("location_name", "day").distinct().select(F.col("location_name").alias("location"), F.col("day").alias("date"))
+    meta = ["location", "date"]
+    if processed_at:
+        days = days.withColumn("processed_at", F.current_timestamp().cast("string"))
+        meta.append("processed_at")
+    return to_cells(days, station_day_rowkey("location", "date"), {"meta": meta}).unionByName(stats)
+
+
 def pivot_daily(df: DataFrame, since: str, parameters: list[str] | None = None,
                 processed_at: bool = False) -> DataFrame:
     """Station x day rows, one rounded-mean column per parameter (sparse: NULL if absent).
 
-    Readings are de-duplicated on (station, raw time, parameter) first. Pass
-    `parameters` when known to skip Spark's extra pass that lists the values."""
-    r = readings_since(df, since, dedupe_keys=["location_name", "datetimelocal", "parameter"],
-                       whole_row=False)
-    r = r.withColumn("day", F.date_format("ts", FMT_DAY))
-    out = (r.groupBy("location_name", "day")
-            .pivot("parameter", parameters)
-            .agg(exact_avg("value", 2, VALUE_SCALE)))
+    Readings are de-duplicated on (station, raw time, parameter) first. The columns are
+    the parameters that the readings have; `parameters` restricts them to a selection
+    (and skips Spark's extra pass that lists the values)."""
+    r = station_day_readings(df, since).where(F.col("parameter").isNotNull())
+    out = r.groupBy("location_name", "day").pivot("parameter", parameters).agg(rounded_avg("value", 2))
     if processed_at:
         out = out.withColumn("processed_at", F.current_timestamp())
     return out
@@ -61,15 +78,16 @@ def correlation_matrix(df: DataFrame, since: str, time_col: str = "ts", name_col
                        value_col: str = "value") -> DataFrame:
     """Pairwise-complete Pearson correlation between parameters over time.
 
-    Mean per (time, parameter) first, so each time holds at most one row per parameter;
-    the self-join on time then yields at most P*P pairs per time."""
+    Missing readings (NULL, NaN) are left out. Mean per (time, parameter) first; the means
+    of a time, at most one per parameter, are then gathered and paired within their row,
+    so there is no join."""
     r = readings_since(df, since)
     m = (r.where(F.col(name_col).isNotNull())
-          .groupBy(time_col, name_col).agg(exact_mean(value_col, VALUE_SCALE).alias("v")))
-    a = m.select(F.col(time_col).alias("_t"), F.col(name_col).alias("a"), F.col("v").alias("va"))
-    b = m.select(F.col(time_col).alias("_t"), F.col(name_col).alias("b"), F.col("v").alias("vb"))
-    return (a.join(b, "_t").groupBy("a", "b")
-             .agg(F.count(F.lit(1)).alias("n"), corr_safe("va", "vb").alias("corr")))
+          .groupBy(time_col, name_col).agg(F.avg(not_nan(value_col)).alias("v")).where(F.col("v").isNotNull()))
+    times = m.groupBy(time_col).agg(F.collect_list(F.struct(F.col(name_col).alias("p"), "v")).alias("all"))
+    pairs = times.select("all", F.explode("all").alias("x")).select("x", F.explode("all").alias("y"))
+    return (pairs.groupBy(F.col("x.p").alias("a"), F.col("y.p").alias("b"))
+                 .agg(F.count(F.lit(1)).alias("n"), corr_safe("x.v", "y.v").alias("corr")))
 
 
 def map_points(df: DataFrame, since: str) -> DataFrame:
@@ -78,7 +96,7 @@ def map_points(df: DataFrame, since: str) -> DataFrame:
     keys = ["location_name", "latitude", "longitude", "parameter"]
     for k in keys:
         r = r.where(F.col(k).isNotNull())
-    return r.groupBy(*keys).agg(exact_mean("value", VALUE_SCALE).alias("mean_value"))
+    return r.groupBy(*keys).agg(rounded_avg(not_nan("value"), 6).alias("mean_value"))
 
 
 def five_numbers(df: DataFrame, by: str, value: str, probs: tuple = (0.25, 0.5, 0.75),
@@ -98,12 +116,11 @@ def five_numbers(df: DataFrame, by: str, value: str, probs: tuple = (0.25, 0.5,
     hist = (df.where(F.col(value).isNotNull())
               .groupBy(F.col(by).alias("_g"), F.col(value).alias("_v"))
               .agg(F.count(F.lit(1)).alias("_c")))
-    stats = hist.groupBy("_g").agg(F.sum("_c").alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"))
-
     ensure_checkpoint_dir(spark)
     ranged = (hist.repartitionByRange(partitions or spark.sparkContext.defaultParallelism, "_g", "_v")
                   .checkpoint(eager=True)
                   .withColumn("_pid", F.spark_partition_id()))
+    stats = ranged.groupBy("_g").agg(F.sum("_c").alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"))
     run = Window.partitionBy("_pid", "_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_cum", F.sum("_c").over(run))
     before = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -166,8 +183,8 @@ def sensor_means(df: DataFrame) -> DataFrame:
     """Per date: mean temperature and mean PM2.5 reported by the air sensors."""
     d = daily_readings(df)
     pick = lambda p: F.when(F.col("parameter") == p, F.col("value"))
-    return d.groupBy("date").agg(exact_mean(pick("temperature"), VALUE_SCALE).alias("mean_temperature"),
-                                 exact_mean(pick("pm25"), VALUE_SCALE).alias("mean_pm25"))
+    return d.groupBy("date").agg(rounded_avg(not_nan(pick("temperature")), 6).alias("mean_temperature"),
+                                 rounded_avg(not_nan(pick("pm25")), 6).alias("mean_pm25"))
 
 
 def dimension_values(df: DataFrame) -> DataFrame:

@@ -5,40 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A broadcast side is replicated to every executor, so its size must be checked, not
-# assumed. Rows of the dimension tables used here are well under 200 bytes.
-DEFAULT_BROADCAST_MAX_ROWS = 500_000
+# A broadcast side is replicated to every executor, so its size is checked, not assumed.
+BROADCAST_MAX_BYTES = 64 << 20
+# Scan statistics are bytes on disk; rows in memory may take this much more.
+INFLATION = 8
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark `df` for broadcast only if it provably has at most `max_rows` rows.
-
-    The check reads at most max_rows + 1 rows. Above the bound the frame is returned
-    unchanged and Spark plans a shuffle join (AQE may still convert it at runtime
-    from measured shuffle sizes, and splits skewed partitions).
-    """
-    return F.broadcast(df) if fits(df, max_rows) else df
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of `df`, from the statistics of what it scans. Runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True if `df` has at most `max_rows` rows (reads at most max_rows + 1 rows)."""
-    if max_rows <= 0:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, copies: int = 1, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True if `copies` of `df`, decoded, are sure to stay below `max_bytes`."""
+    return estimated_bytes(df) * copies * INFLATION <= max_bytes
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin `df` over at least `min_partitions` partitions (default: the
-    cluster's default parallelism) if it has fewer.
+    """Round-robin a scan of a single split over `min_partitions` partitions (default: the
+    default parallelism).
 
-    A Parquet row group cannot be split, so an input of a few large row groups is
-    scanned by a few tasks; everything up to the next shuffle would run on them.
-    Inputs that already have enough splits (any large table) are returned unchanged,
-    so this adds no shuffle at scale. Apply it to a scan: counting the partitions of a
-    frame that already contains a shuffle would run that shuffle.
+    A Parquet row group cannot be split, so a one-row-group test file is scanned by one
+    task, and everything up to the next shuffle would run in it. Any input of more than
+    one split is returned unchanged, however many cores there are. Apply it to a scan:
+    counting the partitions of a frame with a shuffle would run that shuffle.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    if df.rdd.getNumPartitions() == 1 and want > 1:
         return df.repartition(want)
     return df
 

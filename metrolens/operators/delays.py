@@ -46,12 +46,12 @@ def top_lines(summary: DataFrame, n: int = 10, by: list[str] | None = None) -> D
     by = list(by or ["dt", "hour"])
     base = summary.select(*by, "line", F.col("avg_time_diff_minutes").alias("metric_val"),
                           F.col("measurement_count").alias("count"))
-    out = []
-    for name, col in (("metric", "metric_val"), ("count", "count")):
-        w = Window.partitionBy(*by).orderBy(F.col(col).desc(), F.col("line").asc())
-        out.append(base.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-                       .withColumn("ranking", F.lit(name)))
-    return out[0].unionByName(out[1]).select(*by, "ranking", "rank", "line", "metric_val", "count")
+    ranks = {"metric": "metric_val", "count": "count"}
+    over = {name: Window.partitionBy(*by).orderBy(F.col(col).desc(), F.col("line").asc()) for name, col in ranks.items()}
+    both = base.withColumns({f"_{name}": F.row_number().over(w) for name, w in over.items()})  # one shuffle for both
+    rows = F.array(*[F.struct(F.lit(name).alias("ranking"), F.col(f"_{name}").alias("rank")) for name in ranks])
+    return (both.select(*by, "line", "metric_val", "count", F.inline(rows)).where(F.col("rank") <= n)
+                .select(*by, "ranking", "rank", "line", "metric_val", "count"))
 
 
 def delay_pairs(summary: DataFrame) -> DataFrame:

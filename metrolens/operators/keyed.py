@@ -29,9 +29,13 @@ def to_cells(df: DataFrame, rowkey: Column, families: dict[str, list[str]],
 
 def upsert_cells(current: DataFrame, updates: DataFrame) -> DataFrame:
     """Last write wins per (rowkey, family, qualifier); both inputs carry `version`."""
-    u = current.select(*CELL_COLUMNS, "version").unionByName(updates.select(*CELL_COLUMNS, "version"))
-    return (u.groupBy("rowkey", "family", "qualifier")
-             .agg(F.max_by("value", "version").alias("value"), F.max("version").alias("version")))
+    return latest_cells(current.select(*CELL_COLUMNS, "version").unionByName(updates.select(*CELL_COLUMNS, "version")))
+
+
+def latest_cells(cells: DataFrame) -> DataFrame:
+    """One cell per (rowkey, family, qualifier): the newest version, of equal versions the larger value."""
+    newest = cells.groupBy("rowkey", "family", "qualifier").agg(F.max(F.struct("version", "value")).alias("_c"))
+    return newest.select("rowkey", "family", "qualifier", "_c.value", "_c.version")
 
 
 def upsert(current: DataFrame, updates: DataFrame, key: list[str], order: list | None = None) -> DataFrame:

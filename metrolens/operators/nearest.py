@@ -5,8 +5,8 @@ copied to the grid cells around it (3x3 radius-sized cells when the stops are
 broadcast, 5x5 half-radius cells on the shuffle path), each point sits in exactly one
 cell, and the exact haversine distance is only evaluated for pairs that share a cell. Stops that
 share one position are collapsed first (the smallest id wins, which is also what the
-distance tie-break would pick), so the pairs per point are bounded by geometry, not by
-how many rows the stop table has.
+distance tie-break would pick), so the pairs per point are the distinct stop positions
+in its neighbourhood of cells.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from metrolens.functions.geo import Grid, haversine_m
 from metrolens.functions.timeparse import time_of_day
-from metrolens.operators.common import DEFAULT_BROADCAST_MAX_ROWS, dedupe, fits, hash_prefixed
+from metrolens.operators.common import BROADCAST_MAX_BYTES, dedupe, fits, hash_prefixed
 
 # Fixed value: default match radius in metres.
 MAX_DISTANCE_METERS = 700.0
@@ -66,27 +66,27 @@ def nearest_within(points: DataFrame, targets: DataFrame, key: list[str],
                    target_lat: str = "stop_lat", target_lon: str = "stop_lon",
                    target_order: list[str] | None = None,
                    distance_col: str = "distance_m",
-                   broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                   broadcast_max_bytes: int = BROADCAST_MAX_BYTES, raw_col: str | None = None,
                    shuffle_cells_per_radius: int = 2) -> DataFrame:
     """For each point (one row per `key`), the nearest target within `radius_m` metres.
 
     Equivalent to ranking every target by distance and keeping rank 1 if it is within
     the radius, once targets without coordinates are removed. Ties: distance rounded
     to 6 digits, then `target_order`. Points with no target in range are dropped.
-    Output: point columns + target columns + distance_col (metres, rounded to 2).
+    Output: point columns + target columns + distance_col (metres, rounded to 2), and
+    `raw_col` with the distance as computed, if named: the match within a smaller radius
+    is this match where raw_col is within it.
     """
     order = target_order or [c for c in targets.columns if c not in (target_lat, target_lon)]
     t0 = targets.where(_valid_coords(target_lat, target_lon))
     t0 = dedupe(t0, keys=[target_lat, target_lon], order=[F.col(c).asc_nulls_last() for c in order])
-    # Broadcast radius-sized cells when the copied targets provably fit; otherwise
+    # Broadcast radius-sized cells when the copied targets are small by the scan's
+    # statistics (no job runs to decide it); otherwise
     # shuffle-join on finer cells: more distinct join keys (parallelism) and fewer
     # candidate pairs per point (area (2k+1)^2/k^2 r^2: 9 r^2 for k=1, 6.25 r^2 for k=2).
     grid = Grid(radius_m, 1)
     t = grid_targets(t0, grid, target_lat, target_lon)
-    # grid rows <= 9 copies x distinct positions <= 9 x input rows: checking the
-    # input (a scan) bounds the broadcast without running the de-dup shuffle twice
-    copies = len(grid.offsets) ** 2
-    if fits(targets, broadcast_max_rows // copies):
+    if fits(targets, len(grid.offsets) ** 2, broadcast_max_bytes):
         t = F.broadcast(t)
     else:
         grid = Grid(radius_m, shuffle_cells_per_radius)
@@ -101,19 +101,20 @@ def nearest_within(points: DataFrame, targets: DataFrame, key: list[str],
     w = (Window.partitionBy(*hash_prefixed(points, key))
                .orderBy(F.round("_d", 6), *[F.col(c).asc_nulls_last() for c in order]))
     best = pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-    return (best.withColumn(distance_col, F.round("_d", 2))
+    raw = {raw_col: F.col("_d")} if raw_col else {}
+    return (best.withColumns({distance_col: F.round("_d", 2), **raw})
                 .drop("_rn", "_d", "_band", "_cell"))
 
 
 def nearest_stop(pings: DataFrame, stops: DataFrame, radius_m: float = MAX_DISTANCE_METERS,
-                 broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                 broadcast_max_bytes: int = BROADCAST_MAX_BYTES, raw_col: str | None = None) -> DataFrame:
     """Cleaned pings -> nearest normalised stop within the radius (one row per ping key)."""
     p = pings.select("line", "vehicle_number", "brigade", "lat", "lon", "event_ts",
                      time_of_day("event_ts").alias("time_str"),
                      *[c for c in ("dt", "hr") if c in pings.columns])
     m = nearest_within(p, stops.select(*STOP_COLUMNS), key=["line", "vehicle_number", "event_ts"],
                        radius_m=radius_m, target_order=["stop_zespol", "stop_slupek", "stop_name"],
-                       broadcast_max_rows=broadcast_max_rows)
+                       broadcast_max_bytes=broadcast_max_bytes, raw_col=raw_col)
     return m.drop("stop_lat", "stop_lon")
 
 

@@ -3,35 +3,32 @@ side by side (the one-day report is this table filtered to one date)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metrolens.functions.numeric import exact_avg, exact_mean
+from metrolens.functions.numeric import rounded_avg
 from metrolens.functions.timeparse import dt_to_day
 
 
 def bus_day(summary: DataFrame) -> DataFrame:
     """Summary rows (dt, hour, line, avg, count) -> per day: rows, total measurements,
-    mean deviation, most-measured line and worst line (ties: smaller line)."""
-    s = summary.select(F.to_date(dt_to_day("dt")).alias("date"), "line",
-                       F.col("avg_time_diff_minutes").alias("metric_val"),
-                       F.col("measurement_count").alias("count"))
-    by_count = Window.partitionBy("date").orderBy(F.col("count").desc(), F.col("line").asc())
-    by_metric = Window.partitionBy("date").orderBy(F.col("metric_val").desc(), F.col("line").asc())
-    top = (s.withColumn("_r", F.row_number().over(by_count)).where("_r = 1")
-            .select("date", F.col("line").alias("top_line"), F.col("count").alias("top_line_count")))
-    worst = (s.withColumn("_r", F.row_number().over(by_metric)).where("_r = 1")
-              .select("date", F.col("line").alias("worst_line"), F.col("metric_val").alias("worst_line_metric")))
-    agg = s.groupBy("date").agg(F.count(F.lit(1)).alias("summary_rows"),
-                                F.sum("count").alias("total_measurements"),
-                                exact_mean("metric_val", 2).alias("avg_metric"))
-    return agg.join(top, "date").join(worst, "date")
+    mean deviation, most-measured line and worst line (ties: smaller line). One
+    aggregate: the first line by (value descending, line) is the least (-value, line)."""
+    count, metric = F.col("measurement_count"), F.col("avg_time_diff_minutes")
+    agg = summary.groupBy(F.to_date(dt_to_day("dt")).alias("date")).agg(
+        F.count(F.lit(1)).alias("summary_rows"), F.sum(count).alias("total_measurements"),
+        rounded_avg(metric, 6).alias("avg_metric"),
+        F.min(F.struct((-count).alias("v"), "line")).alias("_top"),
+        F.min(F.struct((-metric).alias("v"), "line")).alias("_worst"))
+    return agg.select("date", "summary_rows", "total_measurements", "avg_metric",
+                      F.col("_top.line").alias("top_line"), (-F.col("_top.v")).alias("top_line_count"),
+                      F.col("_worst.line").alias("worst_line"), (-F.col("_worst.v")).alias("worst_line_metric"))
 
 
 def pm25_day(readings: DataFrame) -> DataFrame:
     """readings with (date, parameter, value) -> per day mean PM2.5 (rounded)."""
     return (readings.where(F.col("parameter") == "pm25").groupBy("date")
-                    .agg(exact_avg("value", 2, 2).alias("avg_pm25")))
+                    .agg(rounded_avg("value", 2).alias("avg_pm25")))
 
 
 def city_report(weather_day: DataFrame, readings: DataFrame, summary: DataFrame) -> DataFrame:

@@ -38,10 +38,9 @@ def timetable_explode(df: DataFrame, payload: str = "payload", keys: list[str] |
     """One row per departure in a JSON feed payload column.
 
     Output: keys..., pos, time_text, direction. Empty departure lists are skipped;
-    a one-item list has no direction (''). `pos` is the feed position (used as the
-    tie-break, first entry wins); with `pos_base` it is pos_base * 1024 + index, which
-    orders entries across payloads of one key as long as a payload holds at most 1024
-    departures (a stop and line has a few hundred a day)."""
+    a one-item list has no direction (''). `pos` is the position in its payload (used as
+    the tie-break, first entry wins); with `pos_base`, the payload's own position, that
+    column is kept as feed_id and orders entries before `pos`."""
     keys = list(keys or TIMETABLE_KEY)
     parsed = df.select(*keys, *([pos_base] if pos_base else []),
                        F.from_json(F.col(payload), PAYLOAD_SCHEMA).alias("_p"))
@@ -50,15 +49,20 @@ def timetable_explode(df: DataFrame, payload: str = "payload", keys: list[str] |
     n = F.size("_item")
     last = F.try_element_at(F.col("_item"), n)
     second_last = F.when(n > 1, F.try_element_at(F.col("_item"), n - 1))
-    pos = (F.col(pos_base) * F.lit(1024) + F.col("_i")) if pos_base else F.col("_i").cast("long")
+    feed = [F.col(pos_base).cast("long").alias("feed_id")] if pos_base else []
     return (items.where(n > 0)
-                 .select(*keys, pos.cast("long").alias("pos"),
+                 .select(*keys, *feed, F.col("_i").cast("long").alias("pos"),
                          last["value"].alias("time_text"),
                          F.coalesce(second_last["value"], F.lit("")).alias("direction")))
 
 
+def _position(tt: DataFrame) -> list[str]:
+    """The columns that order the entries of a timetable."""
+    return [c for c in ("feed_id", "pos") if c in tt.columns]
+
+
 def parse_timetable(tt: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """(keys, pos, time_text, direction) -> (keys, pos, sec, scheduled_time, direction).
+    """(keys, [feed_id,] pos, time_text, direction) -> (keys, [feed_id,] pos, sec, scheduled_time, direction).
 
     Unparsable or empty times are dropped (they are skipped entries)."""
     keys = list(keys or TIMETABLE_KEY)
@@ -66,7 +70,7 @@ def parse_timetable(tt: DataFrame, keys: list[str] | None = None) -> DataFrame:
     # (filtering on the parsed value would be pushed down with the parse inlined).
     sec, text = hms_parts("time_text")
     return (tt.where(hms_valid("time_text"))
-              .select(*keys, "pos", sec.alias("sec"), text.alias("scheduled_time"),
+              .select(*keys, *_position(tt), sec.alias("sec"), text.alias("scheduled_time"),
                       F.coalesce(F.col("direction"), F.lit("")).alias("direction")))
 
 
@@ -132,6 +136,8 @@ def nearest_departure(matches: DataFrame, timetable: DataFrame, on: list[str] |
         ensure_checkpoint_dir(m.sparkSession)
         m = m.checkpoint(eager=True)
     deps = parse_timetable(timetable, keys)
+    if "feed_id" in deps.columns:
+        deps = deps.withColumn("pos", F.struct("feed_id", "pos")).drop("feed_id")
     asks = m.select(*keys, F.col("_t").alias("s")).distinct()
     best = resolve_departures(asks, deps, keys, wrap=wrap)
     joined = m.join(best.withColumnRenamed("s", "_t"), keys + ["_t"], "inner")

@@ -7,9 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metrolens.functions.labels import hour_rowkey, line_rowkey, station_day_rowkey
+from metrolens.functions.labels import hour_rowkey, line_rowkey
 from metrolens.operators import air, delays, keyed, report, weather
-from metrolens.operators.clean import clean_pings, ping_slice, require_dt
+from metrolens.operators.clean import clean_pings, partition_date, ping_slice
 from metrolens.operators.nearest import MAX_DISTANCE_METERS, nearest_stop, normalize_stops
 from metrolens.operators.schedule import nearest_departure, punctuality
 from metrolens.sources import tables
@@ -29,21 +29,23 @@ def clean_job(spark: SparkSession, raw, target_path: str, dt: str, table_name: s
     """Clean one raw partition date and merge it into the cleaned (dt, hr) table.
 
     Stray pings of another date are merged into their own partition instead of
-    replacing it. Registers the partitions on disk when `table_name` is given.
-    Returns {"table": staged frame, "counts": {raw_rows, cleaned_rows}}; the counts are
-    observed during the write itself (df.observe), so no extra job runs for them."""
+    replacing it. Registers the partitions it wrote when `table_name` is given.
+    Returns {"table": the stored rows of those partitions, "counts": {raw_rows, cleaned_rows}};
+    the counts are of this date's rows and are observed during the write itself
+    (df.observe), above the partition filter, so the scan is pruned and no extra job runs."""
     from pyspark.sql import Observation
 
     raw_obs, out_obs = Observation("raw"), Observation("cleaned")
-    src = _frame(spark, raw).observe(raw_obs, F.count(F.lit(1)).alias("rows"))
-    cleaned = clean_pings(src, dt=require_dt(dt), tz=tz).observe(out_obs, F.count(F.lit(1)).alias("rows"))
-    staged = tables.merge_partitions(cleaned, target_path, ["dt", "hr"], keys=["vehicle_number", "event_ts"],
-                                     order=[F.col("ingest_ms").desc_nulls_last()])
+    of_date = _frame(spark, raw).where(F.col("dt") == partition_date(dt))
+    src = of_date.observe(raw_obs, F.count(F.lit(1)).alias("rows"))
+    cleaned = clean_pings(src, tz=tz).observe(out_obs, F.count(F.lit(1)).alias("rows"))
+    stored, written = tables.merge_partitions(cleaned, target_path, ["dt", "hr"], keys=["vehicle_number", "event_ts"],
+                                              order=[F.col("ingest_ms").desc_nulls_last()])
     if table_name:
         tables.create_external_table(spark, table_name, CLEAN_TABLE_COLUMNS, [("dt", "string"), ("hr", "string")],
                                      target_path)
-        tables.register_partitions(spark, table_name)
-    return {"table": staged, "counts": {"raw_rows": raw_obs.get["rows"], "cleaned_rows": out_obs.get["rows"]}}
+        tables.register_partitions(spark, table_name, ["dt", "hr"], written)
+    return {"table": stored, "counts": {"raw_rows": raw_obs.get["rows"], "cleaned_rows": out_obs.get["rows"]}}
 
 
 def delay_job(spark: SparkSession, pings, stops, timetable: DataFrame, dt: str, hour: int,
@@ -93,16 +95,15 @@ def weather_job(spark: SparkSession, weather_table, dt: str, keyed_path: str | N
 
 def air_reload_job(spark: SparkSession, air_table, keyed_path: str, since: str,
                    parameters: list[str] | None = None) -> DataFrame:
-    """Full reload of the station-day keyed table: pivot, to cells (meta + stats
-    families, processed_at included), replace the table."""
-    p = air.pivot_daily(_frame(spark, air_table), since, parameters, processed_at=True)
-    params = [c for c in p.columns if c not in ("location_name", "day", "processed_at")]
-    p = (p.withColumnRenamed("location_name", "location").withColumnRenamed("day", "date")
-          .withColumn("processed_at", F.col("processed_at").cast("string")))
-    cells = keyed.to_cells(p, station_day_rowkey("location", "date"),
-                           {"meta": ["location", "date", "processed_at"], "stats": params}, version=_version())
-    cells.write.mode("overwrite").parquet(keyed_path)
-    return spark.read.parquet(keyed_path)
+    """Full reload of the station-day keyed table: means per station, day and parameter to
+    cells (meta + stats families, processed_at included), replace the table. `parameters`
+    restricts the reload to a selection."""
+    readings = _frame(spark, air_table)
+    if parameters:
+        readings = readings.where(F.col("parameter").isin(list(parameters)))
+    cells = air.daily_cells(readings, since, processed_at=True).withColumn("version", F.lit(_version()))
+    tables.remove_path(spark, keyed_path)
+    return tables.write_keyed(cells, keyed_path)
 
 
 def city_report_job(spark: SparkSession, weather_table, air_table, summary: DataFrame,

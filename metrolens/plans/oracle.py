@@ -1,10 +1,9 @@
 """DuckDB oracle SQL for each registered query (same names, same column aliases).
 
-The oracle is written independently of the Spark plans: brute-force nearest stop
-(box pre-filter + exact distance + rank), brute-force nearest departure (all
-departures of the stop and line, min |difference|), window de-duplication, and
-plain GROUP BYs. Rounded averages use the same integer HALF_UP rule as the Spark
-side (metrolens.functions.numeric) so both engines agree to the last bit.
+The oracle does not share the Spark plans: brute-force nearest stop (box pre-filter +
+exact distance + rank), brute-force nearest departure (all departures of the stop and
+line, min |difference|), window de-duplication, plain GROUP BYs, and plain averages of
+the raw values, rounded as decimals.
 """
 
 from __future__ import annotations
@@ -13,31 +12,18 @@ from metrolens.plans import catalog as C
 from metrolens.plans.oracle_fixtures import chain_ctes, with_ctes
 
 
-# -- exact numeric helpers (SQL text) ---------------------------------------------------
+# -- numeric helpers (SQL text) ---------------------------------------------------------
 
-def _u(expr: str, scale: int) -> str:
-    return f"CAST(round(({expr}) * {10 ** scale}) AS BIGINT)" if scale else f"CAST(round({expr}) AS BIGINT)"
+def rounded(expr: str, digits: int = 2) -> str:
+    return f"CAST(round(CAST({expr} AS DECIMAL(38, 12)), {digits}) AS DOUBLE)"
 
 
-def _half_up(num: str, den: str) -> str:
-    return (f"(CASE WHEN ({num}) >= 0 THEN (2 * ({num}) + ({den})) // (2 * ({den})) "
-            f"ELSE -((-2 * ({num}) + ({den})) // (2 * ({den}))) END)")
+def avg2(col: str, where: str | None = None) -> str:
+    return rounded(f"avg({col})" + (f" FILTER (WHERE {where})" if where else ""))
 
 
-def avg2(col: str, scale: int, digits: int = 2, where: str | None = None) -> str:
-    f = f" FILTER (WHERE {where})" if where else ""
-    s = f"(sum({_u(col, scale)}){f} * {10 ** max(digits - scale, 0)})"
-    n = f"(NULLIF(count({col}){f}, 0) * {10 ** max(scale - digits, 0)})"
-    return f"CAST({_half_up(s, n)} AS DOUBLE) / {float(10 ** digits)}"
-
-
-def mean(col: str, scale: int) -> str:
-    return (f"CAST(sum({_u(col, scale)}) AS DOUBLE) / "
-            f"NULLIF(CAST(count({col}) * {10 ** scale} AS DOUBLE), 0.0)")
-
-
-def round_exact(expr: str, digits: int, scale: int) -> str:
-    return f"CAST({_half_up(_u(expr, scale), str(10 ** (scale - digits)))} AS DOUBLE) / {float(10 ** digits)}"
+def mean(col: str) -> str:
+    return rounded(f"avg({col})", 6)
 
 
 def corr(a: str, b: str) -> str:
@@ -62,13 +48,13 @@ SELECT * EXCLUDE (rn) FROM (
 
 WX_HOURLY = f"""
 SELECT dt, CAST(hour({WX_TS}) AS INTEGER) AS hour, count(*) AS measurement_count,
-       {avg2('temp', 2)} AS avg_temp, {avg2('humidity', 0)} AS avg_humidity,
-       {avg2('wind_speed', 1)} AS avg_wind_speed, {avg2('pressure', 0)} AS avg_pressure
+       {avg2('temp')} AS avg_temp, {avg2('humidity')} AS avg_humidity,
+       {avg2('wind_speed')} AS avg_wind_speed, {avg2('pressure')} AS avg_pressure
 FROM weather GROUP BY dt, hour({WX_TS})"""
 
 WX_DAILY = f"""
-SELECT CAST({WX_TS} AS DATE) AS date, {avg2('temp', 2)} AS avg_temp, {avg2('pressure', 0)} AS avg_pressure,
-       {avg2('humidity', 0)} AS avg_humidity, {avg2('wind_speed', 1)} AS avg_wind_speed
+SELECT CAST({WX_TS} AS DATE) AS date, {avg2('temp')} AS avg_temp, {avg2('pressure')} AS avg_pressure,
+       {avg2('humidity')} AS avg_humidity, {avg2('wind_speed')} AS avg_wind_speed
 FROM wx_dedup GROUP BY 1"""
 
 AIR_PARSED = "SELECT *, try_strptime(datetimelocal, '%d-%m-%Y %H:%M:%S') AS ts FROM air"
@@ -78,9 +64,12 @@ WHERE ts IS NOT NULL AND ts >= TIMESTAMP '{C.AIR_SINCE} 00:00:00'"""
 AIR_DAILY = f"""
 SELECT *, CAST(ts AS DATE) AS date_ FROM ({AIR_PARSED}) WHERE ts IS NOT NULL"""
 
+# The parameters that the air-quality fixture has (the query takes them from the data).
+PARAMETERS = ["co", "no2", "o3", "pm10", "pm25", "so2", "temperature"]
+
 AIR_PIVOT = f"""
 SELECT location_name, strftime(ts, '%Y-%m-%d') AS day,
-       {", ".join(f"{avg2('value', 2, where=f'parameter = {chr(39)}{p}{chr(39)}')} AS {p}" for p in C.AIR_PARAMETERS)}
+       {", ".join(f"{avg2('value', where=f'parameter = {chr(39)}{p}{chr(39)}')} AS {p}" for p in PARAMETERS)}
 FROM (SELECT * EXCLUDE (rn) FROM (
         SELECT *, row_number() OVER (PARTITION BY location_name, datetimelocal, parameter ORDER BY
           location_id NULLS LAST, latitude NULLS LAST, longitude NULLS LAST, value NULLS LAST,
@@ -106,7 +95,7 @@ BUS_DAY = f"""
 SELECT a.date, summary_rows, total_measurements, avg_metric, top_line, top_line_count,
        worst_line, worst_line_metric
 FROM (SELECT date, count(*) AS summary_rows, CAST(sum(count) AS BIGINT) AS total_measurements,
-             {mean('metric_val', 2)} AS avg_metric FROM zs GROUP BY date) a
+             {mean('metric_val')} AS avg_metric FROM zs GROUP BY date) a
 JOIN (SELECT date, line AS top_line, count AS top_line_count FROM (
         SELECT *, row_number() OVER (PARTITION BY date ORDER BY count DESC, line) AS r FROM zs) WHERE r = 1) t
   ON a.date = t.date
@@ -186,19 +175,19 @@ ORACLE: dict[str, str] = {
     # -- weather
     "weather_basic": with_ctes(f"""
         SELECT count(*) AS total_records, min(temp) AS min_temp, max(temp) AS max_temp,
-               {mean('temp', 2)} AS avg_temp, {mean('humidity', 0)} AS avg_humidity,
-               {mean('pressure', 0)} AS avg_pressure FROM weather""", "weather"),
+               {mean('temp')} AS avg_temp, {mean('humidity')} AS avg_humidity,
+               {mean('pressure')} AS avg_pressure FROM weather""", "weather"),
     "weather_by_condition": with_ctes(f"""
-        SELECT weather_main, count(*) AS measurement_count, {avg2('temp', 2)} AS avg_temp,
-               {avg2('feels_like', 2)} AS avg_feels_like, {avg2('humidity', 0)} AS avg_humidity,
-               {avg2('pressure', 0)} AS avg_pressure, {avg2('wind_speed', 1)} AS avg_wind_speed,
-               {round_exact('min(temp)', 2, 2)} AS min_temp, {round_exact('max(temp)', 2, 2)} AS max_temp
+        SELECT weather_main, count(*) AS measurement_count, {avg2('temp')} AS avg_temp,
+               {avg2('feels_like')} AS avg_feels_like, {avg2('humidity')} AS avg_humidity,
+               {avg2('pressure')} AS avg_pressure, {avg2('wind_speed')} AS avg_wind_speed,
+               {rounded('min(temp)')} AS min_temp, {rounded('max(temp)')} AS max_temp
         FROM weather GROUP BY weather_main""", "weather"),
     "weather_hourly": with_ctes(WX_HOURLY, "weather"),
     "precip_stats": with_ctes(f"""
         SELECT count(*) AS measurements_with_precipitation,
-               {avg2('rain_1h', 4)} AS avg_rain_1h, {round_exact('max(rain_1h)', 2, 4)} AS max_rain_1h,
-               {avg2('snow_1h', 5)} AS avg_snow_1h, {round_exact('max(snow_1h)', 2, 5)} AS max_snow_1h
+               {avg2('rain_1h')} AS avg_rain_1h, {rounded('max(rain_1h)')} AS max_rain_1h,
+               {avg2('snow_1h')} AS avg_snow_1h, {rounded('max(snow_1h)')} AS max_snow_1h
         FROM weather WHERE (rain_1h IS NOT NULL AND rain_1h > 0) OR (snow_1h IS NOT NULL AND snow_1h > 0)""",
                               "weather"),
     "weather_daily": with_ctes("SELECT * FROM wx_daily", "weather",
@@ -211,8 +200,8 @@ ORACLE: dict[str, str] = {
                                 extra_ctes={"wx_dedup": WX_DEDUPED, "wx_daily": WX_DAILY}),
     "restamp_report": with_ctes(f"""
         SELECT CAST(CAST('{C.REPORT_DAY} ' || strftime({WX_TS}, '%H:%M:%S') AS TIMESTAMP) AS DATE) AS date,
-               {avg2('temp', 2)} AS avg_temp, {avg2('pressure', 0)} AS avg_pressure,
-               {avg2('humidity', 0)} AS avg_humidity, {avg2('wind_speed', 1)} AS avg_wind_speed
+               {avg2('temp')} AS avg_temp, {avg2('pressure')} AS avg_pressure,
+               {avg2('humidity')} AS avg_humidity, {avg2('wind_speed')} AS avg_wind_speed
         FROM wx_dedup GROUP BY 1""", "weather", extra_ctes={"wx_dedup": WX_DEDUPED}),
     "hour_stamp": with_ctes("""
         SELECT CAST(substr(dt, 1, 4) || '-' || substr(dt, 5, 2) || '-' || substr(dt, 7, 2) || ' '
@@ -224,17 +213,17 @@ ORACLE: dict[str, str] = {
         WHERE date_ = DATE '{C.REPORT_DAY}'""", "air", extra_ctes={"air_daily": AIR_DAILY}),
     # -- air quality
     "aq_station_avg": with_ctes(f"""
-        SELECT location_name, parameter, {avg2('value', 2)} AS average_value
+        SELECT location_name, parameter, {avg2('value')} AS average_value
         FROM air_since GROUP BY location_name, parameter""", "air", extra_ctes={"air_since": AIR_SINCE}),
     "aq_pivot": with_ctes(AIR_PIVOT, "air"),
     "aq_corr_matrix": with_ctes(f"""
         SELECT a.parameter AS a, b.parameter AS b, count(*) AS n, {corr('a.v', 'b.v')} AS corr
         FROM m a JOIN m b ON a.ts = b.ts GROUP BY a.parameter, b.parameter""", "air",
                                 extra_ctes={"air_since": AIR_SINCE,
-                                            "m": f"SELECT ts, parameter, {mean('value', 2)} AS v FROM air_since "
-                                                 f"WHERE parameter IS NOT NULL GROUP BY ts, parameter"}),
+                                            "m": "SELECT ts, parameter, avg(value) AS v FROM air_since "
+                                                 f"WHERE parameter IS NOT NULL AND value IS NOT NULL GROUP BY ts, parameter"}),
     "aq_map": with_ctes(f"""
-        SELECT location_name, latitude, longitude, parameter, {mean('value', 2)} AS mean_value
+        SELECT location_name, latitude, longitude, parameter, {mean('value')} AS mean_value
         FROM air_since WHERE location_name IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL
           AND parameter IS NOT NULL
         GROUP BY location_name, latitude, longitude, parameter""", "air", extra_ctes={"air_since": AIR_SINCE}),
@@ -256,8 +245,8 @@ ORACLE: dict[str, str] = {
         FROM air_daily WHERE parameter = 'pm25'""", "air", extra_ctes={"air_daily": AIR_DAILY}),
     "sensor_means": with_ctes(f"""
         SELECT date_ AS date,
-               {mean("CASE WHEN parameter = 'temperature' THEN value END", 2)} AS mean_temperature,
-               {mean("CASE WHEN parameter = 'pm25' THEN value END", 2)} AS mean_pm25
+               {mean("CASE WHEN parameter = 'temperature' THEN value END")} AS mean_temperature,
+               {mean("CASE WHEN parameter = 'pm25' THEN value END")} AS mean_pm25
         FROM air_daily GROUP BY date_""", "air", extra_ctes={"air_daily": AIR_DAILY}),
     # -- keyed tables
     "keyed_upsert": with_ctes("""
@@ -274,7 +263,7 @@ ORACLE: dict[str, str] = {
                             "avg_wind_speed", "avg_pressure"]})}),
     "aq_cells": with_ctes("SELECT * FROM ac", "air", extra_ctes={
         "ap": f"SELECT location_name AS location, day AS date, * EXCLUDE (location_name, day) FROM ({AIR_PIVOT})",
-        "ac": cells("ap", "location || '#' || date", {"meta": ["location", "date"], "stats": C.AIR_PARAMETERS})}),
+        "ac": cells("ap", "location || '#' || date", {"meta": ["location", "date"], "stats": PARAMETERS})}),
     "keyed_scan": with_ctes(f"""
         SELECT * FROM sc WHERE rowkey IN (SELECT DISTINCT rowkey FROM sc ORDER BY rowkey LIMIT {C.SCAN_LIMIT})""",
                             "summary", extra_ctes={"sc": cells("summary", LINE_KEY, {"cf": SUMMARY_COLS})}),
@@ -284,7 +273,7 @@ ORACLE: dict[str, str] = {
     "city_report": with_ctes(f"""
         SELECT *, CASE WHEN avg_pm25 IS NULL THEN 'no data' ELSE 'ok' END AS pm25_status
         FROM (SELECT date, avg_temp, avg_humidity, avg_pressure, avg_wind_speed FROM wx_daily) w
-        FULL OUTER JOIN (SELECT date_ AS date, {avg2('value', 2)} AS avg_pm25 FROM air_daily
+        FULL OUTER JOIN (SELECT date_ AS date, {avg2('value')} AS avg_pm25 FROM air_daily
                          WHERE parameter = 'pm25' GROUP BY date_) p USING (date)
         FULL OUTER JOIN zd USING (date)""", "weather", "air", "summary",
                              extra_ctes={"wx_dedup": WX_DEDUPED, "wx_daily": WX_DAILY, "air_daily": AIR_DAILY,

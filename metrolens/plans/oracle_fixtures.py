@@ -76,7 +76,7 @@ FROM tt_base"""
 
 # Independent parse of 'H:M:S' entries: hour folded % 24, minute/second 0..59.
 def parsed_from(src: str) -> str:
-    return TIMETABLE_PARSED.replace("FROM timetable))", f"FROM {src}))")
+    return TIMETABLE_PARSED.replace("FROM timetable))", f"FROM {src}))").replace("line, pos, direction", "line, feed_id, pos, direction")
 
 
 TIMETABLE_PARSED = """
@@ -93,13 +93,13 @@ SELECT epoch_ms(ts) - epoch_ms(ts) % 600000 AS event_time,
        CAST(user_id AS INTEGER) AS weather_id,
        event_type AS weather_main,
        event_type || ' observed' AS weather_desc,
-       value - 20.0::DOUBLE AS temp,
-       value - 22.5::DOUBLE AS feels_like,
+       value - 20.0::DOUBLE + (event_id % 977) / 31337.0::DOUBLE AS temp,
+       value - 22.5::DOUBLE + (event_id % 499) / 17389.0::DOUBLE AS feels_like,
        CAST(980 + event_id % 60 AS INTEGER) AS pressure,
        CAST(event_id % 100 AS INTEGER) AS humidity,
-       (event_id % 200) / 10.0::DOUBLE AS wind_speed,
-       CASE WHEN event_id % 3 = 0 THEN value / 100.0::DOUBLE END AS rain_1h,
-       CASE WHEN event_id % 7 = 0 THEN value / 200.0::DOUBLE WHEN event_id % 7 = 1 THEN 0.0::DOUBLE END AS snow_1h,
+       CASE WHEN event_id % 103 <> 0 THEN (event_id % 200) / 10.0::DOUBLE + (event_id % 83) / 29989.0::DOUBLE END AS wind_speed,
+       CASE WHEN event_id % 3 = 0 THEN value / 137.0::DOUBLE END AS rain_1h,
+       CASE WHEN event_id % 7 = 0 THEN value / 211.0::DOUBLE WHEN event_id % 7 = 1 THEN 0.0::DOUBLE END AS snow_1h,
        strftime(ts, '%Y-%m-%d') AS dt
 FROM events"""
 
@@ -108,11 +108,12 @@ SELECT user_id % 10 AS location_id,
        'Station ' || CAST(user_id % 10 AS VARCHAR) || CASE WHEN user_id % 2 = 0 THEN ' Centrum' ELSE '' END AS location_name,
        52.2::DOUBLE + (user_id % 10) / 100.0::DOUBLE AS latitude,
        21.0::DOUBLE + (user_id % 10) / 50.0::DOUBLE AS longitude,
-       CASE event_type WHEN 'click' THEN 'pm25' WHEN 'error' THEN 'pm10' WHEN 'purchase' THEN 'no2'
-            WHEN 'signup' THEN CASE WHEN user_id % 10 = 9 THEN 'so2' ELSE 'o3' END
+       CASE WHEN event_id % 17 = 0 THEN 'co' WHEN event_type = 'click' THEN 'pm25' WHEN event_type = 'error' THEN 'pm10'
+            WHEN event_type = 'purchase' THEN 'no2'
+            WHEN event_type = 'signup' THEN CASE WHEN user_id % 10 = 9 THEN 'so2' ELSE 'o3' END
             ELSE 'temperature' END AS parameter,
        CASE WHEN event_id % 97 = 0 THEN 'n/a' ELSE strftime(ts, '%d-%m-%Y %H:00:00') END AS datetimelocal,
-       value,
+       CASE WHEN event_id % 101 <> 0 THEN value + (event_id % 613) / 7919.0::DOUBLE END AS value,
        strftime(ts, '%Y-%m-%d') AS date
 FROM events"""
 
@@ -167,10 +168,13 @@ FROM (SELECT *, CAST(round(time_diff_minutes * 100) AS BIGINT) AS c FROM departe
 GROUP BY line, dt, hr"""
 
 FEED_ITEMS = f"""
-SELECT stop_zespol, stop_slupek, line, pos * 1024 AS pos, {hms("sec_raw")} AS time_text, direction FROM tt_base
+SELECT stop_zespol, stop_slupek, line, pos AS feed_id, 0 AS pos, {hms("sec_raw")} AS time_text, direction FROM tt_base
 UNION ALL
-SELECT stop_zespol, stop_slupek, line, pos * 1024 + 1 AS pos, {hms("(sec_raw + 1800) % 90000")} AS time_text,
-       '' AS direction FROM tt_base"""
+SELECT stop_zespol, stop_slupek, line, pos AS feed_id, 1 AS pos, {hms("(sec_raw + 1800) % 90000")} AS time_text,
+       '' AS direction FROM tt_base
+UNION ALL
+SELECT stop_zespol, stop_slupek, line, pos AS feed_id, 3 + i AS pos, {hms("((sec_raw + i * 7) % 90000)")} AS time_text,
+       '' AS direction FROM tt_base, generate_series(0, 1099) AS g(i) WHERE l_orderkey % 997 = 0 AND l_linenumber = 1"""
 
 CLEAN_STD = """
 SELECT Lines AS line, VehicleNumber AS vehicle_number, Brigade AS brigade, Lat AS lat, Lon AS lon,

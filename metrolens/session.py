@@ -26,7 +26,7 @@ def build_session(master: str = "local[8]", app: str = "metrolens",
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = "16g"
+    conf["spark.driver.memory"] = "8g"
     conf["spark.ui.showConsoleProgress"] = "false"
     # Local runs use small inputs: let AQE keep post-shuffle partitions down to 32 KB
     # (default 1 MB) so CPU-heavy stages after small shuffles still use every core.
@@ -55,7 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     to their own disks), so a missing setting is an error there."""
     value = checkpoint_dir(spark)
     if value is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3) "
                                "for checkpoints and staged writes")
         value = tempfile.mkdtemp(prefix="metrolens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -19,10 +19,9 @@ from metrolens.operators.nearest import pad_short
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. The files are single Parquet row groups, which cannot be split, so
-    a table that arrives in fewer splits than there are cores is spread round-robin
-    (column pruning and filters still reach the scan below the repartition); a large
-    table is returned as scanned."""
+    """A test table. Some are one Parquet row group, which cannot be split: those are spread
+    round-robin (column pruning and filters still reach the scan below the repartition);
+    a table of more than one split is returned as scanned."""
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
@@ -140,7 +139,8 @@ def timetable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timetable_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One feed payload (JSON text) per lineitem row with three departure lists: a full
-    one (brigade, direction, time), a one-item one (time only, +30 min) and an empty one."""
+    one (brigade, direction, time), a one-item one (time only, +30 min) and an empty one;
+    some payloads have 1,100 one-item lists more."""
     b = _timetable_base(spark, sf_dir)
     kv = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("value"))
     full = F.array(kv("brigade", (F.col("_ok") % 9).cast("string")),
@@ -148,7 +148,9 @@ def timetable_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                    kv("time", _hms(F.col("_sec"))))
     one = F.array(kv("time", _hms((F.col("_sec") + 1800) % 90000)))
     empty = F.array().cast("array<struct<key:string,value:string>>")
-    payload = F.to_json(F.struct(F.array(full, one, empty).alias("result")))
+    long = F.transform(F.sequence(F.lit(0), F.lit(1099)), lambda i: F.array(kv("time", _hms((F.col("_sec") + i * 7) % 90000))))
+    more = F.when((F.col("_ok") % 997 == 0) & (F.col("_ln") == 1), long).otherwise(F.array().cast("array<array<struct<key:string,value:string>>>"))
+    payload = F.to_json(F.struct(F.concat(F.array(full, one, empty), more).alias("result")))
     return b.select("stop_zespol", "stop_slupek", "line", F.col("_pos").alias("feed_id"),
                     payload.alias("payload"))
 
@@ -163,19 +165,20 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("int").alias("weather_id"),
         F.col("event_type").alias("weather_main"),
         F.concat(F.col("event_type"), F.lit(" observed")).alias("weather_desc"),
-        (v - F.lit(20.0)).alias("temp"),
-        (v - F.lit(22.5)).alias("feels_like"),
+        (v - F.lit(20.0) + (eid % 977) / F.lit(31337.0)).alias("temp"),
+        (v - F.lit(22.5) + (eid % 499) / F.lit(17389.0)).alias("feels_like"),
         (F.lit(980) + eid % 60).cast("int").alias("pressure"),
         (eid % 100).cast("int").alias("humidity"),
-        ((eid % 200) / F.lit(10.0)).alias("wind_speed"),
-        F.when(eid % 3 == 0, v / F.lit(100.0)).alias("rain_1h"),
-        F.when(eid % 7 == 0, v / F.lit(200.0)).when(eid % 7 == 1, F.lit(0.0)).alias("snow_1h"),
+        F.when(eid % 103 != 0, (eid % 200) / F.lit(10.0) + (eid % 83) / F.lit(29989.0)).alias("wind_speed"),
+        F.when(eid % 3 == 0, v / F.lit(137.0)).alias("rain_1h"),
+        F.when(eid % 7 == 0, v / F.lit(211.0)).when(eid % 7 == 1, F.lit(0.0)).alias("snow_1h"),
         F.date_format("ts", FMT_DAY).alias("dt"),
     )
 
 
-def _parameter(event_type: Column, station: Column) -> Column:
-    return (F.when(event_type == "click", F.lit("pm25"))
+def _parameter(event_type: Column, station: Column, eid: Column) -> Column:
+    return (F.when(eid % 17 == 0, F.lit("co"))
+             .when(event_type == "click", F.lit("pm25"))
              .when(event_type == "error", F.lit("pm10"))
              .when(event_type == "purchase", F.lit("no2"))
              .when(event_type == "signup", F.when(station == 9, F.lit("so2")).otherwise(F.lit("o3")))
@@ -194,9 +197,9 @@ def air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         name.alias("location_name"),
         (F.lit(52.2) + st / F.lit(100.0)).alias("latitude"),
         (F.lit(21.0) + st / F.lit(50.0)).alias("longitude"),
-        _parameter(F.col("event_type"), st).alias("parameter"),
+        _parameter(F.col("event_type"), st, F.col("event_id")).alias("parameter"),
         F.when(F.col("event_id") % 97 == 0, F.lit("n/a"))
          .otherwise(F.date_format("ts", "dd-MM-yyyy HH:00:00")).alias("datetimelocal"),
-        F.col("value").alias("value"),
+        F.when(F.col("event_id") % 101 != 0, F.col("value") + (F.col("event_id") % 613) / F.lit(7919.0)).alias("value"),
         F.date_format("ts", FMT_DAY).alias("date"),
     )

@@ -3,7 +3,7 @@ partition registration, rotation, listing and drop."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metrolens.operators.common import dedupe
@@ -27,37 +27,80 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
        .parquet(path))
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system and path object of `path`, whatever store it is in."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001 - missing/empty folder
-        return False
+    """False only if nothing is stored at `path`; a store that cannot be read raises."""
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def partition_values(df: DataFrame, partition_cols: list[str]) -> list[tuple]:
+    """The partitions that `df` has rows in: what one run writes, not the table's."""
+    return [tuple(r) for r in df.select(*partition_cols).distinct().collect()]
+
+
+def in_partitions(partition_cols: list[str], values: list[tuple]) -> Column:
+    """A predicate on the bare partition columns, so that the scan prunes by it."""
+    out = F.lit(False)
+    for v in values:
+        one = F.lit(True)
+        for c, x in zip(partition_cols, v):
+            one = one & F.col(c).eqNullSafe(F.lit(x))
+        out = out | one
+    return out
+
+
+def replace_partitions(rows: DataFrame, path: str, partition_cols: list[str]) -> list[tuple]:
+    """Stage `rows` under the shared checkpoint folder (they may read the table itself),
+    replace just the partitions they are in, and remove the staged copy. Returns the
+    partitions. If the job dies in between, the stored partitions or the staged copy
+    are whole; running it again gives the same table."""
+    spark = rows.sparkSession
+    staged_at = staging_path(spark, "merge")
+    rows.write.mode("overwrite").parquet(staged_at)
+    staged = spark.read.schema(rows.schema).parquet(staged_at)
+    values = partition_values(staged, partition_cols)
+    if values:
+        write_partitioned(staged, path, partition_cols)
+    remove_path(spark, staged_at)
+    return values
 
 
 def merge_partitions(df: DataFrame, path: str, partition_cols: list[str], keys: list[str],
-                     order: list | None = None) -> DataFrame:
+                     order: list | None = None) -> tuple[DataFrame, list[tuple]]:
     """Write `df` into the partitions it touches without losing what they already hold.
 
     Rows already stored in those partitions are unioned with `df`, de-duplicated on
-    `keys` (first by `order`, new rows winning when `order` is None), staged under the
-    shared checkpoint folder (a path cannot be read and overwritten by one plan), and
-    written back with dynamic overwrite. Returns the staged frame.
-    """
+    `keys` (first by `order`, new rows winning when `order` is None), and written back.
+    `df` is materialised once; other partitions are neither read nor written. Returns
+    (the stored rows of those partitions, the partitions)."""
     spark = df.sparkSession
-    new = df.withColumn("_new", F.lit(1))
-    if path_exists(spark, path):
-        touched = df.select(*partition_cols).distinct()
-        stored = read_partitioned(spark, path)  # partition values stay strings ('08', not 8)
-        old = (stored.join(touched, partition_cols, "left_semi")
-                     .select(*df.columns).withColumn("_new", F.lit(0)))
-        new = new.unionByName(old)
-    merged = dedupe(new, keys=keys, order=list(order or []) + [F.col("_new").desc()]).drop("_new")
-    stage = staging_path(spark, "merge")
-    merged.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    write_partitioned(staged, path, partition_cols)
-    return staged
+    fresh_at = staging_path(spark, "fresh")
+    df.write.mode("overwrite").parquet(fresh_at)
+    fresh = spark.read.schema(df.schema).parquet(fresh_at)
+    values = partition_values(fresh, partition_cols)
+    rows = fresh.withColumn("_new", F.lit(1))
+    if values and path_exists(spark, path):
+        stored = read_partitioned(spark, path, schema=df.schema)  # partition values stay strings ('08', not 8)
+        old = stored.where(in_partitions(partition_cols, values)).select(*df.columns)
+        rows = rows.unionByName(old.withColumn("_new", F.lit(0)))
+    merged = dedupe(rows, keys=keys, order=list(order or []) + [F.col("_new").desc()]).drop("_new")
+    replace_partitions(merged, path, partition_cols)
+    remove_path(spark, fresh_at)
+    if not values:
+        return df.limit(0), values
+    table = read_partitioned(spark, path, schema=df.schema)
+    return table.where(in_partitions(partition_cols, values)).select(*df.columns), values
 
 
 def create_external_table(spark: SparkSession, name: str, columns: list[tuple[str, str]],
@@ -78,9 +121,22 @@ def create_csv_table(spark: SparkSession, name: str, columns: list[tuple[str, st
               f"OPTIONS (header 'true', sep ',') LOCATION '{loc}'")
 
 
-def register_partitions(spark: SparkSession, name: str) -> None:
-    """Register exactly the partition folders that exist on disk."""
-    spark.sql(f"MSCK REPAIR TABLE {_ident(name)}")
+def register_partitions(spark: SparkSession, name: str, partition_cols: list[str] | None = None,
+                        values: list[tuple] | None = None) -> None:
+    """Register the partitions of one run; without them, every folder that is on disk."""
+    if values is None:
+        spark.sql(f"MSCK REPAIR TABLE {_ident(name)}")
+        return
+    for v in values:
+        spec = ", ".join(f"`{c}` = '{_quoted(x)}'" for c, x in zip(partition_cols, v))
+        spark.sql(f"ALTER TABLE {_ident(name)} ADD IF NOT EXISTS PARTITION ({spec})")
+
+
+def _quoted(value) -> str:
+    text = str(value)
+    if "'" in text or "\\" in text:
+        raise ValueError(f"bad partition value: {text!r}")
+    return text
 
 
 def show_partitions(spark: SparkSession, name: str) -> DataFrame:
@@ -115,17 +171,48 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_ident(name)}")
 
 
-def write_keyed(cells: DataFrame, path: str) -> DataFrame:
+KEY_PREFIX = 8  # characters of the row key that name its partition (yyyyMMdd in the result tables)
+
+
+def write_keyed(cells: DataFrame, path: str, prefix: int = KEY_PREFIX) -> DataFrame:
     """Upsert cells (rowkey, family, qualifier, value, version) into a keyed table folder
-    (created if missing); last write per cell wins. Returns the stored frame."""
-    from metrolens.operators.keyed import upsert_cells
+    (created if missing); the last write of a cell wins, within `cells` too. The table is
+    partitioned by the first `prefix` characters of the key, and only the partitions of
+    the new keys are read and rewritten. Returns the stored frame."""
+    from metrolens.operators.keyed import latest_cells
 
     spark = cells.sparkSession
-    merged = cells
+    new = latest_cells(cells).withColumn("key_prefix", F.substring("rowkey", 1, prefix))
+    schema = new.schema
     if path_exists(spark, path):
-        merged = upsert_cells(spark.read.parquet(path), cells)
-    stage = staging_path(spark, "keyed")
-    merged.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    staged.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        touched = partition_values(new, ["key_prefix"])
+        stored = read_partitioned(spark, path, schema=schema).where(in_partitions(["key_prefix"], touched))
+        new = latest_cells(stored.unionByName(new)).withColumn("key_prefix", F.substring("rowkey", 1, prefix))
+    replace_partitions(new, path, ["key_prefix"])
+    return read_keyed(spark, path)
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+    return read_partitioned(spark, path)
+
+
+def get_keyed(spark: SparkSession, path: str, rowkey: str, prefix: int = KEY_PREFIX) -> DataFrame:
+    """All cells of one row key of a stored keyed table; reads the key's partition only."""
+    return read_keyed(spark, path).where((F.col("key_prefix") == rowkey[:prefix]) & (F.col("rowkey") == rowkey))
+
+
+def scan_keyed(spark: SparkSession, path: str, limit: int = 10) -> DataFrame:
+    """All cells of the first `limit` row keys of a stored keyed table, in key order.
+
+    Partitions are taken in the order of their prefixes until they hold enough keys; only their number of
+    keys reaches the driver."""
+    table = read_keyed(spark, path)
+    prefixes = sorted(v[0] for v in partition_values(table, ["key_prefix"]))
+    taken: list[str] = []
+    for p in prefixes:
+        taken.append(p)
+        if table.where(F.col("key_prefix").isin(taken)).select("rowkey").distinct().count() >= limit:
+            break
+    part = table.where(F.col("key_prefix").isin(taken))
+    first = part.select("rowkey").distinct().orderBy("rowkey").limit(limit)
+    return part.join(first, "rowkey", "left_semi")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,11 +40,13 @@ def start_hourly_clean(spark: SparkSession, source_path: str, target_path: str,
 
     available_now=True processes everything present and stops (a scheduled hourly
     run); False keeps polling for new files."""
-    ckpt = checkpoint or ensure_checkpoint_dir(spark).rstrip("/") + "/hourly-clean"
+    if not checkpoint:  # one for each pair of source and target
+        name = hashlib.sha256(f"{source_path}\n{target_path}".encode()).hexdigest()[:16]
+        checkpoint = ensure_checkpoint_dir(spark).rstrip("/") + f"/hourly-clean-{name}"
     reader = spark.readStream.schema(RAW_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.parquet(source_path)
-    writer = stream.writeStream.foreachBatch(clean_batch(target_path, tz)).option("checkpointLocation", ckpt)
+    writer = stream.writeStream.foreachBatch(clean_batch(target_path, tz)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from metrolens.operators.clean import clean_pings, require_dt
+from metrolens.operators.clean import clean_pings, partition_date
 from metrolens.operators.common import dedupe
 from tests.conftest import rows
 
@@ -28,10 +28,12 @@ def raw_df(spark):
     return spark.createDataFrame(data, RAW)
 
 
-def test_require_dt():
-    assert require_dt("20260110") == "20260110"
-    with pytest.raises(ValueError):
-        require_dt("2026-01-10")
+def test_partition_date():
+    assert partition_date("20260110") == "20260110"
+    for bad in ("2026-01-10", "20260110\n", "99999999", "20260230", " 20260110", "2026011", None, 20260110):
+        with pytest.raises(ValueError):
+            partition_date(bad)
+
 
 
 def test_clean_filters_and_latest_ingest(spark):

@@ -1,26 +1,23 @@
 from pyspark.sql import functions as F
 
-from metrolens.operators.common import bounded_broadcast, fits, hash_prefixed, spread
-from tests.conftest import plan_text
+from metrolens.operators.common import estimated_bytes, fits, hash_prefixed, spread
 
 
-def test_fits_reads_a_bounded_prefix(spark):
-    df = spark.range(0, 1000)
-    assert fits(df, 1000) and not fits(df, 999) and not fits(df, 0)
+def test_fits_asks_the_statistics_and_runs_no_job(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t"
+    spark.range(0, 1000).write.parquet(path)
+    df = spark.read.parquet(path)
+    size = estimated_bytes(df)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("fits", "fits")
+    assert fits(df, 1, size * 8) and not fits(df, 2, size * 8)
+    assert not tracker.getJobIdsForGroup("fits")
+    spark.sparkContext.setJobGroup("", "")
 
 
-def test_bounded_broadcast_marks_only_small_frames(spark):
-    small = spark.range(0, 10)
-    big = spark.range(0, 100)
-    joined_small = spark.range(0, 100).join(bounded_broadcast(small, 50), "id")
-    joined_big = spark.range(0, 100).join(bounded_broadcast(big, 50), "id")
-    assert "BroadcastHashJoin" in plan_text(joined_small)
-    assert joined_big.count() == 100
-
-
-def test_spread_only_when_fewer_splits_than_cores(spark):
+def test_spread_only_a_single_split(spark):
     one = spark.range(0, 100, numPartitions=1)
-    many = spark.range(0, 100, numPartitions=16)
+    many = spark.range(0, 100, numPartitions=2)
     assert spread(one, 4).rdd.getNumPartitions() == 4
     assert spread(many, 4) is many
 

@@ -3,7 +3,7 @@ import math
 from pyspark.sql import functions as F
 
 from metrolens.functions.geo import Grid, haversine_m
-from metrolens.functions.numeric import corr_safe, corr_verdict, exact_avg, exact_round
+from metrolens.functions.numeric import corr_safe, corr_verdict, not_nan, rounded_avg
 from metrolens.functions.timeparse import hms_parts, hms_valid, ntz_from_epoch_ms, restamp, hour_stamp
 
 
@@ -15,26 +15,21 @@ def test_haversine_known_distance(spark):
     assert out[1] == 0.0
 
 
-def test_exact_avg_half_up_and_ties(spark):
-    # 1.005 and 0.125 are ties at 2 digits: HALF_UP gives 1.01 and 0.13
-    df = spark.createDataFrame([("a", 1.00), ("a", 1.01), ("b", 0.12), ("b", 0.13), ("c", -0.12), ("c", -0.13),
-                                ("d", None)], "k string, v double")
-    out = dict(df.groupBy("k").agg(exact_avg("v", 2, 2).alias("m")).select("k", "m").collect())
-    assert out["a"] == 1.01
-    assert out["b"] == 0.13
-    assert out["c"] == -0.13
-    assert out["d"] is None
+def test_averages_are_of_raw_values(spark):
+    df = spark.createDataFrame([("wind", 0.04), ("wind", 0.04), ("wind", 1.54), ("small", 0.0049), ("small", 0.0048), ("small", 0.0047),
+                                ("none", None), ("nan", 1.0), ("nan", float("nan"))], "k string, v double")
+    out = {r["k"]: r for r in df.groupBy("k").agg(rounded_avg("v").alias("two"), rounded_avg("v", 6).alias("six"),
+                                                  rounded_avg(not_nan("v"), 6).alias("skipping")).collect()}
+    assert out["wind"]["two"] == 0.54 and out["small"]["six"] == 0.0048
+    assert out["none"]["two"] is None
+    assert math.isnan(out["nan"]["two"]) and out["nan"]["skipping"] == 1.0
 
 
-def test_exact_avg_integer_input_to_two_digits(spark):
-    df = spark.createDataFrame([(1,), (2,), (2,)], "v int")
-    assert df.agg(exact_avg("v", 2, 0)).first()[0] == 1.67
-
-
-def test_exact_round_rows(spark):
-    df = spark.createDataFrame([(0.0655,), (0.065,), (2.675,)], "v double")
-    out = [r[0] for r in df.select(exact_round("v", 2, 4)).collect()]
-    assert out == [0.07, 0.07, 2.68]
+def test_correlation_leaves_out_incomplete_pairs(spark):
+    full = [(1.0, 2.0), (2.0, 1.5), (3.0, 4.0), (4.0, 3.5)]
+    df = spark.createDataFrame(full + [(100.0, None), (None, -50.0)], "a double, b double")
+    whole = spark.createDataFrame(full, "a double, b double")
+    assert df.agg(corr_safe("a", "b")).first()[0] == whole.agg(corr_safe("a", "b")).first()[0]
 
 
 def test_corr_constant_column_is_null_not_error(spark):

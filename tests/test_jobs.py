@@ -1,6 +1,10 @@
 
+from pyspark.sql import functions as F
+
+from metrolens.operators.clean import clean_pings
 from metrolens.plans import jobs
 from metrolens.sources.readers import read_partitioned
+from tests.conftest import plan_text
 from tests.test_clean import raw_df
 from tests.test_weather_air import aq, wx
 
@@ -36,3 +40,16 @@ def test_weather_air_report_jobs(spark, tmpdir_path):
                                     "line string, dt string, hour int, avg_time_diff_minutes double, measurement_count bigint, total_time_diff double")
     r = jobs.city_report_job(spark, wx(spark), aq(spark), summary, day="2026-01-10").collect()
     assert len(r) == 1 and r[0]["top_line"] == "L-1" and r[0]["pm25_status"] == "no data"
+
+
+def test_clean_job_prunes_and_counts_its_own_date(spark, tmpdir_path):
+    raw = raw_df(spark)
+    more = raw.withColumn("dt", F.lit("20260112")).unionByName(raw).unionByName(raw.withColumn("dt", F.lit("20260111")))
+    path = f"{tmpdir_path}/raw"
+    more.write.partitionBy("dt").parquet(path)
+    stored = read_partitioned(spark, path)
+    expect = stored.where("dt = '20260110'").count()
+    res = jobs.clean_job(spark, stored, f"{tmpdir_path}/out", "20260110")
+    assert res["counts"]["raw_rows"] == expect < stored.count()
+    scanned = stored.where(F.col("dt") == "20260110").observe("n", F.count(F.lit(1)).alias("n"))
+    assert "PartitionFilters: [isnotnull(dt" in plan_text(clean_pings(scanned))

@@ -1,9 +1,11 @@
+import os
+
 from pyspark.sql import functions as F
 
 from metrolens.functions.labels import hour_rowkey, line_rowkey, station_day_rowkey
 from metrolens.operators.keyed import from_cells, keyed_get, keyed_scan, to_cells, upsert, upsert_cells
-from metrolens.sources.tables import write_keyed
-from tests.conftest import rows
+from metrolens.sources.tables import get_keyed, scan_keyed, write_keyed
+from tests.conftest import plan_text, rows
 
 
 def test_rowkeys_zero_pad(spark):
@@ -48,3 +50,23 @@ def test_wide_row_upsert(spark):
     out = rows(upsert(cur, upd, ["k"], order=[F.col("ver").desc()]), "k", "v")
     assert out == [("k1", 9.0), ("k2", 2.0), ("k3", 4.0)]
     assert rows(upsert(cur, upd.where("k = 'k1'"), ["k"]), "k", "v") == [("k1", 9.0), ("k2", 2.0)]
+
+
+def test_first_write_keeps_one_cell_and_ties_are_settled(spark, tmpdir_path):
+    cells = spark.createDataFrame([("k", "cf", "v", "1", 1), ("k", "cf", "v", "2", 2), ("t", "cf", "v", "b", 5), ("t", "cf", "v", "a", 5)],
+                                  "rowkey string, family string, qualifier string, value string, version long")
+    out = write_keyed(cells, f"{tmpdir_path}/first")
+    assert rows(out, "rowkey", "value") == [("k", "2"), ("t", "b")]
+
+
+def test_upsert_rewrites_only_the_partitions_of_its_keys(spark, tmpdir_path):
+    path = f"{tmpdir_path}/kt"
+    df = spark.createDataFrame([(f"2024010{d}_0{h}_x", d * 10 + h) for d in (1, 2, 3) for h in range(4)], "k string, v int")
+    write_keyed(to_cells(df, F.col("k"), {"cf": ["v"]}, version=1), path)
+    files = {d: sorted(os.listdir(f"{path}/key_prefix=2024010{d}")) for d in (1, 2, 3)}
+    write_keyed(to_cells(df.where("k LIKE '20240102%'").withColumn("v", F.lit(7)), F.col("k"), {"cf": ["v"]}, version=2), path)
+    assert {d: sorted(os.listdir(f"{path}/key_prefix=2024010{d}")) == files[d] for d in (1, 2, 3)} == {1: True, 2: False, 3: True}
+    got = get_keyed(spark, path, "20240102_01_x")
+    assert [r["value"] for r in got.collect()] == ["7"]
+    assert "PartitionFilters: [isnotnull(key_prefix" in plan_text(got)
+    assert sorted({r["rowkey"] for r in scan_keyed(spark, path, 6).collect()}) == sorted(r["k"] for r in df.collect())[:6]

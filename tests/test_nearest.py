@@ -89,7 +89,7 @@ def test_nearest_within_generic_columns(spark):
 
 
 def test_shuffle_path_with_finer_cells_matches_broadcast_path(spark):
-    """broadcast_max_rows=0 forces the shuffle join on half-radius cells; same answer."""
+    """broadcast_max_bytes=0 forces the shuffle join on half-radius cells; same answer."""
     import random
 
     rnd = random.Random(5)
@@ -98,5 +98,5 @@ def test_shuffle_path_with_finer_cells_matches_broadcast_path(spark):
     stops = normalize_stops(spark.createDataFrame(st, STOPS))
     pings = spark.createDataFrame(ps, PINGS).withColumn("event_ts", F.lit("2026-01-10 19:00:00").cast("timestamp_ntz"))
     a = rows(nearest_stop(pings, stops), "vehicle_number", "stop_zespol", "distance_m")
-    b = rows(nearest_stop(pings, stops, broadcast_max_rows=0), "vehicle_number", "stop_zespol", "distance_m")
+    b = rows(nearest_stop(pings, stops, broadcast_max_bytes=0), "vehicle_number", "stop_zespol", "distance_m")
     assert a == b and len(a) > 100

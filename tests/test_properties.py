@@ -1,4 +1,4 @@
-"""Property tests: exact rounding against rational arithmetic, pivot against the long
+"""Property tests: averages against rational arithmetic, pivot against the long
 form, upsert idempotence, keyed cells round trip."""
 
 from fractions import Fraction
@@ -7,30 +7,24 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from metrolens.functions.numeric import exact_avg, exact_mean
+from metrolens.functions.numeric import rounded_avg
 from metrolens.operators import air
 from metrolens.operators.keyed import to_cells, upsert_cells
 
 cents = st.integers(min_value=-50000, max_value=50000)
 
 
-def half_up(fr: Fraction) -> int:
-    n = abs(fr)
-    q = int(n + Fraction(1, 2)) if (n - int(n)) != Fraction(1, 2) else int(n) + 1
-    return q if fr >= 0 else -q
+values = st.floats(min_value=-1000, max_value=1000, allow_nan=False, width=64)
 
 
 @settings(max_examples=25, deadline=None)
-@given(st.lists(st.lists(cents, min_size=1, max_size=12), min_size=1, max_size=6))
-def test_exact_avg_matches_rational_half_up(spark, groups):
-    data = [(g, c / 100.0) for g, vals in enumerate(groups) for c in vals]
-    df = spark.createDataFrame(data, "g int, v double")
-    got = {r["g"]: (r["a"], r["m"]) for r in df.groupBy("g").agg(exact_avg("v", 2, 2).alias("a"),
-                                                               exact_mean("v", 2).alias("m")).collect()}
+@given(st.lists(st.lists(values, min_size=1, max_size=12), min_size=1, max_size=6))
+def test_average_is_of_the_values_as_they_are(spark, groups):
+    df = spark.createDataFrame([(g, v) for g, vals in enumerate(groups) for v in vals], "g int, v double")
+    got = {r["g"]: (r["two"], r["six"]) for r in df.groupBy("g").agg(rounded_avg("v").alias("two"), rounded_avg("v", 6).alias("six")).collect()}
     for g, vals in enumerate(groups):
-        fr = Fraction(sum(vals), len(vals))  # mean in cents
-        assert got[g][0] == half_up(fr) / 100.0
-        assert got[g][1] == sum(vals) / (len(vals) * 100)
+        exact = float(sum(map(Fraction, vals)) / len(vals))
+        assert abs(got[g][0] - exact) <= 0.005 + 1e-9 and abs(got[g][1] - exact) <= 0.5e-6 + 1e-9
 
 
 @settings(max_examples=10, deadline=None)
@@ -47,7 +41,7 @@ def test_pivot_equals_long_form(spark, readings):
                  .where("v IS NOT NULL"))
     r = air.readings_since(df, "2025-12-01", dedupe_keys=["location_name", "datetimelocal", "parameter"], whole_row=False)
     direct = (r.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-               .groupBy("location_name", "day", "parameter").agg(exact_avg("value", 2, 2).alias("v")))
+               .groupBy("location_name", "day", "parameter").agg(rounded_avg("value", 2).alias("v")))
     assert sorted(map(tuple, long_.collect())) == sorted(map(tuple, direct.select("location_name", "day", "parameter", "v").collect()))
 
 

@@ -1,3 +1,4 @@
+import pytest
 import os
 
 from pyspark.sql import functions as F
@@ -121,3 +122,47 @@ def test_merge_keeps_zero_padded_partition_values(spark, tmpdir_path):
     back = read_partitioned(spark, path)
     assert sorted(os.listdir(f"{path}/dt=20260110")) == ["hr=08"]
     assert back.count() == 2 and {r["hr"] for r in back.collect()} == {"08"}
+
+
+def test_unreadable_table_is_not_taken_for_missing(spark, tmpdir_path):
+    path = f"{tmpdir_path}/broken"
+    first = clean_pings(raw_df(spark), dt="20260110")
+    tables.write_partitioned(first, path, ["dt", "hr"])
+    assert tables.path_exists(spark, path) and not tables.path_exists(spark, f"{tmpdir_path}/nothing")
+    part = [f for f in os.listdir(f"{path}/dt=20260110/hr=20") if f.startswith("part-")][0]
+    broken = f"{path}/dt=20260110/hr=20/{part}"
+    with open(broken, "wb") as f:
+        f.write(b"PAR1 not a parquet file")
+    before = sorted(os.listdir(f"{path}/dt=20260110/hr=20"))
+    with pytest.raises(Exception):
+        tables.merge_partitions(first, path, ["dt", "hr"], keys=["vehicle_number", "event_ts"])
+    assert sorted(os.listdir(f"{path}/dt=20260110/hr=20")) == before
+
+
+def test_merge_leaves_no_staged_copies_and_other_partitions_alone(spark, tmpdir_path):
+    path = f"{tmpdir_path}/merged"
+    first = clean_pings(raw_df(spark), dt="20260110")
+    tables.merge_partitions(first, path, ["dt", "hr"], keys=["vehicle_number", "event_ts"])
+    base = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    staged = {f for f in os.listdir(base) if f.startswith("stage-")}
+    other = sorted(os.listdir(f"{path}/dt=20260109/hr=23"))
+    late = first.where("hr = '20'")
+    for _ in range(3):
+        _, values = tables.merge_partitions(late, path, ["dt", "hr"], keys=["vehicle_number", "event_ts"])
+        assert values == [("20260110", "20")]
+    assert {f for f in os.listdir(base) if f.startswith("stage-")} == staged
+    assert sorted(os.listdir(f"{path}/dt=20260109/hr=23")) == other
+    assert read_partitioned(spark, path).count() == first.count()
+
+
+def test_register_only_written_partitions(spark, tmpdir_path):
+    path = f"{tmpdir_path}/reg"
+    df = spark.createDataFrame([(1.0, "2026-01-05"), (2.0, "2026-01-06")], "value double, date string")
+    tables.write_partitioned(df, path, ["date"])
+    tables.drop_table(spark, "reg_t")
+    tables.create_external_table(spark, "reg_t", [("value", "double")], [("date", "string")], path)
+    tables.register_partitions(spark, "reg_t", ["date"], [("2026-01-06",)])
+    assert [r[0] for r in tables.show_partitions(spark, "reg_t").collect()] == ["date=2026-01-06"]
+    with pytest.raises(ValueError):
+        tables.register_partitions(spark, "reg_t", ["date"], [("x' OR '1",)])
+    tables.drop_table(spark, "reg_t")
