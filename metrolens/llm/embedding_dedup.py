@@ -154,3 +154,16 @@ def near_duplicates(vectors: DataFrame, vec: str = "embedding", vec_id: str = "v
 
 def query(vectors: DataFrame) -> DataFrame:
     return near_duplicates(vectors)
+
+
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reached(node, origin) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT b, origin FROM reached JOIN links ON node = a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN (SELECT node AS vec_id, min(origin) AS component_id FROM reached GROUP BY node) USING (vec_id)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)"""

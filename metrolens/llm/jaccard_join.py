@@ -280,3 +280,21 @@ def kept_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 def query(docs: DataFrame) -> DataFrame:
     return join(docs).select("doc_id", "class_id", "n_links", "set_id")
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS grams FROM d WHERE len(w) > 0),
+sets AS (SELECT min(doc_id) AS set_id, grams, len(grams) AS size FROM s GROUP BY grams),
+each AS (SELECT set_id, size, unnest(grams) AS g FROM sets),
+shared AS (SELECT a.set_id AS a, b.set_id AS b, a.size + b.size AS total, count(*) AS n_both
+           FROM each a JOIN each b ON a.g = b.g AND a.set_id <> b.set_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared WHERE n_both >= 0.8 * (total - n_both)),
+reached(node, origin) AS (SELECT set_id, set_id FROM sets UNION SELECT b, origin FROM reached JOIN links ON node = a)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n, 0) AS n_links, coalesce(set_id, doc_id) AS set_id
+FROM d LEFT JOIN (SELECT doc_id, set_id FROM s JOIN sets USING (grams)) USING (doc_id)
+LEFT JOIN (SELECT node AS set_id, min(origin) AS class_id FROM reached GROUP BY node) USING (set_id)
+LEFT JOIN (SELECT a AS set_id, count(*) AS n FROM links GROUP BY a) USING (set_id)"""

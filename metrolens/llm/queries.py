@@ -29,4 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.ORACLE,
+    "op3_ngram_jaccard_join": jaccard_join.ORACLE,
+    "op5_embedding_dedup": embedding_dedup.ORACLE,
+    "op7_substring_dedup": substring_dedup.ORACLE,
 }
