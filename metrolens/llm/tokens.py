@@ -8,10 +8,10 @@ import re
 import numpy as np
 
 #: Remembered words of a process, and the longest word that is remembered: a bound on its memory.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 1_200_000
 MEMO_CHARS = 64
-#: Two white space characters together, or a space at either end: cuts before single spaces are not safe there.
-_ODD_SPACE = re.compile(r"\s\s|\A | \Z")
+#: Marks that the vocabulary without spaces splits from the letters before them.
+_MARKS = (".", ",", ";", ":", "!", "?")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 _LOADED: dict = {}
@@ -32,7 +32,8 @@ class Encoder:
 
     A text is cut before single spaces between other characters. Both kinds of tokenizer
     used here split there anyway: one gives the space to the word after it
-    (`keeps_space`), the other drops white space. So words can be encoded one by one."""
+    (`keeps_space`), the other drops white space. So words can be encoded one by one, or
+    many in one call where the ids show where each begins or ends."""
 
     def __init__(self, vocabulary: str, keeps_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread for each task
@@ -40,7 +41,13 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
         self.keeps_space = keeps_space
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}  # ids of words after a space
+        self.heads: dict[str, bytes] = {}  # ids of words that begin a text
+        self.odd: set[str] = set()  # words with white space at an end
+        names = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(names.values()) + 1, bool)  # ids that begin with a space, or end a word
+        for name, i in names.items():
+            self.edge[i] = name.startswith("\u0120") if keeps_space else name.endswith("</w>")
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -49,31 +56,59 @@ class Encoder:
             out += [np.array(e.ids, dtype="<u4").tobytes() for e in found]
         return out
 
-    def _cut(self, text: str) -> tuple[str, list[str]]:
-        """The first word, and the others without the space before them."""
-        if self.keeps_space and _ODD_SPACE.search(text):
-            first, *rest = _SAFE_CUT.split(text)
-            return first, [w[1:] for w in rest]
-        first, *rest = text.split(" ")
-        return first, rest
+    def _lines(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words that have one edge each, many to a call."""
+        lead, found = " " if self.keeps_space else "", {}
+        lines = [words[i:i + 256] for i in range(0, len(words), 256)]
+        for line, e in zip(lines, self.tokenizer.encode_batch_fast([lead + " ".join(x) for x in lines], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            at = (4 * np.flatnonzero(self.edge[ids])).tolist()
+            if len(at) == len(line):  # else the words are encoded alone
+                cuts = [*at, 4 * len(ids)] if self.keeps_space else [0, *(a + 4 for a in at)]
+                data = ids.tobytes()
+                found.update(zip(line, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
+        return found
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of each word (after a space, if that is kept)."""
+        if self.keeps_space:  # words without white space inside
+            found = self._lines([w for w in words if w.isprintable() and " " not in w])
+        else:  # letters only; a mark after them is encoded apart
+            marked = [w for w in words if w[-1:] in _MARKS and w[:-1].isalpha()]
+            found = self._lines([w for w in words if w.isalpha()] + [w[:-1] for w in marked])
+            marks = dict(zip(_MARKS, self._encode(list(_MARKS))))
+            found.update({w: found[w[:-1]] + marks[w[-1]] for w in marked if w[:-1] in found})
+        lead = " " if self.keeps_space else ""
+        rest = [w for w in words if w not in found]
+        found.update(zip(rest, self._encode([lead + w for w in rest])))
+        return found
+
+    def _new(self, rests: list[list[str]]) -> list[str]:
+        return list(set().union(*rests).difference(self.memo))
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        firsts, rests = [], []
-        for t in texts:
-            first, rest = self._cut(t)
-            firsts.append(first)
-            rests.append(rest)
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
-        memo = self.memo
-        new = list(set().union(*rests).difference(memo))
-        lead = " " if self.keeps_space else ""
-        found = dict(zip(new, self._encode([lead + w for w in new])))
-        memo.update(found)
-        out = [a + b"".join(map(memo.__getitem__, rest)) for a, rest in zip(self._encode(firsts), rests)]
-        for w in found:
-            if len(w) > MEMO_CHARS:
-                del memo[w]
+            self.heads.clear()
+            self.odd.clear()
+        cut = [t.split(" ") for t in texts]
+        firsts, rests = [c[0] for c in cut], [c[1:] for c in cut]
+        new = self._new(rests)
+        if self.keeps_space:  # a cut next to other white space is not safe
+            self.odd.update(w for w in new if not w or w[0].isspace() or w[-1].isspace())
+            for i, (first, rest) in enumerate(zip(firsts, rests)):
+                if rest and (not first or first[-1].isspace() or not self.odd.isdisjoint(rest)):
+                    firsts[i], *safe = _SAFE_CUT.split(texts[i])
+                    rests[i] = [w[1:] for w in safe]
+            new = self._new(rests)
+        found = self._words(new)
+        self.memo.update(found)
+        heads = list(set(firsts).difference(self.heads))
+        self.heads.update(zip(heads, self._encode(heads)))
+        out = [self.heads[first] + b"".join(map(self.memo.__getitem__, rest)) for first, rest in zip(firsts, rests)]
+        for held, added in ((self.memo, found), (self.heads, heads)):
+            for w in [w for w in added if len(w) > MEMO_CHARS]:
+                held.pop(w, None)
         return out
 
 
