@@ -25,11 +25,11 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
+_PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 _IP = rf"\A{_PART}(?:\.{_PART}){{3}}\z"
 #: An identifier-like string: a token with a digit or @, and tokens with a digit that follow by single spaces.
 CANDIDATE = r"(?<!\S)\S*[0-9@]\S*+(?: \S*[0-9]\S*+)*+"
-_OPENING = r"""\A[("'<\[{=:]*+"""
+_OPENING = r"""\A(?:["'<\[{=:]|\((?![0-9]{1,4}\)))*+"""
 _CLOSING = r"""[.,;:!?)"'>\]}]*\z"""
 #: What an added identifier of each kind looks like.
 SHAPES = {
