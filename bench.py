@@ -1,9 +1,11 @@
 """Benchmark: run every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed fully through the `noop` sink (the whole plan runs, nothing is
-collected to the driver), $BENCH_RUNS times (default 2); the best time is reported.
+collected to the driver), $BENCH_RUNS times (default 3); the median is reported, and the
+spread (slowest minus fastest; the first run compiles, and writes the stored tables that
+later queries read).
 Prints one JSON line:
-{"metric": "total_query_seconds", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
+{"metric": "total_query_seconds", "value": N, "unit": "sec", "queries": {...}, "spread": {...}, "sf": ...}
 """
 
 from __future__ import annotations
@@ -14,11 +16,12 @@ import os
 import re
 import sys
 import time
+from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
 def main() -> None:
@@ -34,23 +37,24 @@ def main() -> None:
     QUERIES["weather_basic"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
+    spread: dict[str, float] = {}
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
-        best = None
-        for _ in range(RUNS):  # first run includes JIT/codegen warm-up; report the best
+        runs = []
+        for _ in range(RUNS):
             t0 = time.perf_counter()
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            el = time.perf_counter() - t0
-            best = el if best is None else min(best, el)
-        times[name] = round(best, 3)
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(median(runs), 3)
+        spread[name] = round(max(runs) - min(runs), 3)
         # drop this query's frames so Spark's cleaner can remove its checkpoint files
         gc.collect()
         print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else sf_dir
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf,
+                      "unit": "sec", "queries": times, "spread": spread, "sf": sf,
                       "runs_per_query": RUNS, "cpus": cpus}))
     spark.stop()
 

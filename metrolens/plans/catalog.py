@@ -23,7 +23,8 @@ from metrolens.operators.schedule import nearest_departure, parse_timetable, pun
 from metrolens.session import ensure_checkpoint_dir, staging_path
 from metrolens.sources import fixtures as fx
 from metrolens.sources import tables
-from metrolens.sources.readers import read_partitioned
+from metrolens.plans import jobs
+from metrolens.sources.readers import SUMMARY_COLUMNS, read_partitioned, read_stops_csv, read_summary_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,7 @@ REPORT_DAY = "2024-01-10"
 EARLIER_RADIUS_M = 500.0
 SCAN_LIMIT = 10
 GET_KEY = "20240110_08_click"
+ROTATED_OUT, ROTATED_IN = "2024-01-05", "2024-12-31"
 
 
 # -- shared sub-plans -------------------------------------------------------------------
@@ -330,6 +332,65 @@ def q_keyed_get(spark, sf_dir):
     return tables.get_keyed(spark, stored_cells(spark, sf_dir), GET_KEY).select(*keyed.CELL_COLUMNS)
 
 
+# -- stored tables: written from the whole inputs, then read back ----------------------------
+
+def q_stops_csv(spark, sf_dir):
+    """The stops file, by its header: other columns and another order do no harm."""
+    def write(path):
+        s = fx.stops(spark, sf_dir)
+        s.select("stop_name", "stop_lon", F.lit("x").alias("stop_desc"), "stop_lat", "stop_code", "stop_id").write.option("header", True).csv(path)
+
+    return read_stops_csv(spark, _stored(spark, sf_dir, "stops-csv", write))
+
+
+def q_summary_text_table(spark, sf_dir):
+    """The line summary as a delimited text table with a header line."""
+    def write(path):
+        s = stored_summary(spark, sf_dir)
+        s.select(line_rowkey("dt", "hour", "line").alias("rowkey"), "dt", "hour", "line", "avg_time_diff_minutes", "measurement_count",
+                 "total_time_diff").write.option("header", True).csv(path)
+
+    path = _stored(spark, sf_dir, "summary-csv", write)
+    tables.create_csv_table(spark, f"summary_{path[-12:]}", SUMMARY_COLUMNS, path)
+    return read_summary_csv(spark, path)
+
+
+def q_clean_table(spark, sf_dir):
+    """The cleaned pings as an external partitioned table: written, created, registered, read by name."""
+    def write(path):
+        tables.write_partitioned(clean_pings(fx.raw_pings(spark, sf_dir)), path, ["dt", "hr"])
+        name = f"clean_{path[-12:]}"
+        tables.create_external_table(spark, name, jobs.CLEAN_TABLE_COLUMNS, [("dt", "string"), ("hr", "string")], path)
+        tables.register_partitions(spark, name)
+
+    return spark.table(f"clean_{_stored(spark, sf_dir, 'clean-table', write)[-12:]}")
+
+
+def q_air_rotated(spark, sf_dir):
+    """The air table after a rotation: one date dropped, another loaded."""
+    def write(path):
+        air_table = fx.air_quality(spark, sf_dir).select("location_name", "parameter", "value", "date")
+        tables.write_partitioned(air_table, path, ["date"])
+        name = f"air_{path[-12:]}"
+        tables.create_external_table(spark, name, [("location_name", "string"), ("parameter", "string"), ("value", "double")], [("date", "string")], path)
+        tables.register_partitions(spark, name)
+        fresh = air_table.where(F.col("date") == REPORT_DAY).withColumn("date", F.lit(ROTATED_IN))
+        tables.rotate_partition(spark, name, path, "date", ROTATED_OUT, fresh)
+
+    return spark.table(f"air_{_stored(spark, sf_dir, 'air-rotated', write)[-12:]}")
+
+
+def q_aq_keyed_reload(spark, sf_dir):
+    """The station-day keyed table after a full reload over an older one; without the time it was made."""
+    def write(path):
+        readings = fx.air_quality(spark, sf_dir)
+        jobs.air_reload_job(spark, readings, path, "2024-01-20")
+        jobs.air_reload_job(spark, readings, path, AIR_SINCE)
+
+    cells = tables.read_keyed(spark, _stored(spark, sf_dir, "air-cells", write))
+    return cells.where(F.col("qualifier") != "processed_at").select(*keyed.CELL_COLUMNS)
+
+
 # -- report -----------------------------------------------------------------------------
 
 def q_city_report(spark, sf_dir):
@@ -381,4 +442,9 @@ QUERIES: dict[str, Query] = {
     "keyed_scan": q_keyed_scan,
     "keyed_get": q_keyed_get,
     "city_report": q_city_report,
+    "stops_csv": q_stops_csv,
+    "summary_text_table": q_summary_text_table,
+    "clean_table": q_clean_table,
+    "air_rotated": q_air_rotated,
+    "aq_keyed_reload": q_aq_keyed_reload,
 }

@@ -269,6 +269,17 @@ ORACLE: dict[str, str] = {
                             "summary", extra_ctes={"sc": cells("summary", LINE_KEY, {"cf": SUMMARY_COLS})}),
     "keyed_get": with_ctes(f"SELECT * FROM sc WHERE rowkey = '{C.GET_KEY}'", "summary",
                            extra_ctes={"sc": cells("summary", LINE_KEY, {"cf": SUMMARY_COLS})}),
+    # -- stored tables
+    "stops_csv": with_ctes("SELECT * FROM stops_raw", "stops_raw"),
+    "summary_text_table": with_ctes("""
+        SELECT dt, hour, line AS line_number, avg_time_diff_minutes AS metric_val, measurement_count AS count FROM summary""", "summary"),
+    "clean_table": with_ctes("SELECT * FROM cleaned", "cleaned"),
+    "air_rotated": with_ctes(f"""
+        SELECT location_name, parameter, value, date FROM air WHERE date <> '{C.ROTATED_OUT}'
+        UNION ALL SELECT location_name, parameter, value, '{C.ROTATED_IN}' FROM air WHERE date = '{C.REPORT_DAY}'""", "air"),
+    "aq_keyed_reload": with_ctes("SELECT * FROM ac", "air", extra_ctes={
+        "ap": f"SELECT location_name AS location, day AS date, * EXCLUDE (location_name, day) FROM ({AIR_PIVOT})",
+        "ac": cells("ap", "location || '#' || date", {"meta": ["location", "date"], "stats": PARAMETERS})}),
     # -- report
     "city_report": with_ctes(f"""
         SELECT *, CASE WHEN avg_pm25 IS NULL THEN 'no data' ELSE 'ok' END AS pm25_status
