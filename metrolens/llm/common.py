@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
-from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,12 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts the lineage and keeps the
-    rows through the loss of executors. The folder belongs to ``spark.checkpoint.dir``."""
-    path = staging_path(df.sparkSession, name)
+    rows through the loss of executors. The folder belongs to ``spark.checkpoint.dir``.
+
+    `release` lets Spark's cleaner remove the shuffle files of the finished write at once;
+    it removes them when the driver collects its garbage, which may be much later."""
+    spark, path = df.sparkSession, staging_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if release:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def add_columns(df: DataFrame, columns: dict) -> DataFrame:
@@ -57,17 +65,10 @@ def prefix_sums(df: DataFrame, group: list[str], key: str, order: list[str], val
     inside = Window.partitionBy(*keys).orderBy(F.col(key), *order).rowsBetween(Window.unboundedPreceding, -1)
     local = cut.withColumn("_local", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     on = [local[c].eqNullSafe(sums[c]) for c in group] + [local["_slice"] == sums["_slice"]]
-    joined = local.join(sums, F.expr("true") if not on else _all(on), "left")
+    joined = local.join(sums, reduce(and_, on), "left")
     return joined.select(*[local[c] for c in df.columns], (F.col("_base") + F.col("_local")).alias(out), F.col(total))
 
 
-def _all(conditions: Iterable):
-    out = None
-    for c in conditions:
-        out = c if out is None else out & c
-    return out
-
-
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node that links reach, for every node of `edges`.
 
@@ -77,15 +78,13 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     written to the shared folder. Only a row count and a checksum reach the driver."""
     def under_min(pairs: DataFrame, larger: bool) -> DataFrame:
         both = pairs.select(F.col("u").alias("n"), F.col("v").alias("m"))
-        if larger:  # every neighbour above n goes under the smallest of n and its neighbours
+        if larger:  # neighbours on both sides; in `pairs` u is above v
             both = both.unionByName(pairs.select(F.col("v").alias("n"), F.col("u").alias("m")))
-        else:  # u > v: the neighbours below u, and u itself, go under the smallest
-            pass
         low = both.groupBy("n").agg(F.min("m").alias("low")).withColumn("low", F.least("n", "low"))
         joined = both.join(low, "n")
-        if larger:
+        if larger:  # every neighbour above n goes under the smallest of n and its neighbours
             out = joined.where(F.col("m") > F.col("n")).select(F.col("m").alias("u"), F.col("low").alias("v"))
-        else:
+        else:  # the neighbours below n, and n itself, go under the smallest of them
             out = (joined.select(F.col("m").alias("u"), F.col("low").alias("v"))
                          .unionByName(low.select(F.col("n").alias("u"), F.col("low").alias("v"))))
         return out.where(F.col("u") != F.col("v")).distinct()

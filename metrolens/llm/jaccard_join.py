@@ -123,7 +123,7 @@ def leaves(classes: DataFrame, similarity: float, fan: int, recall: float, limit
     in blocks, however large. So is one at `max_depth`: no pair is lost to the depth."""
     roots = F.array(*[F.lit(int(mix(np.array([r + 1], np.uint64)).view(np.int64)[0])) for r in range(runs_needed(similarity, fan, recall))])
     nodes = _split(classes.select(F.explode(roots).alias("path"), "c", "sig"), fan)
-    done, depth, parents = None, 1, None
+    done, depth, parents, open_nodes = None, 1, None, None
     while True:
         nodes = stage(nodes, "paths")
         sizes = nodes.groupBy("parent", "path").agg(F.count(F.lit(1)).alias("members"))
