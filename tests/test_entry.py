@@ -10,7 +10,8 @@ from tests.conftest import SF_SMALL
 FAST = ["weather_hourly", "weather_by_condition", "precip_stats", "weather_gauges", "restamp_report",
         "dedupe_by_key", "bus_clean", "latest_per_key", "quality_counts", "aq_station_avg", "aq_pivot",
         "aq_corr_matrix", "box_stats", "pm_bands", "sensor_means", "aq_cells", "timetable_explode",
-        "line_delay_summary", "keyed_scan", "city_report"]
+        "line_delay_summary", "keyed_scan", "city_report", "keyed_get", "keyed_upsert", "top_lines", "stops_csv",
+        "summary_text_table", "clean_table", "air_rotated", "aq_keyed_reload"]
 
 
 def test_entry_runs(spark):
