@@ -6,6 +6,8 @@ merges the runs of each key range, so captures come out in global order."""
 
 from __future__ import annotations
 
+import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -33,7 +35,7 @@ def base32(hex_digest: Column) -> Column:
     return F.concat(*parts)
 
 
-def _record(kind: Column, refers_to: Column, min_bytes: int) -> Column:
+def _record(kind: Column, refers_to: Column) -> Column:
     """The record of a page as text, from its columns page_id, url, captured, digest and html."""
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.octet_length("html"), F.lit(END))
@@ -41,7 +43,7 @@ def _record(kind: Column, refers_to: Column, min_bytes: int) -> Column:
     revisit = F.concat(F.lit(f"WARC-Profile: {REVISIT_PROFILE}\r\nWARC-Refers-To: <urn:page:"), refers_to.cast("string"), F.lit(">\r\n"))
     return F.concat(
         F.lit(f"{VERSION}\r\nWARC-Type: "), kind, F.lit("\r\nWARC-Record-ID: <urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
-        F.lit(">\r\nWARC-Date: "), F.date_format("captured", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.lit(">\r\nWARC-Date: "), F.coalesce(F.date_format("captured", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("1970-01-01T00:00:00Z")),
         F.lit("\r\nWARC-Target-URI: "), F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), "[\\r\\n]", "%0A"),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nWARC-Payload-Digest: sha1:"), F.col("digest"),
         F.when(kind == "response", F.lit("\r\n")).otherwise(F.concat(F.lit("\r\n"), revisit)),
@@ -49,12 +51,14 @@ def _record(kind: Column, refers_to: Column, min_bytes: int) -> Column:
 
 
 def write_archives(pages: DataFrame, path: str, captured: Column, page_id: str = "page_id", url: str = "url", html: str = "html",
-                   min_bytes: int = 0, records_per_file: int = 4096) -> None:
+                   min_bytes: int = 0, records_per_file: int = 4096, compression: str = "gzip") -> None:
     """Write a record per row of `pages` to archives under `path`. Of rows with equal payloads
     of at least `min_bytes` bytes the one with the smallest page_id is the response and
     the others are revisits of it.
 
-    Null html is an empty payload. Rows without an id are responses; rows that repeat the
+    `compression` is that of a whole archive; with "none" the offsets of the index are
+    places in the file, else in what it decompresses to. Null html is an empty payload,
+    a null capture time is the start of 1970. Rows without an id are responses; rows that repeat the
     response's id are responses too. Copies are counted together before they are
     shuffled. An empty table gives archives without records; other columns play no part."""
     body = F.coalesce(F.col(html), F.lit(""))
@@ -67,9 +71,9 @@ def write_archives(pages: DataFrame, path: str, captured: Column, page_id: str =
                      .select(F.col("page_id").alias("_id"), "_sha1", "first").distinct())
     joined = rows.join(revisits, (F.col("page_id") == F.col("_id")) & (F.col("sha1") == F.col("_sha1")), "left")
     kind = F.when(F.col("first").isNull(), F.lit("response")).otherwise(F.lit("revisit"))
-    text = joined.withColumn("digest", base32(F.col("sha1"))).select(_record(kind, F.col("first"), min_bytes).alias("value"))
+    text = joined.withColumn("digest", base32(F.col("sha1"))).select(_record(kind, F.col("first")).alias("value"))
     # a record ends with two line ends, which is what the writer puts after every row
-    text.write.option("lineSep", END).option("maxRecordsPerFile", records_per_file).text(path)
+    text.write.option("lineSep", END).option("maxRecordsPerFile", records_per_file).option("compression", compression).text(path)
 
 
 def parse_records(data: bytes) -> Iterator[tuple[int, int, dict, bytes]]:
@@ -117,8 +121,6 @@ def index_runs(spark: SparkSession, path: str) -> DataFrame:
             http, _, payload = block.partition(END.encode())
             size = int(re.search(rb"Content-Length: ([0-9]+)", http)[1])
             digest, kind = headers["WARC-Payload-Digest"].removeprefix("sha1:"), headers["WARC-Type"]
-            import base64
-
             intact = kind != "response" or (len(payload) == size and base64.b32encode(hashlib.sha1(payload).digest()).decode() == digest)
             yield (url_key(headers["WARC-Target-URI"]), headers["WARC-Date"], page(headers["WARC-Record-ID"]), name, offset, length,
                    kind, size, digest, page(headers.get("WARC-Refers-To")), intact)
@@ -127,7 +129,8 @@ def index_runs(spark: SparkSession, path: str) -> DataFrame:
         task, rows = TaskContext.get().partitionId(), []
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows += entries(name, data.as_py())
+                data = data.as_py()
+                rows += entries(name, gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
         rows.sort(key=_order)
         for i in range(0, len(rows), 8192):
             cols = [[task] * len(rows[i:i + 8192]), *zip(*rows[i:i + 8192])]
