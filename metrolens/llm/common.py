@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 from functools import reduce
 from operator import and_
@@ -11,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metrolens.session import staging_path
+from metrolens.sources.tables import remove_path
 
 #: A word of the contracts: a run of characters that are not ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -24,20 +24,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+#: Spark's setting that removes the shuffle files of a query when it ends, instead of when the driver
+#: happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts the lineage and keeps the
     rows through the loss of executors. The folder belongs to ``spark.checkpoint.dir``.
-
-    `release` lets Spark's cleaner remove the shuffle files of the finished write at once;
-    it removes them when the driver collects its garbage, which may be much later."""
+    What the write has shuffled is not needed again and is removed at once."""
     spark, path = df.sparkSession, staging_path(df.sparkSession, name)
-    df.write.parquet(path)
-    if release:
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(staged: DataFrame) -> None:
+    """Remove the files of a staged frame that nothing reads any more."""
+    for folder in {f.rpartition("/")[0] for f in staged.inputFiles()}:
+        remove_path(staged.sparkSession, folder)
+
+
 def add_columns(df: DataFrame, columns: dict) -> DataFrame:
     """`df` with `columns`; a column of `df` that has one of these names gives way."""
     return df.drop(*columns).withColumns(columns)

@@ -12,6 +12,7 @@ not to every task, as references grow with the corpus."""
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metrolens.llm.blocks import units
-from metrolens.llm.common import shuffle_tasks, stage
+from metrolens.llm.common import discard, shuffle_tasks, stage
 from metrolens.llm.words import in_chunks, mix, word_hashes
 
 WINDOW = 13
@@ -29,13 +30,13 @@ EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
 def anchors(hashes: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """(text, start, windows, anchor): the windows of each text in runs that share an anchor.
+    """(text, start, windows, at, anchor): the windows of each text in runs that share an anchor.
     A run has `windows` windows, from word `start` of its text; anchor is the hash of the
-    first of the least runs of GRAM words in each of them."""
+    first of the least runs of GRAM words in each of them, `at` words behind the start."""
     n = len(hashes)
     none = np.zeros(0, np.int64)
     if n < window:
-        return none, none, none, np.zeros(0, np.uint64)
+        return none, none, none, none, np.zeros(0, np.uint64)
     gram = np.zeros(n - GRAM + 1, np.uint64)
     for k in range(GRAM):
         gram = gram * np.uint64(0xD6E8FEB86659FD93) + hashes[k:n - GRAM + 1 + k]
@@ -48,7 +49,7 @@ def anchors(hashes: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndar
     new = np.ones(len(whole), bool)
     new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
     at = np.flatnonzero(new)
-    return text[at], whole[at] - first[text[at]], np.diff(np.append(at, len(whole))), gram[least[at]]
+    return text[at], whole[at] - first[text[at]], np.diff(np.append(at, len(whole))), least[at] - whole[at], gram[least[at]]
 
 
 class Automaton:
@@ -115,33 +116,50 @@ def _bytes(column) -> list[bytes]:
     return [t.encode() if t else b"" for t in column.to_pylist()]
 
 
-def _prints(docs: DataFrame, window: int) -> DataFrame:
-    """(ref, sha, n_words, anchors): the sha256 of the words joined by one space, and the different anchors of each document."""
+def _prints(docs: DataFrame) -> DataFrame:
+    """(ref, sha, n_words): the sha256 of each document's words joined by one space."""
+    def run(batches):
+        for batch in batches:
+            words = [t.split() for t in _bytes(batch.column(1))]
+            sha = [hashlib.sha256(b" ".join(w)).digest() for w in words]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sha, pa.binary()), pa.array([len(w) for w in words], pa.int64())],
+                                             names=["ref", "sha", "n_words"])
+
+    return docs.select("ref", "text").mapInArrow(run, "ref long, sha binary, n_words long")
+
+
+def _anchors(docs: DataFrame, window: int) -> DataFrame:
+    """(anchor, ref): the different anchors of each document."""
     def run(batches):
         for batch in batches:
             texts = _bytes(batch.column(1))
             for a, b in in_chunks(texts):
                 hashes, first, _, _ = word_hashes(texts[a:b])
-                text, _, _, anchor = anchors(hashes, first, window)
-                at = np.searchsorted(text, np.arange(b - a + 1))
-                own = [np.unique(anchor[x:y]).view(np.int64) for x, y in zip(at[:-1], at[1:])]
-                offsets = np.cumsum([0, *map(len, own)]).astype(np.int32)
-                sha = [hashlib.sha256(b" ".join(t.split())).digest() for t in texts[a:b]]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(sha, pa.binary()), pa.array(np.diff(first).astype(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(own)))], names=["ref", "sha", "n_words", "anchors"])
+                text, _, _, _, anchor = anchors(hashes, first, window)
+                if not len(text):
+                    continue
+                order = np.lexsort((anchor, text))
+                text, anchor = text[order], anchor[order]
+                new = np.ones(len(text), bool)
+                new[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[new].view(np.int64)), batch.column(0).take(pa.array(text[new] + a))],
+                                                 names=["anchor", "ref"])
 
-    return docs.select("ref", "text").mapInArrow(run, "ref long, sha binary, n_words long, anchors array<long>")
+    return docs.select("ref", "text").mapInArrow(run, "anchor long, ref long")
 
 
 def _segments(opened: DataFrame, window: int) -> DataFrame:
-    """(anchor, sha, ref, start, segment): the words under the windows of each anchor that is among the document's `shared`."""
+    """(anchor, ref, key, start, at, segment): the words under the windows of each anchor that is among
+    the document's `shared`. key is a hash of sha, for rows that share an id. A row whose words are not those of its sha is left out."""
     def run(batches):
         for batch in batches:
-            texts = _bytes(batch.column(2))
-            for a, b in in_chunks(texts):
-                hashes, first, starts, ends = word_hashes(texts[a:b])
-                text, start, windows, anchor = anchors(hashes, first, window)
+            texts = [t.split() for t in _bytes(batch.column(2))]
+            shas, keys = batch.column(1).to_pylist(), batch.column(4).to_numpy()
+            joined = [b" ".join(t) for t in texts]
+            joined = [j if hashlib.sha256(j).digest() == sha else b"" for j, sha in zip(joined, shas)]
+            for a, b in in_chunks(joined):
+                hashes, first, starts, ends = word_hashes(joined[a:b])
+                text, start, windows, place, anchor = anchors(hashes, first, window)
                 anchor = anchor.view(np.int64)
                 at = np.searchsorted(text, np.arange(b - a + 1))
                 keep = np.zeros(len(text), bool)
@@ -149,33 +167,48 @@ def _segments(opened: DataFrame, window: int) -> DataFrame:
                     shared = batch.column(3)[a + i].values.to_numpy()
                     keep[x:y] = np.isin(anchor[x:y], shared)
                 k = np.flatnonzero(keep)
-                segment = []
-                for t, s, w in zip(text[k].tolist(), start[k].tolist(), windows[k].tolist()):
-                    u = first[t] + s
-                    segment.append(b" ".join(texts[a + t][starts[u]:ends[u + w + window - 2]].split()))
-                rows = pa.array(text[k] + a)
+                word = first[text[k]] + start[k]
+                segment = [joined[a + t][x:y] for t, x, y in zip(text[k].tolist(), starts[word].tolist(), ends[word + windows[k] + window - 2].tolist())]
+                rows = text[k] + a
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor[k]), batch.column(1).take(rows), batch.column(0).take(rows), pa.array(start[k]),
-                     pa.array(segment, pa.binary()).cast(pa.string())], names=["anchor", "sha", "ref", "start", "segment"])
+                    [pa.array(anchor[k]), batch.column(0).take(pa.array(rows)), pa.array(keys[rows]), pa.array(start[k]),
+                     pa.array(place[k].astype(np.int32)), pa.array(segment, pa.binary()).cast(pa.string())],
+                    names=["anchor", "ref", "key", "start", "at", "segment"])
+
+    rows = opened.select("ref", "sha", "text", "shared", F.xxhash64("sha").alias("key"))
+    return rows.mapInArrow(run, "anchor long, ref long, key long, start long, at int, segment string")
+
+
+def first_documents(segments: list[list[str]], low: list[int], at: list[int], window: int) -> list[list[int]]:
+    """For each window of each segment of an anchor the smallest document that holds it. The
+    segments are in ascending order of `low`, their smallest documents.
 
-    return opened.select("ref", "sha", "text", "shared").mapInArrow(run, "anchor long, sha binary, ref long, start long, segment string")
+    A window holds the anchor and, on one side of it at least, half of its other words. So a
+    segment whose words on neither side are those of another one has nothing in common
+    with the others; the rest are added to the automaton and streamed over it."""
+    half = (window - GRAM + 1) // 2
+    sides = [(tuple(w[max(0, p - half):p]), tuple(w[p + GRAM:p + GRAM + half])) for w, p in zip(segments, at)]
+    left, right = Counter(s[0] for s in sides), Counter(s[1] for s in sides)
+    automaton = Automaton()
+    met = [left[a] > 1 or right[b] > 1 for a, b in sides]
+    for words, number, m in zip(segments, low, met):
+        if m:
+            automaton.add(words, number)
+    return [automaton.first_of_windows(words, window) if m else [number] * (len(words) - window + 1)
+            for words, number, m in zip(segments, low, met)]
 
 
 def _by_automaton(references: DataFrame, window: int) -> DataFrame:
     """(anchor, segment_hash, firsts): for each window of a segment the smallest document that
     holds it, where that is smaller than some document with the segment. references: (anchor,
-    low, high, segment, segment_hash), the rows of an anchor in ascending order of low."""
+    low, high, segment, segment_hash, at), the rows of an anchor in ascending order of low."""
     def run(batches):
         for unit in units(batches, 1):
-            segments = unit.column(3).to_pylist()
             low, high = unit.column(1).to_pylist(), unit.column(2).to_pylist()
-            if len(segments) == 1:
-                firsts = [[low[0]] * (segments[0].count(" ") + 2 - window)]
-            else:
-                held, automaton = [s.split(" ") for s in segments], Automaton()
-                for words, number in zip(held, low):
-                    automaton.add(words, number)
-                firsts = [automaton.first_of_windows(words, window) for words in held]
+            if low[0] == max(high):  # one document's anchor, or its copies'
+                continue
+            segments = [s.split(" ") for s in unit.column(3).to_pylist()]
+            firsts = first_documents(segments, low, unit.column(5).to_pylist(), window)
             rows = [i for i, f in enumerate(firsts) if min(f) < high[i]]
             if rows:
                 yield pa.RecordBatch.from_arrays([unit.column(0).combine_chunks().take(pa.array(rows)), unit.column(4).combine_chunks().take(pa.array(rows)),
@@ -183,7 +216,7 @@ def _by_automaton(references: DataFrame, window: int) -> DataFrame:
 
     key = ["anchor", "low", "segment"]
     ordered = references.repartition(shuffle_tasks(references.sparkSession), "anchor").sortWithinPartitions(*key)
-    return ordered.select("anchor", "low", "high", "segment", "segment_hash").mapInArrow(run, "anchor long, segment_hash long, firsts array<long>")
+    return ordered.select("anchor", "low", "high", "segment", "segment_hash", "at").mapInArrow(run, "anchor long, segment_hash long, firsts array<long>")
 
 
 def _by_window(references: DataFrame, window: int) -> DataFrame:
@@ -198,20 +231,25 @@ def _by_window(references: DataFrame, window: int) -> DataFrame:
 
 
 def _removals(opened: DataFrame, window: int) -> DataFrame:
-    """(sha, n_removed, kept_sha256) of opened (sha, text, starts): all words under the windows that start there go."""
+    """(sha, n_removed, kept_sha256) of opened (sha, text, starts): all words under the windows
+    that start there go. A row whose words are not those of its sha is left out."""
     def run(batches):
         for batch in batches:
-            removed, kept = [], []
-            for text, starts in zip(_bytes(batch.column(1)), batch.column(2)):
+            rows, removed, kept = [], [], []
+            for i, (sha, text, starts) in enumerate(zip(batch.column(0).to_pylist(), _bytes(batch.column(1)), batch.column(2))):
                 words = np.array(text.split(), object)
+                if hashlib.sha256(b" ".join(words.tolist())).digest() != sha:
+                    continue
                 mark = np.zeros(len(words) + 1, np.int64)
                 at = starts.values.to_numpy()
                 np.add.at(mark, at, 1)
                 np.add.at(mark, at + window, -1)
                 gone = np.cumsum(mark)[:-1] > 0
+                rows.append(i)
                 removed.append(int(gone.sum()))
                 kept.append(hashlib.sha256(b" ".join(words[~gone].tolist())).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(kept)], names=["sha", "n_removed", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+                                             names=["sha", "n_removed", "kept_sha256"])
 
     return opened.select("sha", "text", "starts").mapInArrow(run, "sha binary, n_removed long, kept_sha256 string")
 
@@ -228,30 +266,35 @@ def removed_words(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     instead, with the same result. An empty table gives an empty result; other columns
     play no part."""
     named = docs.select(F.col(doc_id).alias("doc_id"), _reference(doc_id, text).alias("ref"), F.col(text).alias("text"))
-    prints = stage(_prints(named, window), "prints")
+    prints = stage(_prints(named), "prints")
     classes = stage(prints.groupBy("sha").agg(F.min("ref").alias("ref")), "classes")
-    held = prints.select("sha", "ref", "anchors").dropDuplicates(["sha", "ref"]).join(classes, ["sha", "ref"]) \
-                 .select("sha", "ref", F.explode("anchors").alias("anchor"))
-    shared = held.groupBy("anchor").agg(F.min("ref").alias("low"), F.max("ref").alias("high")).where(F.col("low") < F.col("high")).select("anchor")
-    lists = held.join(shared, "anchor", "left_semi").groupBy("sha", "ref").agg(F.collect_list("anchor").alias("shared"))
-    lists = lists.withColumnRenamed("ref", "_ref")
-    same = F.unhex(F.sha2(F.col("joined").cast("binary"), 256)) == F.col("sha")
-    joined = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", " "))
-    opened = stage(named.join(lists, F.col("ref") == F.col("_ref")).withColumn("joined", joined).where(same)
-                        .select("ref", "sha", F.col("joined").alias("text"), "shared").dropDuplicates(["ref", "sha"]), "open")
+    held = stage(_anchors(named, window), "anchors")
+    shared = (held.groupBy("anchor").agg(F.min("ref").alias("low"), F.max("ref").alias("high"))
+              .where(F.col("low") < F.col("high")).select("anchor"))
+    lists = stage(held.join(shared, "anchor", "left_semi").groupBy("ref").agg(F.collect_list("anchor").alias("shared"))
+                      .join(classes, "ref").select(F.col("ref").alias("_ref"), "sha", "shared"), "lists")
+    discard(held)
+    opened = stage(named.join(lists, F.col("ref") == F.col("_ref")).select("ref", "sha", "text", "shared"), "open")
+    discard(lists)
     segments = stage(_segments(opened, window).withColumn("segment_hash", F.xxhash64("segment")), "segments")
-    references = segments.groupBy("anchor", "segment", "segment_hash").agg(F.min("ref").alias("low"), F.max("ref").alias("high"))
-    sizes = references.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments"), F.min("low").alias("a"), F.max("high").alias("b")) \
-                      .where(F.col("a") < F.col("b"))
-    references = stage(references.join(sizes.drop("a", "b"), "anchor"), "references")
-    firsts = _by_automaton(references.where(F.col("segments") <= shard_segments), window)
-    large = references.where(F.col("segments") > shard_segments)
+    references = stage(segments.groupBy("anchor", "segment", "segment_hash").agg(
+        F.min("ref").alias("low"), F.max("ref").alias("high"), F.min("at").alias("at")), "references")
+    large = references.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments")).where(F.col("segments") > shard_segments).select("anchor")
+    large = stage(large, "large")
+    firsts = _by_automaton(references.join(large, "anchor", "left_anti"), window)
     if not large.isEmpty():
-        firsts = firsts.unionByName(_by_window(large, window))
-    hits = segments.select("anchor", "segment_hash", "sha", "ref", "start").join(firsts, ["anchor", "segment_hash"])
+        firsts = firsts.unionByName(_by_window(references.join(large, "anchor", "left_semi"), window))
+    firsts = stage(firsts, "firsts")
+    discard(references)
+    hits = segments.select("anchor", "segment_hash", "ref", "key", "start").join(firsts, ["anchor", "segment_hash"])
     nth = F.filter(F.sequence(F.lit(0), F.size("firsts") - 1), lambda i: F.get("firsts", i) < F.col("ref"))
-    starts = hits.select("sha", F.explode(nth).alias("nth"), "start").groupBy("sha").agg(F.collect_list(F.col("start") + F.col("nth")).alias("starts"))
-    removals = _removals(opened.select("sha", "text").join(starts, "sha"), window)
+    starts = stage(hits.select("ref", "key", F.explode(nth).alias("nth"), "start").groupBy("ref", "key")
+                       .agg(F.collect_list(F.col("start") + F.col("nth")).alias("starts")), "starts")
+    discard(segments)
+    discard(firsts)
+    loose = starts.select(F.col("ref").alias("_ref"), F.col("key").alias("_key"), "starts")
+    removals = _removals(opened.select("ref", "sha", "text").join(loose, (F.col("ref") == F.col("_ref")) & (F.xxhash64("sha") == F.col("_key"))), window)
+    removals = removals.dropDuplicates(["sha"])
     judged = classes.withColumnRenamed("ref", "_first").join(removals, "sha", "left")
     out = prints.select("ref", "sha", "n_words").join(judged, "sha")
     copy = (F.col("ref") > F.col("_first")) & (F.col("n_words") >= window)
@@ -264,3 +307,16 @@ def removed_words(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", w
 
 def query(docs: DataFrame) -> DataFrame:
     return removed_words(docs)
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+firsts AS (SELECT g, min(doc_id) AS f FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN firsts USING (g) WHERE f < doc_id),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)"""

@@ -94,7 +94,7 @@ def test_equal_windows_share_an_anchor():
     shared = [f"s{i}" for i in range(13)]
     texts = [" ".join([f"{rng.random()}" for _ in range(rng.randrange(30))] + shared + [f"{rng.random()}" for _ in range(rng.randrange(30))]).encode() for _ in range(20)]
     hashes, first, _, _ = word_hashes(texts)
-    text, start, windows, anchor = S.anchors(hashes, first, 13)
+    text, start, windows, at, anchor = S.anchors(hashes, first, 13)
     seen = [set(anchor[text == i].tolist()) for i in range(20)]
     assert set.intersection(*seen)
     assert windows.sum() == sum(max(0, n - 12) for n in np.diff(first))
