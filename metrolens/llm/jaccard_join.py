@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from metrolens.llm.blocks import deal, forest, units
 from metrolens.llm.common import components, stage
-from metrolens.llm.words import in_chunks, mix, shingle_hashes, word_hashes
+from metrolens.llm.words import mix, shingle_hashes, text_chunks, word_hashes
 
 POSITIONS = 64
 _SALT = mix(np.arange(1, 2 * POSITIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -79,9 +79,8 @@ def _fingerprints(docs: DataFrame, size: int) -> DataFrame:
     """(ref, k1, k2, n, sig) of each row with a word: a 128-bit digest of its set, the set's size, the minhashes."""
     def run(batches):
         for batch in batches:
-            texts = [t.encode() if t else b"" for t in batch.column(1).to_pylist()]
-            for a, b in in_chunks(texts):
-                sets = shingle_sets(texts[a:b], size)
+            for a, texts in text_chunks(batch.column(1)):
+                sets = shingle_sets(texts, size)
                 has = [i for i, s in enumerate(sets) if len(s)]
                 if not has:
                     continue
@@ -176,7 +175,7 @@ def _candidate_links(rows: DataFrame, agree: int) -> DataFrame:
     return rows.select("path", "lo", "hi", "block", "c", "sig").mapInArrow(run, "a long, b long")
 
 
-def overlaps(sets: list[np.ndarray], cells: int = 1 << 23) -> np.ndarray:
+def overlaps(sets: list[np.ndarray], cells: int = 1 << 22) -> np.ndarray:
     """(sets, sets) sizes of the intersections. Only hashes of two or more sets get a column; columns are taken some at a time."""
     n = len(sets)
     flat = np.concatenate(sets)
@@ -224,17 +223,17 @@ def _sets_of(docs: DataFrame, size: int) -> DataFrame:
     """`docs`(ref, text, group, n_blocks) with the shingle set as bytes instead of the text."""
     def run(batches):
         for batch in batches:
-            texts = [t.encode() if t else b"" for t in batch.column(1).to_pylist()]
-            for a, b in in_chunks(texts):
-                sets = [s.tobytes() for s in shingle_sets(texts[a:b], size)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sets, pa.binary()), batch.column(2).slice(a, b - a),
-                                                  batch.column(3).slice(a, b - a)], names=["c", "set", "group", "n_blocks"])
+            for a, texts in text_chunks(batch.column(1)):
+                sets, n = [s.tobytes() for s in shingle_sets(texts, size)], len(texts)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), pa.array(sets, pa.binary()), batch.column(2).slice(a, n),
+                                                  batch.column(3).slice(a, n)], names=["c", "set", "group", "n_blocks"])
 
     return docs.select("ref", "text", "group", "n_blocks").mapInArrow(run, "c long, set binary, group long, n_blocks long")
 
 
 def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 5, similarity: float = 0.8,
-         fan: int = 3, recall: float = 0.999999, limit: int = 512, block: int = 1024, block_bytes: int = 16 << 20) -> DataFrame:
+         fan: int = 3, recall: float = 0.999999, limit: int = 512, block: int = 1024, exact_block: int = 512,
+         block_bytes: int = 8 << 20) -> DataFrame:
     """A row per row of `docs`: doc_id, set_id (smallest doc_id with the same shingle set),
     n_links (other sets with Jaccard >= `similarity`) and class_id (smallest doc_id that
     links and equal sets connect it with, itself included).
@@ -252,7 +251,7 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int
     dealt = deal(buckets.join(classes.select("c", "sig"), "c"), "path", "c", F.ceil(F.col("members") / F.lit(block)))
     tied = components(_candidate_links(dealt, least_agreement(similarity)).distinct(), "a", "b")
     tied = tied.withColumnsRenamed({"node": "c", "component": "group"}).join(classes.select("c", "n"), "c")
-    load = tied.groupBy("group").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block)), F.ceil(F.sum("n") * 8 / F.lit(block_bytes))).alias("n_blocks"))
+    load = tied.groupBy("group").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(exact_block)), F.ceil(F.sum("n") * 8 / F.lit(block_bytes))).alias("n_blocks"))
     tied = stage(tied.join(load, "group").select("c", "group", "n_blocks"), "tied")
     sets = _sets_of(named.join(tied, named["ref"] == tied["c"]), size)
     found = stage(_exact_links(deal(sets, "group", "c", F.col("n_blocks")), similarity), "found")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -75,6 +77,17 @@ def shingle_hashes(hashes: np.ndarray, first: np.ndarray, size: int = 5) -> tupl
     return mix(gram[whole]), np.concatenate(([0], np.cumsum(kept)))
 
 
+def text_chunks(column, size: int = 1 << 20):
+    """(first row, texts as UTF-8) of runs of about `size` bytes of an Arrow string column (null:
+    empty). Only one run at a time is copied out of Arrow."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at, n = 0, len(column)
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + size, "right")))
+        yield at, [t or b"" for t in column.slice(at, to - at).cast(pa.binary()).to_pylist()]
+        at = to
+
+
 def in_chunks(texts: list, size: int = 2 << 20):
     """(from, to) of runs of texts of about `size` bytes: what is in memory at once."""
     at = 0

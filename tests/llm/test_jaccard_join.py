@@ -79,7 +79,7 @@ def test_against_brute_force(spark):
 def test_splits_and_blocks_lose_nothing(spark):
     """Buckets of four, blocks of three: everything is split or dealt."""
     rows = corpus(4, 40)
-    assert got(J.join(spark.createDataFrame(rows, SCHEMA), limit=4, block=9, block_bytes=4000)) == expected(rows)
+    assert got(J.join(spark.createDataFrame(rows, SCHEMA), limit=4, block=9, exact_block=9, block_bytes=4000)) == expected(rows)
 
 
 def test_odd_rows(spark):
