@@ -22,6 +22,8 @@ from metrolens.llm.common import stage
 from metrolens.llm.tokens import encoder, in_groups
 
 CAPACITY = 1024
+#: Words whose ids a worker remembers: few, as the worker keeps them while later stages run.
+MEMO_WORDS = 500_000
 
 
 def piece_lengths(n: int, capacity: int = CAPACITY) -> list[int]:
@@ -99,7 +101,7 @@ def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabula
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        enc, task, seen = encoder(vocabulary, True), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        enc, task, seen = encoder(vocabulary, True, MEMO_WORDS), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in in_groups(texts):

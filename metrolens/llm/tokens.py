@@ -35,12 +35,12 @@ class Encoder:
     (`keeps_space`), the other drops white space. So words can be encoded one by one, or
     many in one call where the ids show where each begins or ends."""
 
-    def __init__(self, vocabulary: str, keeps_space: bool):
+    def __init__(self, vocabulary: str, keeps_space: bool, memo_words: int = MEMO_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread for each task
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
-        self.keeps_space = keeps_space
+        self.keeps_space, self.memo_words = keeps_space, memo_words
         self.memo: dict[str, bytes] = {}  # ids of words after a space
         self.heads: dict[str, bytes] = {}  # ids of words that begin a text
         self.odd: set[str] = set()  # words with white space at an end
@@ -87,7 +87,7 @@ class Encoder:
         return list(set().union(*rests).difference(self.memo))
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO_WORDS:
+        if len(self.memo) > self.memo_words:
             self.memo.clear()
             self.heads.clear()
             self.odd.clear()
@@ -112,11 +112,11 @@ class Encoder:
         return out
 
 
-def encoder(vocabulary: str, keeps_space: bool) -> Encoder:
+def encoder(vocabulary: str, keeps_space: bool, memo_words: int = MEMO_WORDS) -> Encoder:
     """The process's encoder for this vocabulary."""
-    key = (vocabulary, keeps_space)
+    key = (vocabulary, keeps_space, memo_words)
     if key not in _LOADED:
-        _LOADED[key] = Encoder(vocabulary, keeps_space)
+        _LOADED[key] = Encoder(vocabulary, keeps_space, memo_words)
     return _LOADED[key]
 
 
