@@ -61,7 +61,8 @@ def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np
 
 def shingle_hashes(hashes: np.ndarray, first: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(grams, first): a hash for each run of `size` words of a text; the runs of text i
-    are first[i]:first[i + 1]. A text with fewer words, but some, has one run: all of them."""
+    are first[i]:first[i + 1]. A text with fewer words, but some, has one run: all of them,
+    in order, hashed with their number."""
     n = len(hashes)
     gram = np.zeros(n, np.uint64)
     for k in range(size):
@@ -70,9 +71,12 @@ def shingle_hashes(hashes: np.ndarray, first: np.ndarray, size: int = 5) -> tupl
     text = np.repeat(np.arange(len(count)), count)
     whole = np.arange(n) + size <= first[1:][text]
     short = np.flatnonzero((count > 0) & (count < size))
-    for i in short:
-        gram[first[i]] = np.uint64(int.from_bytes(hashes[first[i]:first[i + 1]].tobytes(), "little") * 0x9E3779B97F4A7C15 % (1 << 64))
-        whole[first[i]] = True
+    run = np.zeros(len(short), np.uint64)
+    for k in range(size - 1):
+        more = count[short] > k
+        run[more] = run[more] * np.uint64(0xD6E8FEB86659FD93) + hashes[first[short[more]] + k]
+    gram[first[short]] = mix(run) + count[short].astype(np.uint64)
+    whole[first[short]] = True
     kept = np.bincount(text[whole], minlength=len(count)) if n else np.zeros(len(count), np.int64)
     return mix(gram[whole]), np.concatenate(([0], np.cumsum(kept)))
 

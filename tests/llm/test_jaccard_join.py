@@ -93,6 +93,15 @@ def test_odd_rows(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4, 7, 9]
 
 
+def test_short_texts_that_share_words(spark):
+    texts = ["a.", "a. all", "a. all rights", "a. all rights reserved.", "a. rights all", "a. a.", "a. a. a.", "a. a. a. a.", "all a.", "A. ALL", "a. all rights reserved. here"]
+    rows = [(i, t, None, None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert got(J.join(df)) == expected(rows)
+    assert sorted(r["doc_id"] for r in J.kept_documents(df).collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8, 10]
+    assert len({s.tobytes() for s in J.shingle_sets([t.encode() for t in texts], 5)}) == 10
+
+
 def test_rows_without_an_id(spark):
     rows = [(None, "a b c d e f g", None, None), (5, "a b c d e f g", None, None), (None, "other words that are here alone", None, None)]
     df = spark.createDataFrame(rows, SCHEMA)
