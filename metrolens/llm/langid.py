@@ -152,12 +152,12 @@ def word_scores(words: Words, model: Model) -> np.ndarray:
 def viterbi(scores: np.ndarray, base: np.ndarray, count: np.ndarray, penalty: float) -> np.ndarray:
     """The best language of every word for many texts at once. A text has `count` words,
     from row `base` of `scores`; each change of language costs `penalty`."""
-    path = np.zeros(len(scores), np.uint8)
+    path = np.zeros(len(scores), np.int32)
     order = np.argsort(-count, kind="stable")
     base, count = base[order], count[order]
     live = np.searchsorted(-count, -np.arange(1, (count[0] if len(count) else 0) + 1), "right")
     switch = np.zeros(scores.shape, bool)
-    best = np.zeros(len(scores), np.uint8)
+    best = np.zeros(len(scores), np.int32)
     value = np.zeros((len(base), scores.shape[1]), np.float32)
     for t, k in enumerate(live):
         row = base[:k] + t
@@ -169,7 +169,7 @@ def viterbi(scores: np.ndarray, base: np.ndarray, count: np.ndarray, penalty: fl
             best[row] = top
             now = np.maximum(now, jump)
         value[:k] = now + scores[row]
-    last = value.argmax(1).astype(np.uint8)
+    last = value.argmax(1).astype(np.int32)
     for t in range(len(live) - 1, -1, -1):
         row = base[: live[t]] + t
         here = last[: live[t]]

@@ -1,5 +1,6 @@
 """Language ID: held-out accuracy, spans of mixed text, odd rows."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from metrolens.llm import langid
@@ -60,6 +61,12 @@ def test_odd_rows(spark):
     assert kept.columns == ["doc_id", "text", "lang", "score"] and kept.count() == 3
 
 
+def test_more_languages_than_a_byte_holds():
+    scores = np.zeros((4, 300), np.float32)
+    scores[:2, 299], scores[2:, 270] = 9, 9
+    assert langid.viterbi(scores, np.array([0]), np.array([4]), 1.0).tolist() == [299, 299, 270, 270]
+
+
 def test_empty_table_and_nothing_learned(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert langid.query(empty).count() == 0
