@@ -27,8 +27,9 @@ BASE = {
 }
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 _IP = rf"\A{_PART}(?:\.{_PART}){{3}}\z"
-#: An identifier-like string: a token with a digit or @, and tokens with a digit that follow by single spaces.
-CANDIDATE = r"(?<!\S)\S*[0-9@]\S*+(?: \S*[0-9]\S*+)*+"
+#: An identifier-like string: a token with a digit, @ or (at), and tokens with a digit that follow by single spaces.
+_MARK = r"(?:[0-9@]|(?i:\(at\)|\[at\]))"
+CANDIDATE = rf"(?<!\S)\S*{_MARK}\S*+(?: \S*[0-9]\S*+)*+"
 _OPENING = r"""\A(?:["'<\[{=:]|\((?![0-9]{1,4}\)))*+"""
 _CLOSING = r"""[.,;:!?)"'>\]}]*\z"""
 #: What an added identifier of each kind looks like.
@@ -38,6 +39,14 @@ SHAPES = {
     "card": r"\A[0-9](?:[ -]?[0-9]){12,18}\z",
     "phone": r"\A\(?[0-9](?:[ ().-]{0,2}[0-9]){6,14}\z",
 }
+#: Runs of tokens that have a kind's shape. Of several from one token on the shortest with the digits of a full
+#: number (card 16, phone 10), so that no number after it is taken in, or else the longest; and single tokens.
+_RUN_END = r"""(?<![.,;:!?)"'>\]}])(?=[.,;:!?)"'>\]}]*(?:\s|\z))"""
+RUNS = [rf"""(?i)(?<![^\s"'<\[\]{{}}=:(),;/|])(?:{r}){_RUN_END}""" for r in (
+    SHAPES["email"][2:-2], SHAPES["ip"][2:-2],
+    rf"[0-9](?:[ -]?[0-9]){{15,18}}?{_RUN_END}|[0-9](?:[ -]?[0-9]){{12,14}}",
+    rf"\(?[0-9](?:[ ().-]{{0,2}}[0-9]){{9,14}}?{_RUN_END}|\(?[0-9](?:[ ().-]{{0,2}}[0-9]){{6,8}}",
+    r"[0-9](?:-?[0-9]){12,18}", r"\(?[0-9](?:[().-]{0,2}[0-9]){6,14}")]
 CONTEXT = 80  # code points of text on each side that patterns are taken from
 
 
@@ -104,15 +113,27 @@ def _context(text: str, span: Column) -> Column:
     return F.array(F.concat(F.lit("l "), two, F.lit(" "), one), F.concat(F.lit("m "), one, F.lit(" _ "), after))
 
 
+def _masked(text: str, base: str) -> Column:
+    """The text with line feeds in place of the base spans."""
+    def add(acc: Column, b: Column) -> Column:
+        kept = F.substring(F.col(text), acc["at"] + 1, F.greatest(F.lit(0), b["start"].cast("int") - acc["at"]))
+        gap = F.greatest(F.lit(0), b["end"].cast("int") - F.greatest(acc["at"], b["start"].cast("int")))
+        return F.struct(F.greatest(acc["at"], b["end"].cast("int")).alias("at"), F.concat(acc["out"], kept, F.repeat(F.lit("\n"), gap)).alias("out"))
+
+    spans = F.array_sort(F.transform(base, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))
+    masked = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), add,
+                         lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text))))
+    return F.when(F.size(base) > 0, masked).otherwise(F.col(text))
+
+
 def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` without the text, with `base` (kind index, start, end, value, patterns of every valid
-    match of the base patterns) and `others` (the same for identifier-like strings that
-    overlap none; kind index null)."""
+    match of the base patterns) and `others` (the same for identifier-like strings, or their
+    parts, that overlap none; kind index null). `others` may overlap each other."""
     df = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
     for kind in KINDS:
         df = located(df, "_text", BASE[kind], f"_{kind}")
         df = df.withColumn(f"_{kind}", F.filter(f"_{kind}", _valid_span(kind)))
-    df = located(df, "_text", CANDIDATE, "_candidates")
 
     def instance(kind: int | None):
         return lambda s: F.struct(F.lit(kind).cast("int").alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
@@ -126,9 +147,15 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
 
     base = F.concat(*[F.transform(f"_{k}", instance(i)) for i, k in enumerate(KINDS)])
     df = df.withColumn("base", base)
-    apart = F.filter(F.transform("_candidates", trimmed), lambda s: (s["end"] > s["start"]) & ~F.exists(
-        "base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])))
-    return df.withColumn("others", F.transform(apart, instance(None))).drop(text, "_text", "_candidates", *[f"_{k}" for k in KINDS])
+    df = df.withColumn("_masked", _masked("_text", "base"))
+    df = located(df, "_masked", CANDIDATE, "_candidates")
+    for i, pattern in enumerate(RUNS):
+        df = located(df, "_masked", pattern, f"_run{i}")
+    df = df.withColumn("_runs", F.array_distinct(F.concat(*[f"_run{i}" for i in range(len(RUNS))])))
+    rest = F.filter(F.transform("_candidates", trimmed), lambda s: (s["end"] > s["start"]) & ~F.exists(
+        "_runs", lambda r: (r["start"] < s["end"]) & (r["end"] > s["start"])))
+    return df.withColumn("others", F.transform(F.concat("_runs", rest), instance(None))).drop(
+        text, "_text", "_masked", "_candidates", "_runs", *[f"_run{i}" for i in range(len(RUNS))], *[f"_{k}" for k in KINDS])
 
 
 def score_patterns(instances: DataFrame, rounds: int = 3, support: int = 3, threshold: float = 0.8) -> DataFrame:
@@ -162,7 +189,7 @@ def extract(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rounds:
 
     Null text counts as empty and has no spans; whole texts are read; rows that repeat come
     back as often, with equal spans. Without seeds nothing is added. Added spans overlap no
-    base span. An empty table gives an empty result; other columns play no part."""
+    base span and no other added span: of those that do, the one that begins first stays. An empty table gives an empty result; other columns play no part."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"))
     found = stage(find_spans(rows), "spans")
     instances = found.select("row", F.explode(F.concat("base", "others")).alias("i")).select("row", "i.*")
@@ -171,8 +198,14 @@ def extract(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rounds:
     fits = F.coalesce(*[F.when(F.col("as") == i, F.rlike("value", F.lit("(?i)" + SHAPES[k]))) for i, k in enumerate(KINDS)])
     added = (open_.join(strong.withColumnRenamed("kind", "as"), "pattern").where(fits)
                   .groupBy("row", "start", "end").agg(F.min("as").alias("kind"))
-                  .groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added")))
+                  .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("added")))
     none = F.expr("CAST(array() AS array<struct<kind:int,start:long,end:long>>)")
+
+    def apart(acc: Column, s: Column) -> Column:
+        last = F.coalesce(F.try_element_at(acc, F.lit(-1))["end"], F.lit(0))
+        return F.when(s["start"] >= last, F.concat(acc, F.array(F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))))).otherwise(acc)
+
+    added = added.withColumn("added", F.aggregate("added", none, apart))
     return found.join(added, "row", "left").select(
         F.col("doc_id").alias(doc_id), F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), b["start"].alias("start"), b["end"].alias("end"))).alias("base"),
         F.coalesce("added", none).alias("added"))

@@ -75,6 +75,21 @@ def test_patterns_find_unseen_identifiers(spark, contextual):
             assert not added, t
 
 
+def test_identifiers_beside_other_tokens(spark, contextual):
+    """Digit tokens after an identifier, a base span before one, and written-out emails."""
+    seen, _, clean = contextual
+    after_ip = [f"please 10.0.0.1 +1 (555) 444-{1000 + i} today" for i in range(12)]
+    mails = [f"please write to me{i}@example.com today" for i in range(12)]
+    hidden = {"please reach me on 555-867-5309 2024-01-02": "555-867-5309", "reach me on 555-867-5309 2 times": "555-867-5309",
+              "please 10.0.0.1 555-867-5309 today": "555-867-5309", "reach me on 5 867 5309, 10.0.0.1 ok": "5 867 5309",
+              "please write to john(at)example(dot)com today": "john(at)example(dot)com", "please write to john[AT]example.com today": "john[AT]example.com"}
+    texts = seen + after_ip + mails + clean + list(hidden)
+    out = check(spark, texts)
+    for i, t in enumerate(texts):
+        added = set(out[i]["spans"].split(",")) - set(base(t)) - {""}
+        assert [t[int(a):int(b)] for _, a, b in (x.split(":") for x in added)] == ([hidden[t]] if t in hidden else []), t
+
+
 def test_confidence_needs_support(spark, contextual):
     seen, hidden, _ = contextual
     out = check(spark, seen[:2] + hidden)
