@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metrolens.llm import embedding_dedup, exact_dedup, jaccard_join, langid, mixing, packing, pii, substring_dedup, token_output, warc
+from metrolens.llm import byte_bpe, embedding_dedup, exact_dedup, jaccard_join, langid, mixing, packing, pii, substring_dedup, token_output, warc
 from metrolens.llm.common import table
 
 
@@ -25,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": _over("pages", warc.query),
     "op9_token_output": _over("documents", token_output.query),
     "op10_language_id": _over("documents", langid.query),
+    "op11_byte_bpe": _over("documents", byte_bpe.query),
 }
 
 ORACLE: dict[str, str] = {
