@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metrolens.llm import byte_bpe, collocations, embedding_dedup, exact_dedup, jaccard_join, langid, mixing, packing, pii, substring_dedup, token_output, warc
+from metrolens.llm import byte_bpe, collocations, embedding_dedup, exact_dedup, jaccard_join, langid, mixing, packing, pii, prefix_trie, substring_dedup, token_output, warc
 from metrolens.llm.common import table
 
 
@@ -26,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_output": _over("documents", token_output.query),
     "op10_language_id": _over("documents", langid.query),
     "op11_byte_bpe": _over("documents", byte_bpe.query),
+    "op12_prefix_trie": _over("conversations", prefix_trie.query),
     "op13_collocations": _over("documents", collocations.query),
 }
 
@@ -34,5 +35,6 @@ ORACLE: dict[str, str] = {
     "op3_ngram_jaccard_join": jaccard_join.ORACLE,
     "op5_embedding_dedup": embedding_dedup.ORACLE,
     "op7_substring_dedup": substring_dedup.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
     "op13_collocations": collocations.ORACLE,
 }
