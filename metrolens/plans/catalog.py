@@ -22,7 +22,7 @@ from metrolens.operators.quality import named_counts, step_counts
 from metrolens.operators.schedule import nearest_departure, parse_timetable, punctuality, timetable_explode
 from metrolens.session import ensure_checkpoint_dir, staging_path
 from metrolens.sources import fixtures as fx
-from metrolens.sources import tables
+from metrolens.sources import keyed_store, tables
 from metrolens.plans import jobs
 from metrolens.sources.readers import SUMMARY_COLUMNS, read_partitioned, read_stops_csv, read_summary_csv
 
@@ -58,8 +58,9 @@ _STORED: dict[tuple, str] = {}
 
 
 def _stored(spark, sf_dir, name, write) -> str:
-    """The folder of a result table, written from the whole inputs the first time it is asked for."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """The folder of a result table, written from the whole inputs the first time it is
+    asked for, and again when the input files change."""
+    key = (spark.sparkContext.applicationId, sf_dir, name, tuple(tables.files_under(spark, sf_dir)))
     if key not in _STORED:
         path = staging_path(spark, name)
         write(path)
@@ -77,7 +78,7 @@ def stored_cells(spark, sf_dir) -> str:
     """The keyed table of the line summary; the folder."""
     def write(path):
         s = stored_summary(spark, sf_dir)
-        tables.write_keyed(keyed.to_cells(s, line_rowkey("dt", "hour", "line"), SUMMARY_CELLS, version=1), path)
+        keyed_store.write_keyed(keyed.to_cells(s, line_rowkey("dt", "hour", "line"), SUMMARY_CELLS, version=1), path)
 
     return _stored(spark, sf_dir, "line-cells", write)
 
@@ -86,46 +87,6 @@ def weather_obs(spark, sf_dir):
     return weather.with_event_time(fx.weather(spark, sf_dir))
 
 
-SUMMARY_CELLS = {"cf": ["line", "dt", "hour", "avg_time_diff_minutes", "measurement_count", "total_time_diff"]}
-_STORED: dict[tuple, str] = {}
-
-
-def _stored(spark, sf_dir, name, write) -> str:
-    """The folder of a result table, written from the whole inputs the first time it is asked for."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STORED:
-        path = staging_path(spark, name)
-        write(path)
-        _STORED[key] = path
-    return _STORED[key]
-
-
-def stored_summary(spark, sf_dir):
-    """The line summary as the delay job stores it, partitioned by dt."""
-    path = _stored(spark, sf_dir, "line-summary", lambda p: tables.write_partitioned(summary(spark, sf_dir), p, ["dt"]))
-    return read_partitioned(spark, path)
-
-
-def stored_cells(spark, sf_dir) -> str:
-    """The keyed table of the line summary; the folder."""
-    def write(path):
-        s = stored_summary(spark, sf_dir)
-        tables.write_keyed(keyed.to_cells(s, line_rowkey("dt", "hour", "line"), SUMMARY_CELLS, version=1), path)
-
-    return _stored(spark, sf_dir, "line-cells", write)
-
-
-def weather_obs(spark, sf_dir):
-    return weather.with_event_time(fx.weather(spark, sf_dir))
-
-
-def summary_cells(spark, sf_dir, radius_m, version):
-    s = summary(spark, sf_dir, radius_m)
-    return keyed.to_cells(s, line_rowkey("dt", "hour", "line"),
-                          {"cf": ["line", "dt", "hour", "avg_time_diff_minutes",
-                                  "measurement_count", "total_time_diff"]}, version=version)
-
-
 # -- clean ------------------------------------------------------------------------------
 
 def q_ping_slice(spark, sf_dir):
@@ -313,11 +274,18 @@ def q_keyed_upsert(spark, sf_dir):
     return keyed.upsert_cells(*cells)
 
 
+WEATHER_CELLS = {"cf": ["dt", "hour", "measurement_count", "avg_temp", "avg_humidity", "avg_wind_speed", "avg_pressure"]}
+
+
 def q_weather_keyed(spark, sf_dir):
-    h = weather.weather_hourly(weather_obs(spark, sf_dir))
-    return keyed.to_cells(h, hour_rowkey("dt", "hour"),
-                          {"cf": ["dt", "hour", "measurement_count", "avg_temp", "avg_humidity",
-                                  "avg_wind_speed", "avg_pressure"]})
+    """The hourly weather upserted into a stored keyed table, the first half of the days twice."""
+    def write(path):
+        h = weather.weather_hourly(weather_obs(spark, sf_dir))
+        early = h.where(F.col("dt") < WEATHER_DT).withColumn("avg_temp", F.lit(0.0))
+        keyed_store.write_keyed(keyed.to_cells(early, hour_rowkey("dt", "hour"), WEATHER_CELLS, version=1), path)
+        keyed_store.write_keyed(keyed.to_cells(h, hour_rowkey("dt", "hour"), WEATHER_CELLS, version=2), path)
+
+    return keyed_store.read_keyed(spark, _stored(spark, sf_dir, "weather-cells", write)).select(*keyed.CELL_COLUMNS)
 
 
 def q_aq_cells(spark, sf_dir):
@@ -325,11 +293,11 @@ def q_aq_cells(spark, sf_dir):
 
 
 def q_keyed_scan(spark, sf_dir):
-    return tables.scan_keyed(spark, stored_cells(spark, sf_dir), SCAN_LIMIT).select(*keyed.CELL_COLUMNS)
+    return keyed_store.scan_keyed(spark, stored_cells(spark, sf_dir), SCAN_LIMIT).select(*keyed.CELL_COLUMNS)
 
 
 def q_keyed_get(spark, sf_dir):
-    return tables.get_keyed(spark, stored_cells(spark, sf_dir), GET_KEY).select(*keyed.CELL_COLUMNS)
+    return keyed_store.get_keyed(spark, stored_cells(spark, sf_dir), GET_KEY).select(*keyed.CELL_COLUMNS)
 
 
 # -- stored tables: written from the whole inputs, then read back ----------------------------
@@ -387,7 +355,7 @@ def q_aq_keyed_reload(spark, sf_dir):
         jobs.air_reload_job(spark, readings, path, "2024-01-20")
         jobs.air_reload_job(spark, readings, path, AIR_SINCE)
 
-    cells = tables.read_keyed(spark, _stored(spark, sf_dir, "air-cells", write))
+    cells = keyed_store.read_keyed(spark, _stored(spark, sf_dir, "air-cells", write))
     return cells.where(F.col("qualifier") != "processed_at").select(*keyed.CELL_COLUMNS)
 
 

@@ -12,7 +12,7 @@ from metrolens.operators import air, delays, keyed, report, weather
 from metrolens.operators.clean import clean_pings, partition_date, ping_slice
 from metrolens.operators.nearest import MAX_DISTANCE_METERS, nearest_stop, normalize_stops
 from metrolens.operators.schedule import nearest_departure, punctuality
-from metrolens.sources import tables
+from metrolens.sources import keyed_store, tables
 from metrolens.sources.readers import read_partitioned, read_stops_csv
 
 CLEAN_TABLE_COLUMNS = [("line", "string"), ("vehicle_number", "string"), ("brigade", "string"),
@@ -74,7 +74,7 @@ def delay_job(spark: SparkSession, pings, stops, timetable: DataFrame, dt: str,
                                {"cf": ["line", "dt", "hour", "avg_time_diff_minutes", "measurement_count",
                                        "total_time_diff"]},
                                version=_version())
-        out["keyed"] = tables.write_keyed(cells, keyed_path)
+        out["keyed"] = keyed_store.write_keyed(cells, keyed_path)
     return out
 
 
@@ -89,21 +89,20 @@ def weather_job(spark: SparkSession, weather_table, dt: str, keyed_path: str | N
         cells = keyed.to_cells(hourly, hour_rowkey("dt", "hour"),
                                {"cf": ["dt", "hour", "measurement_count", "avg_temp", "avg_humidity",
                                        "avg_wind_speed", "avg_pressure"]}, version=_version())
-        out["keyed"] = tables.write_keyed(cells, keyed_path)
+        out["keyed"] = keyed_store.write_keyed(cells, keyed_path)
     return out
 
 
 def air_reload_job(spark: SparkSession, air_table, keyed_path: str, since: str,
                    parameters: list[str] | None = None) -> DataFrame:
     """Full reload of the station-day keyed table: means per station, day and parameter to
-    cells (meta + stats families, processed_at included), replace the table. `parameters`
-    restricts the reload to a selection."""
+    cells (meta + stats families, processed_at included), which replace the table's once they are
+    all written; a reload that fails leaves the old ones. `parameters` restricts the reload to a selection."""
     readings = _frame(spark, air_table)
     if parameters:
         readings = readings.where(F.col("parameter").isin(list(parameters)))
     cells = air.daily_cells(readings, since, processed_at=True).withColumn("version", F.lit(_version()))
-    tables.remove_path(spark, keyed_path)
-    return tables.write_keyed(cells, keyed_path)
+    return keyed_store.replace_keyed(cells, keyed_path)
 
 
 def city_report_job(spark: SparkSession, weather_table, air_table, summary: DataFrame,

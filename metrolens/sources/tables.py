@@ -3,8 +3,9 @@ partition registration, rotation, listing and drop."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metrolens.operators.common import dedupe
 from metrolens.session import staging_path
@@ -27,7 +28,7 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
        .parquet(path))
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """The file system and path object of `path`, whatever store it is in."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
@@ -35,29 +36,38 @@ def _hadoop(spark: SparkSession, path: str):
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """False only if nothing is stored at `path`; a store that cannot be read raises."""
-    fs, p = _hadoop(spark, path)
+    fs, p = hadoop_path(spark, path)
     return fs.exists(p)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
-    fs, p = _hadoop(spark, path)
+    fs, p = hadoop_path(spark, path)
     fs.delete(p, True)
 
 
+def files_under(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, time of change) of the files in `path` and in its folders."""
+    fs, p = hadoop_path(spark, path)
+    out = []
+    for s in fs.listStatus(p):
+        below = fs.listStatus(s.getPath()) if s.isDirectory() else [s]
+        out += [(str(x.getPath().getName()), x.getLen(), x.getModificationTime()) for x in below]
+    return sorted(out)
+
+
 def partition_values(df: DataFrame, partition_cols: list[str]) -> list[tuple]:
     """The partitions that `df` has rows in: what one run writes, not the table's."""
     return [tuple(r) for r in df.select(*partition_cols).distinct().collect()]
 
 
-def in_partitions(partition_cols: list[str], values: list[tuple]) -> Column:
-    """A predicate on the bare partition columns, so that the scan prunes by it."""
-    out = F.lit(False)
-    for v in values:
-        one = F.lit(True)
-        for c, x in zip(partition_cols, v):
-            one = one & F.col(c).eqNullSafe(F.lit(x))
-        out = out | one
-    return out
+def in_partitions(table: DataFrame, touched: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """The rows of a stored table in the partitions that `touched` lists, one row for each. A join on
+    the bare partition columns, so that Spark prunes the scan by it when it runs, however many
+    there are; no list of them is part of the plan."""
+    some = touched
+    for c in partition_cols:
+        some = some.where(F.col(c).cast("string") >= "")  # true of every name; Spark prunes by sides that are filtered
+    return table.join(F.broadcast(some), partition_cols, "left_semi")
 
 
 def replace_partitions(rows: DataFrame, path: str, partition_cols: list[str]) -> list[tuple]:
@@ -82,25 +92,30 @@ def merge_partitions(df: DataFrame, path: str, partition_cols: list[str], keys:
 
     Rows already stored in those partitions are unioned with `df`, de-duplicated on
     `keys` (first by `order`, new rows winning when `order` is None), and written back.
-    `df` is materialised once; other partitions are neither read nor written. Returns
-    (the stored rows of those partitions, the partitions)."""
+    `df` is materialised once; other partitions are neither read nor written. Rows without a
+    partition value are refused. Returns (the stored rows of those partitions, the partitions)."""
     spark = df.sparkSession
     fresh_at = staging_path(spark, "fresh")
     df.write.mode("overwrite").parquet(fresh_at)
-    fresh = spark.read.schema(df.schema).parquet(fresh_at)
-    values = partition_values(fresh, partition_cols)
-    rows = fresh.withColumn("_new", F.lit(1))
-    if values and path_exists(spark, path):
-        stored = read_partitioned(spark, path, schema=df.schema)  # partition values stay strings ('08', not 8)
-        old = stored.where(in_partitions(partition_cols, values)).select(*df.columns)
-        rows = rows.unionByName(old.withColumn("_new", F.lit(0)))
-    merged = dedupe(rows, keys=keys, order=list(order or []) + [F.col("_new").desc()]).drop("_new")
-    replace_partitions(merged, path, partition_cols)
-    remove_path(spark, fresh_at)
-    if not values:
-        return df.limit(0), values
+    try:
+        fresh = spark.read.schema(df.schema).parquet(fresh_at)
+        values = partition_values(fresh, partition_cols)
+        if any(x is None for v in values for x in v):
+            raise ValueError(f"rows without a value of {partition_cols}")
+        if not values:
+            return df.limit(0), values
+        touched = spark.createDataFrame(values, T.StructType([df.schema[c] for c in partition_cols]))
+        rows = fresh.withColumn("_new", F.lit(1))
+        if path_exists(spark, path):
+            stored = read_partitioned(spark, path, schema=df.schema)  # partition values stay strings ('08', not 8)
+            old = in_partitions(stored, touched, partition_cols).select(*df.columns)
+            rows = rows.unionByName(old.withColumn("_new", F.lit(0)))
+        merged = dedupe(rows, keys=keys, order=list(order or []) + [F.col("_new").desc()]).drop("_new")
+        replace_partitions(merged, path, partition_cols)
+    finally:
+        remove_path(spark, fresh_at)
     table = read_partitioned(spark, path, schema=df.schema)
-    return table.where(in_partitions(partition_cols, values)).select(*df.columns), values
+    return in_partitions(table, touched, partition_cols).select(*df.columns), values
 
 
 def create_external_table(spark: SparkSession, name: str, columns: list[tuple[str, str]],
@@ -123,13 +138,13 @@ def create_csv_table(spark: SparkSession, name: str, columns: list[tuple[str, st
 
 def register_partitions(spark: SparkSession, name: str, partition_cols: list[str] | None = None,
                         values: list[tuple] | None = None) -> None:
-    """Register the partitions of one run; without them, every folder that is on disk."""
+    """Register the partitions of one run, all with one statement; without them, every
+    folder that is on disk."""
     if values is None:
         spark.sql(f"MSCK REPAIR TABLE {_ident(name)}")
-        return
-    for v in values:
-        spec = ", ".join(f"`{c}` = '{_quoted(x)}'" for c, x in zip(partition_cols, v))
-        spark.sql(f"ALTER TABLE {_ident(name)} ADD IF NOT EXISTS PARTITION ({spec})")
+    elif values:
+        specs = [", ".join(f"`{c}` = '{_quoted(x)}'" for c, x in zip(partition_cols, v)) for v in values]
+        spark.sql(f"ALTER TABLE {_ident(name)} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({s})" for s in specs))
 
 
 def _quoted(value) -> str:
@@ -161,58 +176,13 @@ def drop_partition(spark: SparkSession, name: str, spec: dict[str, str]) -> None
 
 def rotate_partition(spark: SparkSession, name: str, path: str, partition_col: str,
                      drop_value: str, new_rows: DataFrame) -> None:
-    """Drop one partition value and load another, then re-register partitions."""
-    drop_partition(spark, name, {partition_col: drop_value})
-    write_partitioned(new_rows, path, [partition_col], mode="overwrite")
-    register_partitions(spark, name)
+    """Drop one partition value and load others. Only these partitions are touched, in the
+    files and in the catalog; the table's folder is not listed."""
+    values = replace_partitions(new_rows, path, [partition_col])
+    if (drop_value,) not in values:
+        drop_partition(spark, name, {partition_col: drop_value})
+    register_partitions(spark, name, [partition_col], values)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_ident(name)}")
-
-
-KEY_PREFIX = 8  # characters of the row key that name its partition (yyyyMMdd in the result tables)
-
-
-def write_keyed(cells: DataFrame, path: str, prefix: int = KEY_PREFIX) -> DataFrame:
-    """Upsert cells (rowkey, family, qualifier, value, version) into a keyed table folder
-    (created if missing); the last write of a cell wins, within `cells` too. The table is
-    partitioned by the first `prefix` characters of the key, and only the partitions of
-    the new keys are read and rewritten. Returns the stored frame."""
-    from metrolens.operators.keyed import latest_cells
-
-    spark = cells.sparkSession
-    new = latest_cells(cells).withColumn("key_prefix", F.substring("rowkey", 1, prefix))
-    schema = new.schema
-    if path_exists(spark, path):
-        touched = partition_values(new, ["key_prefix"])
-        stored = read_partitioned(spark, path, schema=schema).where(in_partitions(["key_prefix"], touched))
-        new = latest_cells(stored.unionByName(new)).withColumn("key_prefix", F.substring("rowkey", 1, prefix))
-    replace_partitions(new, path, ["key_prefix"])
-    return read_keyed(spark, path)
-
-
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    return read_partitioned(spark, path)
-
-
-def get_keyed(spark: SparkSession, path: str, rowkey: str, prefix: int = KEY_PREFIX) -> DataFrame:
-    """All cells of one row key of a stored keyed table; reads the key's partition only."""
-    return read_keyed(spark, path).where((F.col("key_prefix") == rowkey[:prefix]) & (F.col("rowkey") == rowkey))
-
-
-def scan_keyed(spark: SparkSession, path: str, limit: int = 10) -> DataFrame:
-    """All cells of the first `limit` row keys of a stored keyed table, in key order.
-
-    Partitions are taken in the order of their prefixes until they hold enough keys; only their number of
-    keys reaches the driver."""
-    table = read_keyed(spark, path)
-    prefixes = sorted(v[0] for v in partition_values(table, ["key_prefix"]))
-    taken: list[str] = []
-    for p in prefixes:
-        taken.append(p)
-        if table.where(F.col("key_prefix").isin(taken)).select("rowkey").distinct().count() >= limit:
-            break
-    part = table.where(F.col("key_prefix").isin(taken))
-    first = part.select("rowkey").distinct().orderBy("rowkey").limit(limit)
-    return part.join(first, "rowkey", "left_semi")

@@ -166,3 +166,54 @@ def test_register_only_written_partitions(spark, tmpdir_path):
     with pytest.raises(ValueError):
         tables.register_partitions(spark, "reg_t", ["date"], [("x' OR '1",)])
     tables.drop_table(spark, "reg_t")
+
+
+def test_merge_prunes_by_a_join_with_the_touched_partitions(spark, tmpdir_path):
+    path = f"{tmpdir_path}/many"
+    df = spark.range(300).select(F.col("id").alias("k"), F.col("id").cast("string").alias("p"))
+    df.repartition(1).write.partitionBy("p").parquet(path)
+    fresh = df.where("k < 3").withColumn("k", -F.col("k"))
+    out, values = tables.merge_partitions(fresh, path, ["p"], keys=["k"])
+    assert sorted(values) == [("0",), ("1",), ("2",)] and sorted(r["k"] for r in out.collect()) == [-2, -1, 0, 1, 2]
+    plan = plan_text(out, "formatted")
+    assert "dynamicpruning" in plan and "p#" in plan and plan.count(" = 2") == 0  # no list of values in it
+    with pytest.raises(ValueError, match="without a value"):
+        tables.merge_partitions(spark.createDataFrame([(1, None)], "k long, p string"), path, ["p"], keys=["k"])
+    assert read_partitioned(spark, path).count() == 302
+
+
+def test_ten_thousand_partitions_are_planned_and_registered_at_once(spark, tmpdir_path):
+    import time
+
+    values = [(f"v{i}",) for i in range(10_000)]
+    touched = spark.createDataFrame(values, "p string")
+    stored = spark.createDataFrame([(1, "v5"), (2, "x")], "k long, p string")
+    begun = time.time()
+    out = tables.in_partitions(stored, touched, ["p"])
+    plan_text(out)
+    assert time.time() - begun < 10 and [r["k"] for r in out.collect()] == [1]
+    tables.drop_table(spark, "many_t")
+    tables.create_external_table(spark, "many_t", [("k", "bigint")], [("p", "string")], f"{tmpdir_path}/many_t")
+    statements = []
+    sql = type(spark).sql
+    try:
+        type(spark).sql = lambda self, q, *a, **b: (statements.append(q), sql(self, q, *a, **b))[1]
+        tables.register_partitions(spark, "many_t", ["p"], values[:500])
+    finally:
+        type(spark).sql = sql
+    assert len(statements) == 1 and tables.show_partitions(spark, "many_t").count() == 500
+    tables.drop_table(spark, "many_t")
+
+
+def test_rotation_touches_its_partitions_only(spark, tmpdir_path):
+    path = f"{tmpdir_path}/rot"
+    df = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "x string, d string")
+    tables.write_partitioned(df, path, ["d"])
+    tables.drop_table(spark, "rot_t")
+    tables.create_external_table(spark, "rot_t", [("x", "string")], [("d", "string")], path)
+    tables.register_partitions(spark, "rot_t", ["d"], [("1",), ("2",)])  # 3 is on disk but not registered
+    tables.rotate_partition(spark, "rot_t", path, "d", "1", spark.createDataFrame([("z", "9")], "x string, d string"))
+    assert sorted(r[0] for r in tables.show_partitions(spark, "rot_t").collect()) == ["d=2", "d=9"]
+    tables.rotate_partition(spark, "rot_t", path, "d", "9", spark.createDataFrame([("y", "9")], "x string, d string"))
+    assert rows(spark.table("rot_t"), "x", "d") == [("b", "2"), ("y", "9")]
+    tables.drop_table(spark, "rot_t")
