@@ -1,7 +1,7 @@
 """Byte-level BPE: texts to ids by the ranks of a vocabulary file, and ids to bytes.
 
 The merges are read back from the ranks once for each process, and the tokenizers library
-encodes Arrow batches with them. Its tokens are over 256 printable characters, one for each
+encodes the words of Arrow batches with them. Its tokens are over 256 printable characters, one for each
 byte; the byte lengths of the tokens of a text give the characters that each one covers.
 Decoding turns the characters back into bytes and tells which characters a run of ids
 begins or ends within."""
@@ -10,22 +10,18 @@ from __future__ import annotations
 
 import base64
 import os
-import re
-from itertools import accumulate
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.llm.tokens import in_groups, vocabulary_path
+from metrolens.llm.tokens import Encoder, in_groups, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Characters of a call to the tokenizer; a longer text goes in several.
-CHARS = 1 << 20
-#: No match of the pattern goes over a place between a character and the single space after it.
-_SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 _LOADED: dict = {}
 
@@ -57,73 +53,64 @@ def last_merge(token: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes] | N
 
 
 class Codec:
-    """ids(texts) and the tables for offsets and decoding, for one vocabulary and pattern."""
+    """Encoding, offsets and decoding for one vocabulary and pattern."""
 
     def __init__(self, vocabulary: str, pattern: str | None):
+        self.vocabulary, self.pattern = vocabulary, pattern
+        char = byte_characters()
+        byte = {c: b for b, c in enumerate(char)}
+        self.names = {"".join(map(char.__getitem__, token)): i for token, i in read_ranks(vocabulary).items()}
+        tokens = [b""] * (max(self.names.values()) + 1)
+        for name, i in self.names.items():
+            tokens[i] = bytes(map(byte.__getitem__, name))
+        self.size = np.array([len(t) for t in tokens], np.int64)
+        self.begin, self.data = np.cumsum(self.size) - self.size, np.frombuffer(b"".join(tokens), np.uint8)
+
+    @cached_property
+    def encoder(self) -> Encoder:
+        """Only made where texts are encoded."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread for each task
         from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
+        pattern = self.pattern
         if pattern is None:
             import public_tokenizers
 
             pattern = public_tokenizers.PATTERN
-        ranks = read_ranks(vocabulary)
+        ranks = read_ranks(self.vocabulary)
         char = byte_characters()
-        name = {token: "".join(map(char.__getitem__, token)) for token in ranks}
-        merges = [m for token in sorted(ranks, key=ranks.get) if len(token) > 1 and (m := last_merge(token, ranks))]
-        self.tokenizer = Tokenizer(models.BPE(vocab={name[t]: i for t, i in ranks.items()}, merges=[(name[a], name[b]) for a, b in merges],
-                                              ignore_merges=True, cache_capacity=1 << 16))
-        self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
+        merges = [[("".join(map(char.__getitem__, part))) for part in m] for token in sorted(ranks, key=ranks.get)
+                  if len(token) > 1 and (m := last_merge(token, ranks))]
+        tokenizer = Tokenizer(models.BPE(vocab=self.names, merges=[tuple(m) for m in merges], ignore_merges=True))
+        tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.Split(Regex(pattern), "removed", invert=True), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        byte = {c: b for b, c in enumerate(char)}
-        self.bytes: list[bytes | None] = [None] * (max(ranks.values()) + 1)  # by id, from the characters of its token
-        for token, i in ranks.items():
-            self.bytes[i] = bytes(byte[c] for c in name[token])
-        self.size = np.array([len(t or b"") for t in self.bytes], np.int64)
+        return Encoder(tokenizer, keeps_space=True)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, equal to those of every match of the pattern on its own."""
-        parts = [list(parts_of(t)) for t in texts]
-        flat = [p for x in parts for p in x]
-        found = []
-        for a, b in in_groups(flat, CHARS):
-            found += [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(flat[a:b], add_special_tokens=False)]
-        out, at = [], 0
-        for x in parts:
-            out.append(found[at] if len(x) == 1 else np.concatenate(found[at:at + len(x)]))
-            at += len(x)
-        return out
-
-    def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first, end) in characters of what each id covers; ids that share the bytes of one
-        character each cover that character."""
-        if not len(ids):
-            return np.zeros(0, np.int32), np.zeros(0, np.int32)
-        data = np.frombuffer(text.encode(), np.uint8)
-        character = np.cumsum((data & 0xC0) != 0x80) - 1
+        ids, bounds = self.encoder.encode(pa.array(texts, pa.string()))
+        return np.split(ids, bounds[1:-1])
+
+    def offsets(self, texts: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first, end) in characters of its text of what each id covers; ids that share the
+        bytes of one character each cover that character."""
+        data = np.frombuffer(b"".join(t or b"" for t in texts.cast(pa.binary()).to_pylist()), np.uint8)
+        character = np.cumsum((data & 0xC0) != 0x80) - 1  # of each byte, over all texts
         ends = np.cumsum(self.size[ids])
-        return character[ends - self.size[ids]].astype(np.int32), (character[ends - 1] + 1).astype(np.int32)
-
-    def decode(self, ids: list[int]) -> bytes:
-        try:
-            if ids and min(ids) < 0:
-                raise IndexError
-            return b"".join(map(self.bytes.__getitem__, ids))
-        except (IndexError, TypeError):
-            raise ValueError("an id is null or not in the vocabulary") from None
-
-
-def parts_of(text: str, chars: int = CHARS):
-    """A text in parts of about `chars` characters that are encoded alike on their own. A
-    stretch without a place to cut stays whole."""
-    at = 0
-    while len(text) - at > chars:
-        cut = _SAFE_CUT.search(text, at + chars)
-        if not cut:
-            break
-        yield text[at:cut.start()]
-        at = cut.start()
-    yield text[at:]
+        first, end = character[ends - self.size[ids]], character[ends - 1] + 1
+        counts = np.diff(bounds)
+        begin = np.repeat(first[np.minimum(bounds[:-1], max(len(first) - 1, 0))], counts) if len(first) else first
+        return (first - begin).astype(np.int32), (end - begin).astype(np.int32)
+
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """The bytes of the tokens of ids[bounds[i]:bounds[i + 1]], for each i."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size) or not self.size[ids].all()):
+            raise ValueError("an id is not in the vocabulary")
+        sizes = self.size[ids]
+        ends = np.cumsum(sizes)
+        data = self.data[np.repeat(self.begin[ids] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        offsets = np.append(0, ends)[bounds].astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
 def codec(vocabulary: str = VOCABULARY, pattern: str | None = None) -> Codec:
@@ -147,21 +134,16 @@ def split_edges(data: bytes) -> tuple[int, int]:
     return lead, 0
 
 
-def _flat(lists: list[np.ndarray]) -> pa.Array:
-    offsets = np.fromiter(accumulate(map(len, lists), initial=0), np.int32, len(lists) + 1)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int32)))
-
-
 def encode(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary: str = VOCABULARY,
            pattern: str | None = None, offsets: bool = True) -> DataFrame:
     """doc_id, ids, and with `offsets` also starts and ends: the characters (code points from 0,
     end exclusive) of the text that each id covers.
 
     One row for each row of `docs`, also for rows that repeat and null ids; a null or empty
-    text has no ids. A text of over a million characters is encoded in parts, cut where the
-    pattern never matches across; one without such a place is encoded whole. Other columns
-    play no part, and an empty table gives an empty result. `pattern` (default: the public
-    one) splits texts before the merges."""
+    text has no ids. Texts are cut where the public pattern never matches across, before
+    single spaces; a stretch without such a place is encoded whole. Other columns
+    play no part, and an empty table gives an empty result. `pattern` splits texts before
+    the merges; another than the public one must split before single spaces too."""
     names = ["ids", "starts", "ends"] if offsets else ["ids"]
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType),
                            *(T.StructField(c, T.ArrayType(T.IntegerType())) for c in names)])
@@ -169,11 +151,13 @@ def encode(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabula
     def run(batches):
         c = codec(vocabulary, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in in_groups(texts, CHARS):
-                ids = c.ids(texts[a:b])
-                cols = [ids] + ([list(x) for x in zip(*map(c.offsets, texts[a:b], ids))] if offsets else [])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *map(_flat, cols)], names=schema.names)
+            for a, b in in_groups(batch.column(1)):
+                texts = batch.column(1).slice(a, b - a)
+                found, bounds = c.encoder.encode(texts)
+                lists = [found.astype(np.int32), *(c.offsets(texts, found, bounds) if offsets else ())]
+                at = pa.array(bounds.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.ListArray.from_arrays(at, pa.array(x)) for x in lists)],
+                                                 names=schema.names)
 
     return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).mapInArrow(run, schema)
 
@@ -194,13 +178,20 @@ def decode(tokens: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY, pa
     def run(batches):
         c = codec(vocabulary, pattern)
         for batch in batches:
-            for row in range(0, batch.num_rows, 256):
-                some = batch.slice(row, 256)
-                data = [c.decode(x or []) for x in some.column(0).to_pylist()]
-                edges = [split_edges(d) for d in data]
-                yield pa.RecordBatch.from_arrays(
-                    [*some.columns[1:], pa.array(data, pa.binary()), pa.array([d.decode("utf-8", "replace") for d in data], pa.string()),
-                     pa.array([a for a, _ in edges], pa.int32()), pa.array([b for _, b in edges], pa.int32())], names=schema.names)
+            for row in range(0, batch.num_rows, 1024):
+                some = batch.slice(row, 1024)
+                lists = some.column(0)
+                counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                flat = lists.flatten()
+                if flat.null_count:
+                    raise ValueError("an id is null")
+                data = c.decode(flat.to_numpy(), np.append(0, np.cumsum(counts)))
+                try:
+                    texts, edges = data.cast(pa.string()), [(0, 0)] * len(some)  # whole characters only
+                except pa.ArrowInvalid:
+                    each = data.to_pylist()
+                    texts, edges = pa.array([d.decode("utf-8", "replace") for d in each], pa.string()), [split_edges(d) for d in each]
+                yield pa.RecordBatch.from_arrays([*some.columns[1:], data, texts, *(pa.array(e, pa.int32()) for e in zip(*edges))], names=schema.names)
 
     return tokens.select(ids, *[f.name for f in kept]).mapInArrow(run, schema)
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metrolens.llm.common import stage
-from metrolens.llm.tokens import encoder, in_groups
+from metrolens.llm.tokens import encoder, in_groups, with_end
 
 CAPACITY = 1024
 #: Words whose ids a worker remembers: few, as the worker keeps them while later stages run.
@@ -98,32 +98,29 @@ def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabula
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("piece", T.IntegerType()),
                            *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "task", "nth")),
                            *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else [])])
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         enc, task, seen = encoder(vocabulary, True, MEMO_WORDS), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in in_groups(texts):
-                row, piece, start, length, crc, nth, ids = [], [], [], [], [], [], []
-                for i, data in enumerate(enc.ids(texts[a:b])):
-                    data, at = data + end, 0
-                    for k, n in enumerate(piece_lengths(len(data) // 4, capacity)):
-                        part = data[4 * at:4 * (at + n)]
-                        row.append(a + i)
-                        piece.append(k)
-                        start.append(at)
-                        length.append(n)
-                        crc.append(zlib.crc32(part))
-                        nth.append(seen[n])
-                        seen[n] += 1
-                        at += n
-                        if with_ids:
-                            ids.append(np.frombuffer(part, "<u4").astype(np.int32))
-                cols = [batch.column(0).take(pa.array(row)), pa.array(piece, pa.int32()),
-                        *(pa.array(c, pa.int64()) for c in (start, length, crc, [task] * len(row), nth))]
+            for a, b in in_groups(batch.column(1)):
+                found, bounds = with_end(*enc.encode(batch.column(1).slice(a, b - a)), end_id)
+                data = memoryview(found.tobytes())
+                lengths = [piece_lengths(n, capacity) for n in np.diff(bounds).tolist()]
+                counts = np.fromiter(map(len, lengths), np.int64, len(lengths))
+                length = np.fromiter((n for x in lengths for n in x), np.int64, int(counts.sum()))
+                row = np.repeat(np.arange(len(counts)), counts)
+                ends = np.cumsum(length)
+                crc = [zlib.crc32(data[4 * x:4 * y]) for x, y in zip((ends - length).tolist(), ends.tolist())]
+                nth = np.zeros(len(length), np.int64)
+                order = np.argsort(length, kind="stable")
+                begin = np.searchsorted(length[order], length[order])
+                nth[order] = np.arange(len(order)) - begin + seen[length[order]]
+                seen += np.bincount(length, minlength=capacity + 1)
+                cols = [batch.column(0).take(pa.array(a + row)), pa.array((np.arange(len(row)) - (np.cumsum(counts) - counts)[row]).astype(np.int32)),
+                        pa.array(ends - length - bounds[:-1][row]), pa.array(length), pa.array(crc, pa.int64()),
+                        pa.array(np.full(len(row), task, np.int64)), pa.array(nth)]
                 if with_ids:
-                    cols.append(pa.array(ids, pa.list_(pa.int32())))
+                    cols.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(found.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
     return docs.select(doc_id, text).mapInArrow(run, schema)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metrolens.llm.common import shuffle_tasks
-from metrolens.llm.tokens import encoder, in_groups
+from metrolens.llm.tokens import encoder, in_groups, with_end
 from metrolens.session import staging_path
 
 #: Writer settings: row groups of 16 MB, pages of at most 64 KB or 512 rows, delta
@@ -29,6 +29,7 @@ FORMAT = {
     "parquet.enable.dictionary": "false",
     "parquet.enable.dictionary#ids.list.element": "true",
     "compression": "zstd",
+    "parquet.compression.codec.zstd.level": "1",
 }
 
 
@@ -51,20 +52,16 @@ def write_tokens(docs: DataFrame, path: str, text: str = "text", doc_id: str = "
 
     spark = docs.sparkSession
     schema = _schema(docs.schema[doc_id].dataType)
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         enc, shard, start = encoder(vocabulary, keeps_space), TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in in_groups(texts):
-                data = [x + end for x in enc.ids(texts[a:b])]
-                n = np.array([len(x) // 4 for x in data], np.int64)
-                offsets = np.concatenate(([0], np.cumsum(n)))
-                ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(data), "<i4")))
+            for a, b in in_groups(batch.column(1)):
+                found, bounds = with_end(*enc.encode(batch.column(1).slice(a, b - a)), end_id)
+                ids = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(found.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(b - a, shard, np.int32)), batch.column(0).slice(a, b - a),
-                                                  pa.array(start + offsets[:-1]), pa.array(n), ids], names=schema.names)
-                start += int(offsets[-1])
+                                                  pa.array(start + bounds[:-1]), pa.array(np.diff(bounds)), ids], names=schema.names)
+                start += int(bounds[-1])
 
     order = [F.col("_id").asc_nulls_first(), F.col("_h")]
     rows = (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("_h"))

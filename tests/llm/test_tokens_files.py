@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -30,10 +31,30 @@ def direct(name, text, end):
 def test_ids_equal_the_tokenizers(name, keeps):
     rng = random.Random(5)
     texts = ODD + ["".join(rng.choice("ab Z.,'\n\t   \x1c1é日") for _ in range(rng.randrange(1, 40))) for _ in range(1500)]
-    e = Encoder(name, keeps)
-    for _ in range(2):  # again from memory
-        for text, ids in zip(texts, e.ids(texts)):
-            assert ids == np.array(e.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+    e = Encoder(Tokenizer.from_file(vocabulary_path(name)), keeps, memo_words=2000)
+    for at in [*range(0, len(texts), 300), 0]:  # again from memory, and after it was cleared
+        ids, bounds = e.encode(pa.array([None, *texts[at:at + 300]]))
+        assert bounds[0] == bounds[1] == 0
+        for i, text in enumerate(texts[at:at + 300], 1):
+            assert ids[bounds[i]:bounds[i + 1]].tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    assert e.encode(pa.array([], pa.string()))[1].tolist() == [0]
+
+
+@pytest.mark.parametrize("name,keeps", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_memory_is_bounded_by_words_and_bytes(name, keeps):
+    e = Encoder(Tokenizer.from_file(vocabulary_path(name)), keeps, memo_words=1000, memo_bytes=100_000)
+    for k in range(20):  # texts without spaces
+        e.encode(pa.array([f"x{k}y{i}" for i in range(600)] + ["z" * 3000 + str(k)]))
+        assert len(e.number) <= 1601 and e.held < 120_000
+
+
+def test_white_space_of_all_kinds_is_never_cut_wrongly():
+    spaces = [" ", "\t", "\x85", "\xa0", "\u1680", "\u2000", "\u200a", "\u2028", "\u202f", "\u205f", "\u3000", "\x1c", "\u200b", "\xab", "\u3001"]
+    texts = [f"a{x}{y}{z}b c" for x in spaces for y in spaces for z in spaces] + [f"{x} " for x in spaces] + [f" {x}" for x in spaces]
+    e = Encoder(Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json")), True)
+    ids, bounds = e.encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_packing_is_whole_gapless_and_tight(spark):
