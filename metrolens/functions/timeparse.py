@@ -73,11 +73,12 @@ def day_key(col) -> Column:
 def parse_ntz(col, fmt: str | None = None) -> Column:
     """Lenient parse (NULL on malformed input, never an ANSI error) to TIMESTAMP_NTZ.
 
-    Parsed in the session zone and cast back, which is the identity on wall time for
-    the UTC session zone this package runs in.
-    """
-    ts = F.try_to_timestamp(_c(col), F.lit(fmt)) if fmt else F.try_to_timestamp(_c(col))
-    return ts.cast("timestamp_ntz")
+    The text is parsed as UTC and read back as UTC wall time, whatever the session's
+    zone, so that no hour is moved or lost where that zone changes its clock."""
+    if fmt is None:
+        return _c(col).try_cast("timestamp_ntz")
+    utc = F.try_to_timestamp(F.concat(_c(col), F.lit(" +0000")), F.lit(f"{fmt} xx"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(utc), _epoch())
 
 
 def restamp(col, date_str: str) -> Column:
@@ -97,8 +98,9 @@ def dt_to_day(col) -> Column:
 
 
 # Fixed value: a timetable time entry that parses (hour of up to 9 digits, optionally
-# signed and padded; minute and second 0..59 with one or two digits).
-HMS_PATTERN = r"^\s*[+-]?\d{1,9}\s*:[0-5]?\d:[0-5]?\d$"
+# signed and padded; minute and second 0..59 with one or two digits; parts after the
+# third are not looked at).
+HMS_PATTERN = r"^\s*[+-]?\d{1,9}\s*:[0-5]?\d:[0-5]?\d(:.*)?$"
 
 
 def hms_valid(col) -> Column:

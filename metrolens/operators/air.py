@@ -11,7 +11,7 @@ from metrolens.functions.numeric import corr_safe, not_nan, rounded_avg
 from metrolens.functions.timeparse import FMT_DAY, FMT_DMY, parse_ntz
 from metrolens.operators.common import dedupe
 from metrolens.operators.keyed import to_cells
-from metrolens.session import ensure_checkpoint_dir
+
 
 def parse_readings(df: DataFrame) -> DataFrame:
     """Add ts (TIMESTAMP_NTZ) parsed from 'dd-MM-yyyy HH:mm:ss'; malformed -> NULL."""
@@ -99,53 +99,51 @@ def map_points(df: DataFrame, since: str) -> DataFrame:
     return r.groupBy(*keys).agg(rounded_avg(not_nan("value"), 6).alias("mean_value"))
 
 
-def five_numbers(df: DataFrame, by: str, value: str, probs: tuple = (0.25, 0.5, 0.75),
-                 partitions: int | None = None) -> DataFrame:
-    """Per group: n, min, quartiles (linear interpolation between order statistics,
-    as exact percentiles), max.
-
-    No group is ever held by one task: values are first counted per distinct
-    (group, value), then range-partitioned on (group, value) so a large group spans
-    many tasks. The range split is checkpointed once (its boundaries come from
-    sampling), running counts are taken inside each range partition, and a small
-    per-partition total table gives each partition's offset within its group. The
-    few order statistics needed (two per quantile) are then looked up by rank: each
-    group joins at most 2 x len(probs) target rows, so the lookup stays linear.
-    """
-    spark = df.sparkSession
-    hist = (df.where(F.col(value).isNotNull())
+def five_numbers(df: DataFrame, by: str, value: str, probs: tuple = (0.25, 0.5, 0.75), slots: int = 256) -> DataFrame:
+    """Per group: n, min, quartiles (linear interpolation between order statistics, as
+    exact percentiles), max. Nothing runs before an action.
+
+    Ranks are selected by a histogram. Values are counted per distinct (group, value); one
+    aggregate per group sketches `slots` - 1 marks that cut them about evenly, a second
+    counts each slot between marks, which tells the slot of every rank that is wanted (two per
+    quantile). Only the values of those slots are ordered, each slot on its own, about 1 / `slots` of
+    a group. The marks need not be exact: the counts are."""
+    hist = (df.where(F.col(value).isNotNull() & F.col(by).isNotNull())
               .groupBy(F.col(by).alias("_g"), F.col(value).alias("_v"))
               .agg(F.count(F.lit(1)).alias("_c")))
-    ensure_checkpoint_dir(spark)
-    ranged = (hist.repartitionByRange(partitions or spark.sparkContext.defaultParallelism, "_g", "_v")
-                  .checkpoint(eager=True)
-                  .withColumn("_pid", F.spark_partition_id()))
-    stats = ranged.groupBy("_g").agg(F.sum("_c").alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"))
-    run = Window.partitionBy("_pid", "_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_cum", F.sum("_c").over(run))
-    before = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy("_g", "_pid").agg(F.sum("_c").alias("_tot"))
-                     .withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
-                     .select("_g", "_pid", "_off"))
-    ranked = (local.join(offsets, ["_g", "_pid"])
-                   .select("_g", "_v", (F.col("_off") + F.col("_cum") - F.col("_c")).alias("_first"),
-                           (F.col("_off") + F.col("_cum") - F.lit(1)).alias("_last")))
-
+    marks = [float(i) / slots for i in range(1, slots)]
+    stats = hist.groupBy("_g").agg(F.sum("_c").alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"),
+                                   F.percentile_approx("_v", marks, 16 * slots).alias("_marks"))
+
+    def halve(a, _):  # the number of marks at or below the value, by halving
+        mid = F.call_function("div", a["lo"] + a["hi"], F.lit(2)).cast("int")
+        below = F.get(F.col("_marks"), mid) <= F.col("_v")
+        return F.when(a["lo"] >= a["hi"], a).otherwise(
+            F.struct(F.when(below, mid + 1).otherwise(a["lo"]).alias("lo"), F.when(below, a["hi"]).otherwise(mid).alias("hi")))
+
+    steps = F.sequence(F.lit(1), F.lit(slots.bit_length()))
+    whole = F.struct(F.lit(0).alias("lo"), F.size("_marks").alias("hi"))
+    placed = (hist.join(stats.select("_g", "_marks"), "_g")
+                  .select("_g", "_v", "_c", F.aggregate(steps, whole, halve)["lo"].alias("_slot")))
     pos = {i: F.lit(float(p)) * (F.col("n") - F.lit(1)).cast("double") for i, p in enumerate(probs)}
-    wanted = []
-    for i in pos:
-        wanted.append(F.struct(F.lit(f"lo{i}").alias("_k"), F.floor(pos[i]).cast("long").alias("_r")))
-        wanted.append(F.struct(F.lit(f"hi{i}").alias("_k"), F.ceil(pos[i]).cast("long").alias("_r")))
-    targets = stats.select("_g", F.inline(F.array(*wanted)))
-    hits = (ranked.join(targets, "_g")
-                  .where((F.col("_first") <= F.col("_r")) & (F.col("_r") <= F.col("_last")))
-                  .groupBy("_g").pivot("_k", [k for i in pos for k in (f"lo{i}", f"hi{i}")])
+    wanted = [F.struct(F.lit(f"{end}{i}").alias("_k"), cut(pos[i]).cast("long").alias("_r"))
+              for i in pos for end, cut in (("lo", F.floor), ("hi", F.ceil))]
+    before = Window.partitionBy("_g").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (placed.groupBy("_g", "_slot").agg(F.sum("_c").alias("_m"))
+                    .withColumn("_from", F.coalesce(F.sum("_m").over(before), F.lit(0))))
+    ranks = (counts.join(stats.select("_g", F.inline(F.array(*wanted))), "_g")
+                   .where((F.col("_r") >= F.col("_from")) & (F.col("_r") < F.col("_from") + F.col("_m")))
+                   .groupBy("_g", "_slot", "_from").agg(F.collect_list(F.struct("_k", "_r")).alias("_ranks")))  # 2 per quantile
+    inside = Window.partitionBy("_g", "_slot").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.col("_from") + F.sum("_c").over(inside)  # the rank after this value's last one
+    here = F.filter("_ranks", lambda x: (x["_r"] < F.col("_last")) & (x["_r"] >= F.col("_last") - F.col("_c")))
+    hits = (placed.join(ranks, ["_g", "_slot"]).withColumn("_last", last)
+                  .select("_g", "_v", F.inline(here)).groupBy("_g").pivot("_k", [f"{end}{i}" for i in pos for end in ("lo", "hi")])
                   .agg(F.first("_v")))
-    out = stats.join(hits, "_g")
     names = ["q1", "median", "q3"] if len(probs) == 3 else [f"q{i}" for i in pos]
     qs = [F.round(F.col(f"lo{i}") + (pos[i] - F.floor(pos[i])) * (F.col(f"hi{i}") - F.col(f"lo{i}")), 6)
           .alias(names[i]) for i in pos]
-    return out.select(F.col("_g").alias(by), "n", "min", *qs, "max")
+    return stats.drop("_marks").join(hits, "_g").select(F.col("_g").alias(by), "n", "min", *qs, "max")
 
 
 def box_stats(df: DataFrame, since: str, parameter: str = "pm25") -> DataFrame:
@@ -160,6 +158,16 @@ def series(df: DataFrame, since: str) -> DataFrame:
              .orderBy("ts", "parameter", "location_name", "value"))
 
 
+SERIES_KEY = ["parameter", "location_name", "ts"]
+
+
+def one_series(stored: DataFrame, parameter: str, station: str) -> DataFrame:
+    """The series of one parameter and station from readings that are stored by SERIES_KEY: the
+    bare filters leave the row groups of other series unread."""
+    return (stored.where((F.col("parameter") == parameter) & (F.col("location_name") == station))
+                  .select("parameter", "location_name", "ts", "value"))
+
+
 def daily_readings(df: DataFrame) -> DataFrame:
     """Readings with their calendar date (unparsable times dropped); no de-duplication."""
     p = parse_readings(df).withColumn("value", F.col("value").cast("double"))

@@ -16,13 +16,17 @@ CELL_COLUMNS = ["rowkey", "family", "qualifier", "value"]
 
 
 def to_cells(df: DataFrame, rowkey: Column, families: dict[str, list[str]],
-             version: int | None = None) -> DataFrame:
-    """Wide rows -> cells; NULL values are left out (no cell is written for them)."""
+             version: int | str | None = None) -> DataFrame:
+    """Wide rows -> cells; NULL values are left out (no cell is written for them). `version` is
+    a number for all of them, or the name of the column that has it."""
     items = [F.struct(F.lit(fam).alias("family"), F.lit(col).alias("qualifier"),
                       F.col(col).cast("string").alias("value"))
              for fam, cols in families.items() for col in cols]
-    cells = df.select(rowkey.alias("rowkey"), F.inline(F.array(*items))).where(F.col("value").isNotNull())
-    if version is not None:
+    own = [F.col(version).cast("long").alias("version")] if isinstance(version, str) else []
+    cells = df.select(rowkey.alias("rowkey"), *own, F.inline(F.array(*items))).where(F.col("value").isNotNull())
+    if own:
+        cells = cells.select(*CELL_COLUMNS, "version")
+    elif version is not None:
         cells = cells.withColumn("version", F.lit(int(version)).cast("long"))
     return cells
 

@@ -1,22 +1,19 @@
 """Timetables: feed payload -> rows, and the nearest-departure (two-sided as-of) match.
 
-nearest_departure never pairs every ping with every departure of its (stop, line).
-Times of day live in [0, 86400), so per (stop, line) there are at most 86,400 distinct
-departure seconds and 86,400 distinct ping seconds. The match is resolved on those
-distinct seconds with running windows (last departure at or before, first departure
-at or after), then joined back to the pings on (stop, line, second). Window
-partitions are therefore bounded by the length of a day, whatever the data volume.
+nearest_departure never pairs every ping with every departure of its (stop, line). The
+timetable becomes one row per (stop, line) with its distinct departure seconds in order,
+at most 86,400 of them, whatever the data volume. Pings meet that row in one equi-join
+and find the departures around their second by halving the list.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metrolens.functions.numeric import half_up_div
 from metrolens.functions.timeparse import SECONDS_PER_DAY, hms_parts, hms_valid, seconds_of_day
-from metrolens.session import ensure_checkpoint_dir
 
 TIMETABLE_KEY = ["stop_zespol", "stop_slupek", "line"]
 
@@ -24,12 +21,10 @@ TIMETABLE_KEY = ["stop_zespol", "stop_slupek", "line"]
 PUNCTUAL_LIMIT_MIN = 3.0
 
 # Feed payload: {"result": [[{"key": .., "value": ..}, ...], ...]}; per departure the
-# time is the last item's value and the direction the second-last item's value.
+# time is the last item's value and the direction the second-last item's value, so the
+# keys are not parsed.
 PAYLOAD_SCHEMA = T.StructType([
-    T.StructField("result", T.ArrayType(T.ArrayType(T.StructType([
-        T.StructField("key", T.StringType()),
-        T.StructField("value", T.StringType()),
-    ])))),
+    T.StructField("result", T.ArrayType(T.ArrayType(T.StructType([T.StructField("value", T.StringType())])))),
 ])
 
 
@@ -74,79 +69,78 @@ def parse_timetable(tt: DataFrame, keys: list[str] | None = None) -> DataFrame:
                       F.coalesce(F.col("direction"), F.lit("")).alias("direction")))
 
 
-def resolve_departures(ping_seconds: DataFrame, departures: DataFrame, keys: list[str],
-                       wrap: bool = False) -> DataFrame:
-    """Nearest departure for each distinct (keys, s): (keys, s, best struct).
-
-    departures: parsed timetable (keys, pos, sec, scheduled_time, direction).
-    Ties: smaller time difference, then smaller feed position.
-    """
-    # One departure per (key, second): the first in feed order.
+def departure_lists(departures: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, deps): the distinct departure seconds of each key in order, as structs (sec, pos,
+    scheduled_time, direction) of the first entry in feed order of each second."""
     per_sec = (departures.groupBy(*keys, "sec")
-                         .agg(F.min(F.struct("pos", "scheduled_time", "direction")).alias("_d"))
-                         .select(*keys, F.col("sec").alias("_s"), F.lit(0).alias("_kind"),
-                                 F.struct(F.col("sec"), F.col("_d.pos").alias("pos"),
-                                          F.col("_d.scheduled_time").alias("scheduled_time"),
-                                          F.col("_d.direction").alias("direction")).alias("_dep")))
-    asks = ping_seconds.select(*keys, F.col("s").alias("_s"), F.lit(1).alias("_kind"),
-                               F.lit(None).cast(per_sec.schema["_dep"].dataType).alias("_dep"))
-    u = per_sec.unionByName(asks)
-    fwd = (Window.partitionBy(*keys).orderBy(F.col("_s").asc(), F.col("_kind").asc())
-                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    back = (Window.partitionBy(*keys).orderBy(F.col("_s").desc(), F.col("_kind").asc())
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cols = [F.last("_dep", ignorenulls=True).over(fwd).alias("_pred"),
-            F.last("_dep", ignorenulls=True).over(back).alias("_succ")]
-    if wrap:
-        whole = Window.partitionBy(*keys)
-        cols += [F.min("_dep").over(whole).alias("_first"), F.max("_dep").over(whole).alias("_last")]
-    r = u.select(*keys, "_s", "_kind", *cols).where(F.col("_kind") == 1)
-
-    def cand(c):
-        d = F.abs(F.col("_s") - F.col(c)["sec"])
+                         .agg(F.min(F.struct("pos", "scheduled_time", "direction")).alias("_d")))
+    return per_sec.groupBy(*keys).agg(F.sort_array(F.collect_list(
+        F.struct("sec", F.col("_d.pos").alias("pos"), F.col("_d.scheduled_time").alias("scheduled_time"),
+                 F.col("_d.direction").alias("direction")))).alias("deps"))
+
+
+def up_to(deps: Column, second: Column) -> Column:
+    """How many of the ordered departures leave at or before `second`: the range of possible answers is
+    halved as often as the binary digits of the list's length say."""
+    def halve(a, _):
+        mid = F.call_function("div", a["lo"] + a["hi"], F.lit(2)).cast("int")
+        before = F.get(deps, mid)["sec"] <= second
+        return F.when(a["lo"] >= a["hi"], a).otherwise(
+            F.struct(F.when(before, mid + 1).otherwise(a["lo"]).alias("lo"), F.when(before, a["hi"]).otherwise(mid).alias("hi")))
+
+    whole = F.struct(F.lit(0).alias("lo"), F.size(deps).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.length(F.bin(F.size(deps)))), whole, halve)["lo"]
+
+
+def nearest_of(deps: Column, second: Column, n: Column, wrap: bool = False) -> Column:
+    """The departure nearest to `second`, as a struct (diff, pos, scheduled_time, direction); `n` of the ordered list
+    leave at or before it. Ties: smaller time difference, then smaller feed position."""
+    around = [F.get(deps, n - 1), F.get(deps, n)]
+    if wrap:  # around midnight
+        around += [F.get(deps, F.lit(0)), F.get(deps, F.size(deps) - 1)]
+
+    def candidate(d):
+        diff = F.abs(second - d["sec"])
         if wrap:
-            d = F.least(d, F.lit(SECONDS_PER_DAY) - d)
-        return F.when(F.col(c).isNotNull(),
-                      F.struct(d.alias("diff"), F.col(c)["pos"].alias("pos"),
-                               F.col(c)["scheduled_time"].alias("scheduled_time"),
-                               F.col(c)["direction"].alias("direction")))
+            diff = F.least(diff, F.lit(SECONDS_PER_DAY) - diff)
+        return F.struct(diff.alias("diff"), d["pos"].alias("pos"), d["scheduled_time"].alias("scheduled_time"),
+                        d["direction"].alias("direction"))
 
-    names = ["_pred", "_succ"] + (["_first", "_last"] if wrap else [])
-    cands = F.filter(F.array(*[cand(c) for c in names]), lambda x: x.isNotNull())
-    return (r.select(*keys, F.col("_s").alias("s"), F.array_min(cands).alias("_best"))
-             .where(F.col("_best").isNotNull()))
+    return F.array_min(F.transform(F.array_compact(F.array(*around)), candidate))
 
 
 def nearest_departure(matches: DataFrame, timetable: DataFrame, on: list[str] | None = None,
-                      wrap: bool = False, materialize: bool = True) -> DataFrame:
+                      wrap: bool = False, keep_unmatched: bool = False) -> DataFrame:
     """Attach the nearest scheduled departure to each matched ping.
 
     matches: rows with `on` keys and event_ts. timetable: (on..., pos, time_text,
     direction) raw entries. Adds time_diff_minutes (rounded to 2), scheduled_time,
-    direction; pings without any parsable departure are dropped. By default the time
-    difference does not wrap at midnight (23:58 vs 00:02 is 1436 minutes); wrap=True
-    measures around the clock.
+    direction; pings without any parsable departure are dropped, or have NULLs there with
+    `keep_unmatched`. By default the time difference does not wrap at midnight (23:58 vs
+    00:02 is 1436 minutes); wrap=True measures around the clock. Nothing runs before an
+    action, and a hot key on the pings' side is a skewed join that Spark splits.
     """
     keys = list(on or TIMETABLE_KEY)
-    # The matched pings are used twice (distinct asks, join back). They are
-    # checkpointed to the shared checkpoint folder so the upstream nearest-stop work
-    # runs once and a lost executor re-reads them instead of recomputing the chain.
-    m = matches.withColumn("_t", seconds_of_day("event_ts"))
-    if materialize:
-        ensure_checkpoint_dir(m.sparkSession)
-        m = m.checkpoint(eager=True)
     deps = parse_timetable(timetable, keys)
     if "feed_id" in deps.columns:
         deps = deps.withColumn("pos", F.struct("feed_id", "pos")).drop("feed_id")
-    asks = m.select(*keys, F.col("_t").alias("s")).distinct()
-    best = resolve_departures(asks, deps, keys, wrap=wrap)
-    joined = m.join(best.withColumnRenamed("s", "_t"), keys + ["_t"], "inner")
+    # The hash makes the lists arrive by a shuffle of the join's own, without which a
+    # skewed join is not split.
+    lists = departure_lists(deps, keys).select(*[F.col(k).alias(f"_{k}") for k in keys], F.xxhash64(*keys).alias("_lh"), "deps")
+    on_keys = F.xxhash64(*[matches[k] for k in keys]) == lists["_lh"]
+    for k in keys:
+        on_keys = on_keys & (matches[k] == lists[f"_{k}"])
+    joined = matches.join(lists, on_keys, "left" if keep_unmatched else "inner").withColumn("_t", seconds_of_day("event_ts"))
+    if not keep_unmatched:
+        joined = joined.where(F.col("_t").isNotNull())
+    joined = joined.withColumn("_n", up_to(F.col("deps"), F.col("_t")))
+    joined = joined.withColumn("_best", nearest_of(F.col("deps"), F.col("_t"), F.col("_n"), wrap))
     # minutes = seconds / 60 rounded HALF_UP to 2 digits, on integers (seconds*100/60 never ties)
     cents = half_up_div(F.col("_best.diff").cast("long") * F.lit(100), F.lit(60))
     return (joined.withColumn("time_diff_minutes", cents.cast("double") / F.lit(100.0))
                   .withColumn("scheduled_time", F.col("_best.scheduled_time"))
                   .withColumn("direction", F.col("_best.direction"))
-                  .drop("_t", "_best"))
+                  .drop("_t", "_n", "_best", "_lh", "deps", *[f"_{k}" for k in keys]))
 
 
 def punctuality(df: DataFrame, limit_min: float = PUNCTUAL_LIMIT_MIN) -> DataFrame:

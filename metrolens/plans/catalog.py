@@ -1,9 +1,9 @@
 """The registered query catalog: name -> fn(spark, sf_dir) -> DataFrame.
 
 Every query reads the test tables through metrolens.sources.fixtures, so its work
-grows with them. Nothing is collected here. Actions at build time are the checkpoint of
-matched pings and, once per session and input, the writing of the stored summary and
-the keyed table, which the report, ranking, correlation, scan and get queries read.
+grows with them. Nothing is collected here. The only actions at build time are, once per
+session and input, the writing of stored tables (line summary, keyed tables, clustered
+readings), which the report, ranking, correlation, series, scan and get queries read.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ from metrolens.functions.timeparse import dt_to_day, hour_stamp, truncate_hour
 from metrolens.operators import air, delays, keyed, report, weather
 from metrolens.operators.clean import clean_pings, latest_per_key, ping_slice
 from metrolens.operators.nearest import MAX_DISTANCE_METERS, nearest_stop, normalize_stops, stop_line_pairs
-from metrolens.operators.quality import named_counts, step_counts
+from metrolens.operators.quality import match_counts, named_counts, reading_counts, step_counts
 from metrolens.operators.schedule import nearest_departure, parse_timetable, punctuality, timetable_explode
-from metrolens.session import ensure_checkpoint_dir, staging_path
+from metrolens.session import staging_path
 from metrolens.sources import fixtures as fx
 from metrolens.sources import keyed_store, tables
 from metrolens.plans import jobs
@@ -34,6 +34,7 @@ WEATHER_DT = "2024-01-10"
 AIR_SINCE = "2024-01-03"
 REPORT_DAY = "2024-01-10"
 EARLIER_RADIUS_M = 500.0
+SERIES = ("pm25", "Station 4 Centrum")
 SCAN_LIMIT = 10
 GET_KEY = "20240110_08_click"
 ROTATED_OUT, ROTATED_IN = "2024-01-05", "2024-12-31"
@@ -112,20 +113,12 @@ def q_dedupe_by_key(spark, sf_dir):
 
 
 def q_quality_counts(spark, sf_dir):
-    """Row counts at each step of the clean, delay, weather and air jobs."""
-    ensure_checkpoint_dir(spark)
-    matched = matched_pings(spark, sf_dir).checkpoint(eager=True)  # matched once for three counts
-    extra = named_counts({
-        "stops": fx.stops(spark, sf_dir),
-        "pings": fx.pings(spark, sf_dir),
-        "near_stop": matched,
-        "stop_line_pairs": stop_line_pairs(matched),
-        "measured": nearest_departure(matched, fx.timetable(spark, sf_dir), materialize=False),
-        "weather": fx.weather(spark, sf_dir),
-        "air": fx.air_quality(spark, sf_dir),
-        "air_since": air.readings_since(fx.air_quality(spark, sf_dir), AIR_SINCE),
-    })
-    return step_counts(fx.raw_pings(spark, sf_dir)).unionByName(extra)
+    """Row counts at each step of the clean, delay, weather and air jobs; each input is read once."""
+    measured = nearest_departure(matched_pings(spark, sf_dir), fx.timetable(spark, sf_dir), keep_unmatched=True)
+    return (step_counts(fx.raw_pings(spark, sf_dir))
+            .unionByName(match_counts(measured))
+            .unionByName(reading_counts(fx.air_quality(spark, sf_dir), AIR_SINCE))
+            .unionByName(named_counts({"stops": fx.stops(spark, sf_dir), "pings": fx.pings(spark, sf_dir), "weather": fx.weather(spark, sf_dir)})))
 
 
 def q_partition_counts(spark, sf_dir):
@@ -253,6 +246,14 @@ def q_aq_series(spark, sf_dir):
     return air.series(fx.air_quality(spark, sf_dir), AIR_SINCE)
 
 
+def q_aq_series_stored(spark, sf_dir):
+    """One series of readings that are stored by parameter, station and time: the row groups of the others are not read."""
+    def write(path):
+        tables.write_clustered(air.readings_since(fx.air_quality(spark, sf_dir), AIR_SINCE), path, air.SERIES_KEY)
+
+    return air.one_series(spark.read.parquet(_stored(spark, sf_dir, "air-series", write)), *SERIES)
+
+
 def q_pm_bands(spark, sf_dir):
     return air.pm_bands(fx.air_quality(spark, sf_dir), "pm25")
 
@@ -270,8 +271,7 @@ def q_keyed_upsert(spark, sf_dir):
     measured = nearest_departure(matched, fx.timetable(spark, sf_dir))
     versions = F.array_compact(F.array(F.when(F.col("raw_m") <= EARLIER_RADIUS_M, F.lit(1)), F.lit(2))).cast("array<bigint>")
     both = delays.line_delay_summary(measured.withColumn("version", F.explode(versions)), ["version", "dt", "hour"])
-    cells = [keyed.to_cells(both.where(F.col("version") == v), line_rowkey("dt", "hour", "line"), SUMMARY_CELLS, version=v) for v in (1, 2)]
-    return keyed.upsert_cells(*cells)
+    return keyed.latest_cells(keyed.to_cells(both, line_rowkey("dt", "hour", "line"), SUMMARY_CELLS, version="version"))
 
 
 WEATHER_CELLS = {"cf": ["dt", "hour", "measurement_count", "avg_temp", "avg_humidity", "avg_wind_speed", "avg_pressure"]}
@@ -402,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "aq_map": q_aq_map,
     "box_stats": q_box_stats,
     "aq_series": q_aq_series,
+    "aq_series_stored": q_aq_series_stored,
     "pm_bands": q_pm_bands,
     "sensor_means": q_sensor_means,
     "keyed_upsert": q_keyed_upsert,

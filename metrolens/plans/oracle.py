@@ -235,6 +235,9 @@ ORACLE: dict[str, str] = {
                            extra_ctes={"air_since": AIR_SINCE}),
     "aq_series": with_ctes("SELECT parameter, location_name, ts, value FROM air_since", "air",
                            extra_ctes={"air_since": AIR_SINCE}),
+    "aq_series_stored": with_ctes("""
+        SELECT parameter, location_name, ts, value FROM air_since
+        WHERE parameter = 'pm25' AND location_name = 'Station 4 Centrum'""", "air", extra_ctes={"air_since": AIR_SINCE}),
     "pm_bands": with_ctes("""
         SELECT date_ AS date, location_name,
                CASE WHEN length(location_name) > 15 THEN substr(location_name, 1, 15) || '...'

@@ -112,3 +112,16 @@ def _check_grid(spark, g, r, rnd):
     near = {(i, j) for i, j in zip(*np.nonzero(d <= r - 1e-6))}
     assert len(near) > len(pts)  # the sample contains real neighbours
     assert near - joined == set()
+
+
+def test_local_times_keep_their_hour_where_the_clock_changes(spark):
+    from metrolens.functions.timeparse import FMT_DMY, parse_ntz
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Warsaw")
+    try:
+        df = spark.createDataFrame([("31-03-2024 02:30:00",), ("n/a",), (None,)], "t string")
+        got = [str(r[0]) for r in df.select(parse_ntz("t", FMT_DMY)).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == ["2024-03-31 02:30:00", "None", "None"]

@@ -21,7 +21,7 @@ def _tt(spark, entries):
 
 
 def _run(spark, times, entries, wrap=False):
-    out = nearest_departure(_matches(spark, times), _tt(spark, entries), wrap=wrap, materialize=False)
+    out = nearest_departure(_matches(spark, times), _tt(spark, entries), wrap=wrap)
     return {r["vehicle_number"]: (r["time_diff_minutes"], r["scheduled_time"], r["direction"]) for r in out.collect()}
 
 
@@ -95,3 +95,34 @@ def test_hot_key_is_resolved_per_second_not_per_pair(spark):
         best = min((abs(p - s), j) for j, s in enumerate(secs))
         want = round(best[0] / 60 + 1e-9, 2)
         assert abs(got[f"v{i}"][0] - want) < 1e-9, (p, got[f"v{i}"], best)
+
+
+def test_parts_after_the_third_are_not_looked_at(spark):
+    got = _run(spark, ["2026-01-10 08:10:00"], [("08:09:00:59", "A"), ("08:00:00:", "B"), ("08:10", "two"), ("08:10:00x", "bad")])
+    assert got == {"v0": (1.0, "08:09:00", "A")}
+
+
+def test_nothing_runs_while_the_query_is_built(spark):
+    from tests.test_keyed import jobs_of
+
+    df, built = jobs_of(spark, lambda: nearest_departure(_matches(spark, ["2026-01-10 08:00:01"]), _tt(spark, [("08:00:00", "A")])))
+    assert built == 0 and df.count() == 1
+
+
+def test_pings_without_a_departure_can_stay(spark):
+    times = ["2026-01-10 08:00:01"]
+    df = nearest_departure(_matches(spark, times), _tt(spark, [("8h", "A")]), keep_unmatched=True)
+    assert [(r["vehicle_number"], r["time_diff_minutes"]) for r in df.collect()] == [("v0", None)]
+    none = _matches(spark, times).withColumn("event_ts", F.lit(None).cast("timestamp_ntz"))
+    assert nearest_departure(none, _tt(spark, [("08:00:00", "A")])).count() == 0
+    assert nearest_departure(none, _tt(spark, [("08:00:00", "A")]), keep_unmatched=True).first()["time_diff_minutes"] is None
+
+
+def test_every_second_of_odd_lists(spark):
+    for secs in ([5], [5, 5, 9], [0, 86399], list(range(0, 86400, 4001))):
+        entries = [(f"{s // 3600:02d}:{s % 3600 // 60:02d}:{s % 60:02d}", f"d{i}") for i, s in enumerate(secs)]
+        asked = [0, 4, 5, 6, 7, 8, 9, 10, 4000, 4001, 43200, 86398, 86399]
+        got = _run(spark, [f"2026-01-10 {p // 3600:02d}:{p % 3600 // 60:02d}:{p % 60:02d}" for p in asked], entries)
+        for i, p in enumerate(asked):
+            diff, j = min((abs(p - s), j) for j, s in enumerate(secs))
+            assert got[f"v{i}"][2] == f"d{j}"

@@ -110,7 +110,13 @@ def test_five_numbers_matches_linear_interpolation_with_hot_group(spark):
     data += [(f"g{i}", round(rnd.uniform(0, 100), 2)) for i in range(40) for _ in range(rnd.randint(1, 30))]
     data += [("one", 7.5), ("nul", None)]
     df = spark.createDataFrame(data, "k string, v double")
-    got = {r["k"]: r for r in air.five_numbers(df, "k", "v", partitions=7).collect()}
+    from tests.test_keyed import jobs_of
+
+    out, built = jobs_of(spark, lambda: air.five_numbers(df, "k", "v", slots=8))
+    assert built == 0  # nothing runs before an action
+    got = {r["k"]: r for r in out.collect()}
+    fine = {r["k"]: r for r in air.five_numbers(df, "k", "v").collect()}
+    assert fine == got
     groups = {}
     for k, v in data:
         if v is not None:
@@ -122,3 +128,29 @@ def test_five_numbers_matches_linear_interpolation_with_hot_group(spark):
         assert r["n"] == len(vals) and r["min"] == a.min() and r["max"] == a.max()
         for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
             assert abs(r[name] - float(np.percentile(a, p * 100))) < 1e-6, (k, name)
+
+
+def test_one_series_reads_its_row_groups_only(spark, tmpdir_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from metrolens.sources import tables
+    from tests.conftest import plan_text
+
+    r = spark.range(200_000).select(
+        F.concat(F.lit("p"), F.col("id") % 4).alias("parameter"), F.concat(F.lit("s"), F.col("id") % 50).alias("location_name"),
+        F.timestamp_add("SECOND", F.col("id") * 977 % 1_000_003, F.lit("2024-01-01").cast("timestamp_ntz")).alias("ts"), (F.col("id") * 7919 % 1000 / 7).alias("value"))
+    path = f"{tmpdir_path}/series"
+    tables.write_clustered(r, path, air.SERIES_KEY, row_group_bytes=64 << 10)
+    one = air.one_series(spark.read.parquet(path), "p1", "s21")
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, r.where("parameter = 'p1' AND location_name = 's21'").collect()))
+    assert "EqualTo(parameter,p1), EqualTo(location_name,s21)" in plan_text(one, "formatted")
+    groups = hit = 0
+    for f in glob.glob(f"{path}/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        for g in range(meta.num_row_groups):
+            lo_hi = [(meta.row_group(g).column(c).statistics.min, meta.row_group(g).column(c).statistics.max) for c in (0, 1)]
+            groups += 1
+            hit += all(lo <= x <= hi for x, (lo, hi) in zip(("p1", "s21"), lo_hi))
+    assert groups >= 20 and hit <= groups // 4
