@@ -22,6 +22,10 @@ from pyspark.sql import types as T
 from metrolens.llm.tokens import Encoder, in_groups, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Words that a worker remembers, and bytes of texts that it encodes at once: few, as the
+#: workers of encoding and decoding run side by side.
+MEMO_WORDS = 300_000
+GROUP_BYTES = 1 << 20
 
 _LOADED: dict = {}
 
@@ -84,7 +88,7 @@ class Codec:
         tokenizer = Tokenizer(models.BPE(vocab=self.names, merges=[tuple(m) for m in merges], ignore_merges=True))
         tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.Split(Regex(pattern), "removed", invert=True), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        return Encoder(tokenizer, keeps_space=True)
+        return Encoder(tokenizer, keeps_space=True, memo_words=MEMO_WORDS)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, equal to those of every match of the pattern on its own."""
@@ -151,7 +155,7 @@ def encode(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabula
     def run(batches):
         c = codec(vocabulary, pattern)
         for batch in batches:
-            for a, b in in_groups(batch.column(1)):
+            for a, b in in_groups(batch.column(1), GROUP_BYTES):
                 texts = batch.column(1).slice(a, b - a)
                 found, bounds = c.encoder.encode(texts)
                 lists = [found.astype(np.int32), *(c.offsets(texts, found, bounds) if offsets else ())]
@@ -162,15 +166,15 @@ def encode(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabula
     return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
-def decode(tokens: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY, pattern: str | None = None) -> DataFrame:
-    """The rows of `tokens` with decoded (bytes), decoded_text, lead and trail instead of `ids`.
+def decode(tokens: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY, pattern: str | None = None, text: bool = True) -> DataFrame:
+    """The rows of `tokens` with decoded (bytes), decoded_text (if `text`), lead and trail instead of `ids`.
 
     A run of ids can begin or end within a character: `lead` bytes at its start and `trail`
     bytes at its end belong to characters that its neighbours complete (join `decoded` of the
     runs to get them whole). In decoded_text bytes that are no character are U+FFFD. Null ids
     decode to no bytes; an id that the vocabulary lacks is an error. A column of `tokens` that
     has one of the new names gives way."""
-    new = [T.StructField("decoded", T.BinaryType()), T.StructField("decoded_text", T.StringType()),
+    new = [T.StructField("decoded", T.BinaryType()), *([T.StructField("decoded_text", T.StringType())] if text else []),
            T.StructField("lead", T.IntegerType()), T.StructField("trail", T.IntegerType())]
     kept = [f for f in tokens.schema.fields if f.name != ids and f.name not in {x.name for x in new}]
     schema = T.StructType(kept + new)
@@ -178,8 +182,8 @@ def decode(tokens: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY, pa
     def run(batches):
         c = codec(vocabulary, pattern)
         for batch in batches:
-            for row in range(0, batch.num_rows, 1024):
-                some = batch.slice(row, 1024)
+            for row in range(0, batch.num_rows, 256):
+                some = batch.slice(row, 256)
                 lists = some.column(0)
                 counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
                 flat = lists.flatten()
@@ -191,12 +195,12 @@ def decode(tokens: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY, pa
                 except pa.ArrowInvalid:
                     each = data.to_pylist()
                     texts, edges = pa.array([d.decode("utf-8", "replace") for d in each], pa.string()), [split_edges(d) for d in each]
-                yield pa.RecordBatch.from_arrays([*some.columns[1:], data, texts, *(pa.array(e, pa.int32()) for e in zip(*edges))], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*some.columns[1:], data, *([texts] if text else []), *(pa.array(e, pa.int32()) for e in zip(*edges))], names=schema.names)
 
     return tokens.select(ids, *[f.name for f in kept]).mapInArrow(run, schema)
 
 
 def query(docs: DataFrame) -> DataFrame:
-    tokens = encode(docs).select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+    tokens = encode(docs, offsets=False).select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                                  F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), "ids")
-    return decode(tokens).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return decode(tokens, text=False).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
