@@ -89,7 +89,7 @@ def test_nearest_within_generic_columns(spark):
 
 
 def test_shuffle_path_with_finer_cells_matches_broadcast_path(spark):
-    """broadcast_max_bytes=0 forces the shuffle join on half-radius cells; same answer."""
+    """broadcast_max_bytes=0 forces the shuffle join; same answer."""
     import random
 
     rnd = random.Random(5)
@@ -100,3 +100,65 @@ def test_shuffle_path_with_finer_cells_matches_broadcast_path(spark):
     a = rows(nearest_stop(pings, stops), "vehicle_number", "stop_zespol", "distance_m")
     b = rows(nearest_stop(pings, stops, broadcast_max_bytes=0), "vehicle_number", "stop_zespol", "distance_m")
     assert a == b and len(a) > 100
+
+
+def brute_nearest(points, targets, radius):
+    """key -> (name, distance), by all distances (numpy)."""
+    import numpy as np
+
+    name, lat, lon = zip(*targets)
+    p2, l2 = np.radians(lat), np.radians(lon)
+    out = {}
+    for k, a, b in points:
+        p1, l1 = math.radians(a), math.radians(b)
+        x = np.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * np.cos(p2) * np.sin((l2 - l1) / 2) ** 2
+        d = 2 * np.arcsin(np.minimum(np.sqrt(x), 1.0)) * 6371000.0
+        if d.min() <= radius:
+            at = np.flatnonzero(np.round(d, 6) == np.round(d.min(), 6))
+            out[k] = (min(name[i] for i in at), round(float(d.min()), 2))
+    return out
+
+
+def nearest_named(spark, points, targets, radius, **options):
+    p = spark.createDataFrame(points, "id int, lat double, lon double")
+    t = spark.createDataFrame(targets, "name string, stop_lat double, stop_lon double")
+    out = nearest_within(p, t, key=["id"], radius_m=radius, target_order=["name"], **options)
+    return {r["id"]: (r["name"], r["distance_m"]) for r in out.collect()}
+
+
+def assert_same(got, want):
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(abs(got[k][1] - want[k][1]) < 0.011 for k in want)
+
+
+def test_split_cells_equal_brute_force_everywhere(spark):
+    """Clusters and lone stops at the equator, the antimeridian, the poles and a city; lists of
+    every length; both join paths."""
+    import random
+
+    rnd = random.Random(21)
+    centres = [(0.0, 0.0), (10.0, 179.999), (-10.0, -179.999), (89.99, 40.0), (-89.995, -120.0), (52.2, 21.0), (70.0, -45.0)]
+    around = lambda c, s: (max(-90.0, min(90.0, c[0] + rnd.gauss(0, s))), (c[1] + rnd.gauss(0, s) / max(0.02, math.cos(math.radians(c[0]))) + 540) % 360 - 180)
+    targets = [(f"t{i:04d}", *around(rnd.choice(centres), rnd.choice([0.0002, 0.004, 0.02]))) for i in range(1500)] + [("pole", 90.0, 0.0), ("south", -90.0, 7.0)]
+    points = [(i, *around(rnd.choice(centres), rnd.choice([0.0005, 0.006, 0.02]))) for i in range(1200)] + [(5000, 90.0, 100.0), (5001, 0.0, 180.0), (5002, 0.0, -180.0)]
+    want = brute_nearest(points, targets, 700.0)
+    assert len(want) > 800
+    for options in ({}, {"most": 2, "levels": (0, 3, 4, 7)}, {"most": 1, "broadcast_max_bytes": 0}, {"levels": (0,)}):
+        assert_same(nearest_named(spark, points, targets, 700.0, **options), want)
+
+
+def test_candidates_are_bounded_where_stops_are_dense(spark):
+    """10,000 stops within 900 m: a ping meets a few dozen of them, in and beside the crowd."""
+    import random
+
+    from metrolens.operators.nearest import candidate_pairs
+
+    rnd = random.Random(22)
+    targets = [(f"t{i:05d}", 52.0 + rnd.uniform(0, 0.008), 21.0 + rnd.uniform(0, 0.013)) for i in range(10_000)]
+    points = [(i, 52.0 + rnd.uniform(-0.006, 0.014), 21.0 + rnd.uniform(-0.01, 0.023)) for i in range(500)]
+    p = spark.createDataFrame(points, "id int, lat double, lon double")
+    t = spark.createDataFrame(targets, "name string, stop_lat double, stop_lon double")
+    met = candidate_pairs(p, t, 700.0, point_lat="lat", point_lon="lon", target_lat="stop_lat", target_lon="stop_lon", order=["name"], broadcast_max_bytes=64 << 20)
+    per_point = [r["count"] for r in met.groupBy("id").count().collect()]
+    assert len(per_point) > 300 and max(per_point) <= 100 and sum(per_point) / len(per_point) <= 40
+    assert_same(nearest_named(spark, points, targets, 700.0), brute_nearest(points, targets, 700.0))
