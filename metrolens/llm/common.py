@@ -54,6 +54,17 @@ def add_columns(df: DataFrame, columns: dict) -> DataFrame:
     return df.drop(*columns).withColumns(columns)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until `df` has no column of that name (whatever its case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

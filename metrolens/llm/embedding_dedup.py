@@ -124,13 +124,15 @@ def near_duplicates(vectors: DataFrame, vec: str = "embedding", vec_id: str = "v
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null
     label or a null id, link with nothing; vectors of different length neither. Equal vectors of a label are
     one class from the start, so a vector that a third of all rows share costs one row
-    per task; copies link with each other. An empty table gives an empty result; other
+    per task; copies link with each other. Ids are of any type that has an order; rows that share one but
+    not the vector are rows of their own. A row without an id has no component_id and is kept. An empty table gives an empty result; other
     columns play no part."""
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(vec).alias("vec"))
     fine = (F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("vec").isNotNull()
             & F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))) & F.exists("vec", lambda v: v != 0))
     fine = F.coalesce(fine, F.lit(False))
-    classes = stage(rows.where(fine).groupBy("label", "vec").agg(F.min("vec_id").cast("long").alias("c"), F.count(F.lit(1)).alias("n")), "classes")
+    classes = stage(rows.where(fine).groupBy("label", "vec").agg(F.min("vec_id").alias("owner"), F.count(F.lit(1)).alias("n"))
+                        .withColumn("c", F.monotonically_increasing_id()), "classes")
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits, bands = band_plan(largest, similarity)
     index = stage(_codes(classes, bits, bands), "codes")
@@ -141,15 +143,17 @@ def near_duplicates(vectors: DataFrame, vec: str = "embedding", vec_id: str = "v
     units_ = deal(met, "bucket", "c", F.ceil(F.col("members") / F.lit(block)))
     found = stage(_links(units_, similarity, confidence), "found")
     links = found.groupBy("c").agg(F.sum("links").alias("links"))
-    linked = components(found.where(F.col("root") != F.col("c")), "c", "root").withColumnRenamed("node", "c")
-    of_class = (classes.select("label", "vec", "c", "n").join(links, "c", "left").join(linked, "c", "left")
+    linked = stage(components(found.where(F.col("root") != F.col("c")), "c", "root").withColumnRenamed("node", "c"), "linked")
+    leads = linked.join(classes.select("c", "owner"), "c").groupBy("component").agg(F.min("owner").alias("lead"))
+    of_class = (classes.select("label", "vec", "c", "n", "owner").join(links, "c", "left")
+                       .join(linked.join(leads, "component").select("c", "lead"), "c", "left")
                        .select("label", "vec", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links"),
-                               F.coalesce("component", "c").alias("component_id")))
+                               F.coalesce("lead", "owner").alias("component_id")))
     key = F.when(fine, F.col("vec"))
     whole = rows.withColumn("_key", key).join(of_class.withColumnRenamed("label", "_l"), (F.col("_key") == of_class["vec"]) & (F.col("label") == F.col("_l")), "left")
     component = F.coalesce("component_id", rows["vec_id"])
     return whole.select(rows["vec_id"].alias(vec_id), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                        component.alias("component_id"), (rows["vec_id"] == component).alias("kept"))
+                        component.alias("component_id"), rows["vec_id"].eqNullSafe(component).alias("kept"))
 
 
 def query(vectors: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metrolens.llm.common import shuffle_tasks, stage
+from metrolens.llm.common import shuffle_tasks, stage, unused
 
 
 def normalized(text: str | Column) -> Column:
@@ -119,13 +119,15 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", capacity:
 
 
 def kept_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", capacity: int = 1 << 16) -> DataFrame:
-    """The rows of `docs` that stay, one for each different normalised text, with all their columns."""
+    """The rows of `docs` that stay, one for each different normalised text, with all their
+    columns; null text and very long texts as in `dedup`. No name of a column is in the way."""
     index = build_index(docs, text, doc_id, capacity)
-    stay = index.entries.select(F.col("keep_id").alias("_keep"), F.col("sha").alias("_sha"))
-    marked = docs.withColumn("_of", F.unhex(F.sha2(normalized(text).cast("binary"), 256)))
-    rows = marked.join(stay, (F.col("_of") == F.col("_sha")) & F.col(doc_id).eqNullSafe(F.col("_keep")), "left_semi")
-    one = Window.partitionBy("_of", doc_id).orderBy(*[F.col(c) for c in docs.columns if c != doc_id])
-    return rows.withColumn("_n", F.row_number().over(one)).where(F.col("_n") == 1).select(*docs.columns)
+    of, n = unused(docs, "_of", "_n")
+    stay = index.entries.select("keep_id", "sha")
+    marked = docs.withColumn(of, F.unhex(F.sha2(normalized(text).cast("binary"), 256)))
+    rows = marked.join(stay, (marked[of] == stay["sha"]) & marked[doc_id].eqNullSafe(stay["keep_id"]), "left_semi")
+    one = Window.partitionBy(of, doc_id).orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != doc_id])
+    return rows.withColumn(n, F.row_number().over(one)).where(F.col(n) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -17,15 +17,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metrolens.llm.blocks import deal, forest, units
-from metrolens.llm.common import components, stage
+from metrolens.llm.common import components, stage, unused
 from metrolens.llm.words import mix, shingle_hashes, text_chunks, word_hashes
 
 POSITIONS = 64
 _SALT = mix(np.arange(1, 2 * POSITIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-#: Ids made up for rows without one start here, above those of any table.
-NO_ID = 1 << 62
 
 
 def run_recall(similarity: float, fan: int) -> float:
@@ -70,16 +69,18 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _reference(doc_id: str, text: str):
-    made_up = F.xxhash64(F.col(text)).bitwiseAND(F.lit(NO_ID - 1)).bitwiseOR(F.lit(NO_ID))
-    return F.coalesce(F.col(doc_id).cast("long"), made_up)
+def _marks(doc_id: str, text: str) -> tuple:
+    """(of the id, of the text): two hashes that tell rows of different ids or texts apart. A row
+    without an id is known by its text."""
+    known = F.when(F.col(doc_id).isNull(), F.xxhash64(F.lit(1), F.col(text))).otherwise(F.xxhash64(F.lit(0), F.col(doc_id)))
+    return known, F.xxhash64(F.lit(2), F.col(text))
 
 
 def _fingerprints(docs: DataFrame, size: int) -> DataFrame:
-    """(ref, k1, k2, n, sig) of each row with a word: a 128-bit digest of its set, the set's size, the minhashes."""
+    """(h, th, doc_id, k1, k2, n, sig) of each row with a word: a 128-bit digest of its set, the set's size, the minhashes."""
     def run(batches):
         for batch in batches:
-            for a, texts in text_chunks(batch.column(1)):
+            for a, texts in text_chunks(batch.column(3)):
                 sets = shingle_sets(texts, size)
                 has = [i for i, s in enumerate(sets) if len(s)]
                 if not has:
@@ -87,11 +88,13 @@ def _fingerprints(docs: DataFrame, size: int) -> DataFrame:
                 sets = [sets[i] for i in has]
                 digest = np.array([np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8") for s in sets])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array([a + i for i in has])), pa.array(digest[:, 0]), pa.array(digest[:, 1]),
+                    [*(batch.column(c).take(pa.array([a + i for i in has])) for c in range(3)), pa.array(digest[:, 0]), pa.array(digest[:, 1]),
                      pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in signatures(sets)], pa.binary())],
-                    names=["ref", "k1", "k2", "n", "sig"])
+                    names=schema.names)
 
-    return docs.select("ref", "text").mapInArrow(run, "ref long, k1 long, k2 long, n long, sig binary")
+    schema = T.StructType([*(docs.schema[c] for c in ("h", "th", "doc_id")), *(T.StructField(c, T.LongType()) for c in ("k1", "k2", "n")),
+                           T.StructField("sig", T.BinaryType())])
+    return docs.select("h", "th", "doc_id", "text").mapInArrow(run, schema)
 
 
 def _split(nodes: DataFrame, fan: int) -> DataFrame:
@@ -203,7 +206,7 @@ def _exact_links(rows: DataFrame, similarity: float) -> DataFrame:
     def run(batches):
         for unit in units(batches):
             lo, hi = unit.column(1)[0].as_py(), unit.column(2)[0].as_py()
-            c, once = np.unique(unit.column(4).to_numpy(), return_index=True)  # repeated rows of one id
+            c, once = np.unique(unit.column(4).to_numpy(), return_index=True)  # repeated rows
             block = unit.column(3).to_numpy()[once]
             sets = [np.frombuffer(unit.column(5)[i].as_py(), np.uint64) for i in once.tolist()]
             size = np.array([len(s) for s in sets])
@@ -220,7 +223,7 @@ def _exact_links(rows: DataFrame, similarity: float) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, size: int) -> DataFrame:
-    """`docs`(ref, text, group, n_blocks) with the shingle set as bytes instead of the text."""
+    """`docs`(c, text, group, n_blocks) with the shingle set as bytes instead of the text."""
     def run(batches):
         for batch in batches:
             for a, texts in text_chunks(batch.column(1)):
@@ -228,7 +231,7 @@ def _sets_of(docs: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), pa.array(sets, pa.binary()), batch.column(2).slice(a, n),
                                                   batch.column(3).slice(a, n)], names=["c", "set", "group", "n_blocks"])
 
-    return docs.select("ref", "text", "group", "n_blocks").mapInArrow(run, "c long, set binary, group long, n_blocks long")
+    return docs.select("c", "text", "group", "n_blocks").mapInArrow(run, "c long, set binary, group long, n_blocks long")
 
 
 def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 5, similarity: float = 0.8,
@@ -240,41 +243,51 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int
 
     Words are runs of anything but ASCII white space, without ASCII case. A text with
     fewer than `size` words has one shingle, all its words; one without words (or null)
-    links with nothing, not even with its like. Rows without an id get one above 2^62 from
-    a hash of their text; rows that repeat an id come back as often. Equal sets are one
-    set from the start, so copies cost one row per task. An empty table gives an empty
-    result; other columns play no part."""
-    named = docs.select(F.col(doc_id).alias("doc_id"), _reference(doc_id, text).alias("ref"), F.col(text).alias("text"))
+    links with nothing, not even with its like. Ids are of any type that has an order; rows
+    without one come after all others, and set_id or class_id is null where no row has one. Rows that share
+    an id but not the text are rows of their own; rows that repeat come back as often. Equal sets
+    are one set from the start, so copies cost one row per task. Very long texts are read
+    a few at a time. An empty table gives an empty result; other columns play no part.
+    `stays` marks the row (and its repetitions) that stands for its class, by (h, th)."""
+    h, th = _marks(doc_id, text)
+    named = docs.select(F.col(doc_id).alias("doc_id"), h.alias("h"), th.alias("th"), F.col(text).alias("text"))
     prints = stage(_fingerprints(named, size), "prints")
-    classes = stage(prints.groupBy("k1", "k2").agg(F.min("ref").alias("c"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "th"))
+    classes = stage(prints.groupBy("k1", "k2").agg(first.alias("owner"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+                          .withColumn("c", F.monotonically_increasing_id()), "classes")
     buckets = leaves(classes.select("c", "sig"), similarity, fan, recall, limit)
     dealt = deal(buckets.join(classes.select("c", "sig"), "c"), "path", "c", F.ceil(F.col("members") / F.lit(block)))
     tied = components(_candidate_links(dealt, least_agreement(similarity)).distinct(), "a", "b")
-    tied = tied.withColumnsRenamed({"node": "c", "component": "group"}).join(classes.select("c", "n"), "c")
+    tied = tied.withColumnsRenamed({"node": "c", "component": "group"}).join(classes.select("c", "n", "owner.h", "owner.th"), "c")
     load = tied.groupBy("group").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(exact_block)), F.ceil(F.sum("n") * 8 / F.lit(block_bytes))).alias("n_blocks"))
-    tied = stage(tied.join(load, "group").select("c", "group", "n_blocks"), "tied")
-    sets = _sets_of(named.join(tied, named["ref"] == tied["c"]), size)
+    tied = stage(tied.join(load, "group").select("c", "h", "th", "group", "n_blocks"), "tied")
+    sets = _sets_of(named.join(tied, ["h", "th"]), size)
     found = stage(_exact_links(deal(sets, "group", "c", F.col("n_blocks")), similarity), "found")
     links = found.groupBy("c").agg(F.sum("links").alias("n_links"))
-    classed = components(found.where(F.col("root") != F.col("c")), "c", "root")
-    by_set = (classes.select("c", "k1", "k2").join(links, "c", "left")
-                     .join(classed.withColumnRenamed("node", "c"), "c", "left")
-                     .select("k1", "k2", F.col("c").alias("set_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                             F.coalesce("component", "c").alias("class_id")))
-    with_words = prints.select("ref", "k1", "k2").join(by_set, ["k1", "k2"])
+    classed = stage(components(found.where(F.col("root") != F.col("c")), "c", "root").withColumnRenamed("node", "c"), "classed")
+    leads = classed.join(classes.select("c", "owner"), "c").groupBy("component").agg(F.min("owner").alias("lead"))
+    by_set = (classes.select("c", "k1", "k2", "owner").join(links, "c", "left")
+                     .join(classed.join(leads, "component").select("c", "lead"), "c", "left")
+                     .select("k1", "k2", "owner", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("lead", "owner").alias("lead")))
+    with_words = prints.select("doc_id", "h", "th", "k1", "k2").join(by_set, ["k1", "k2"]).select(
+        "doc_id", F.col("owner.doc_id").alias("set_id"), "n_links", F.col("lead.doc_id").alias("class_id"), "h", "th",
+        ((F.col("h") == F.col("lead.h")) & (F.col("th") == F.col("lead.th"))).alias("stays"))
     wordless = named.where(~F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))).select(
-        "ref", F.col("ref").alias("set_id"), F.lit(0).cast("long").alias("n_links"), F.col("ref").alias("class_id"))
-    out = with_words.select("ref", "set_id", "n_links", "class_id").unionByName(wordless)
-    return out.select(F.when(F.col("ref") < NO_ID, F.col("ref")).alias(doc_id), "ref", "set_id", "n_links", "class_id")
+        "doc_id", F.col("doc_id").alias("set_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("class_id"), "h", "th",
+        F.lit(True).alias("stays"))
+    return with_words.unionByName(wordless).withColumnRenamed("doc_id", doc_id)
 
 
 def kept_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of `docs`, with all their columns, that stay: of each class the one with
-    the smallest doc_id, once."""
-    stay = join(docs, text, doc_id, **options).where(F.col("class_id") == F.col("ref")).select(F.col("ref").alias("_keep")).distinct()
-    rows = docs.withColumn("_ref", _reference(doc_id, text)).join(stay, F.col("_ref") == F.col("_keep"), "left_semi")
-    one = Window.partitionBy("_ref").orderBy(*[F.col(c) for c in docs.columns if c not in (text, doc_id)])
-    return rows.withColumn("_n", F.row_number().over(one)).where(F.col("_n") == 1).select(*docs.columns)
+    """The rows of `docs`, with all their columns, that stay: of each class the one with the smallest
+    doc_id (of several texts with that id the least by hash), once. Rows without words stay, once for each id
+    and text. The rest is as in `join`; no name of a column is in the way."""
+    stay = join(docs, text, doc_id, **options).where("stays").select(F.col("h"), F.col("th")).distinct()
+    h, th, n = unused(docs, "_h", "_th", "_n")
+    rows = docs.withColumns(dict(zip((h, th), _marks(doc_id, text))))
+    rows = rows.join(stay, (rows[h] == stay["h"]) & (rows[th] == stay["th"]), "left_semi")
+    one = Window.partitionBy(h, th).orderBy(*([F.col(f"`{c}`") for c in docs.columns if c not in (text, doc_id)] or [F.lit(0)]))
+    return rows.withColumn(n, F.row_number().over(one)).where(F.col(n) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(docs: DataFrame) -> DataFrame:

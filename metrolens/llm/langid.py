@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.llm.common import add_columns
+from metrolens.llm.common import add_columns, unused
 
 #: First code points of the script ranges (fixed values): a code point belongs to the
 #: last range that starts at or below it.
@@ -256,10 +256,14 @@ def identify(docs: DataFrame, model: Model, text: str = "text", penalty: float =
     return rest.mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:
-    """The rows of `docs` with a language: not `und`, and at least `min_score` of the letters in one language."""
-    marked = identify(docs, model, names=("_lang", "_score", "_spans"))
-    return marked.where((F.col("_lang") != "und") & (F.col("_score") >= min_score)).select(*docs.columns)
+def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of `docs` with a language: all but `und`, texts in several languages too. If
+    nothing was learned nothing can be told, and all rows stay. No name of a column is in
+    the way; the rest is as in `identify`."""
+    if not model.langs:
+        return docs
+    names = unused(docs, "_lang", "_score", "_spans")
+    return identify(docs, model, names=tuple(names)).where(F.col(names[0]) != "und").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metrolens.llm.common import WORD, prefix_sums, stage
+from metrolens.llm.common import WORD, prefix_sums, stage, unused
 
 #: A source is taken at most this often.
 MAX_EPOCHS = 3
@@ -85,17 +85,17 @@ def mixed_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     by one space). A document that the mix takes nothing of goes; so do those of size 0.
     What repeated rows take together comes from one of them."""
     plan = mix(docs, text, doc_id, source, seed=seed, **options).where(F.col("taken") > 0)
-    takes = (plan.groupBy(F.col("key").alias("_key"), F.col("key2").alias("_key2"))
-                 .agg(F.max("size").alias("_size"), F.sum("taken").alias("_taken")))
-    rows = docs.withColumns(dict(zip(("_k", "_k2"), row_keys(doc_id, text, source, seed))))
-    joined = rows.join(takes, (F.col("_k") == F.col("_key")) & (F.col("_k2") == F.col("_key2")))
-    first = Window.partitionBy("_k", "_k2").orderBy(*[F.col(c) for c in docs.columns if c not in (text, doc_id, source)], doc_id)
-    one = joined.withColumn("_n", F.row_number().over(first)).where(F.col("_n") == 1)
-    cut = F.col("_taken") % F.col("_size")
+    k, k2, size, taken, n = unused(docs, "_k", "_k2", "_size", "_taken", "_n")
+    takes = plan.groupBy("key", "key2").agg(F.max("size").alias(size), F.sum("taken").alias(taken))
+    rows = docs.withColumns(dict(zip((k, k2), row_keys(doc_id, text, source, seed))))
+    joined = rows.join(takes, (rows[k] == takes["key"]) & (rows[k2] == takes["key2"])).select(*[rows[f"`{c}`"] for c in rows.columns], takes[size], takes[taken])
+    first = Window.partitionBy(k, k2).orderBy(*[F.col(f"`{c}`") for c in docs.columns if c not in (text, doc_id, source)], doc_id)
+    one = joined.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1)
+    cut = F.col(taken) % F.col(size)
     head = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), cut.cast("int")), " ")
-    texts = F.concat(F.array_repeat(F.col(text), F.floor(F.col("_taken") / F.col("_size")).cast("int")),
+    texts = F.concat(F.array_repeat(F.col(text), F.floor(F.col(taken) / F.col(size)).cast("int")),
                      F.when(cut > 0, F.array(head)).otherwise(F.array().cast("array<string>")))
-    return one.withColumn(text, F.explode(texts)).select(*docs.columns)
+    return one.withColumn(text, F.explode(texts)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(docs: DataFrame) -> DataFrame:

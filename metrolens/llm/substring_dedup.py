@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metrolens.llm.blocks import units
 from metrolens.llm.common import discard, shuffle_tasks, stage
@@ -117,15 +118,16 @@ def _bytes(column) -> list[bytes]:
 
 
 def _prints(docs: DataFrame) -> DataFrame:
-    """(ref, sha, n_words): the sha256 of each document's words joined by one space."""
+    """(doc_id, ref, sha, n_words): the sha256 of each document's words joined by one space."""
     def run(batches):
         for batch in batches:
-            words = [t.split() for t in _bytes(batch.column(1))]
+            words = [t.split() for t in _bytes(batch.column(2))]
             sha = [hashlib.sha256(b" ".join(w)).digest() for w in words]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sha, pa.binary()), pa.array([len(w) for w in words], pa.int64())],
-                                             names=["ref", "sha", "n_words"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(sha, pa.binary()), pa.array([len(w) for w in words], pa.int64())],
+                                             names=["doc_id", "ref", "sha", "n_words"])
 
-    return docs.select("ref", "text").mapInArrow(run, "ref long, sha binary, n_words long")
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("ref", T.LongType()), T.StructField("sha", T.BinaryType()), T.StructField("n_words", T.LongType())])
+    return docs.select("doc_id", "ref", "text").mapInArrow(run, schema)
 
 
 def _anchors(docs: DataFrame, window: int) -> DataFrame:
@@ -259,7 +261,8 @@ def removed_words(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", w
 
     A word goes if it lies under a window of `window` words that also starts in a document
     with a smaller doc_id. Words are runs of anything but ASCII white space, unchanged;
-    null text has none. Rows without an id come after all others; rows that repeat an id
+    null text has none. Ids are whole numbers. Rows without one come after all others (among ids of
+    2^62 and more by a hash of their text); rows that repeat an id
     are one document's: none of them is smaller. Documents of equal words are one from the start: the
     smallest is compared, the others lose everything if they are as long as a window. An
     anchor with more than `shard_segments` different segments is counted window by window
@@ -296,10 +299,10 @@ def removed_words(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     removals = _removals(opened.select("ref", "sha", "text").join(loose, (F.col("ref") == F.col("_ref")) & (F.xxhash64("sha") == F.col("_key"))), window)
     removals = removals.dropDuplicates(["sha"])
     judged = classes.withColumnRenamed("ref", "_first").join(removals, "sha", "left")
-    out = prints.select("ref", "sha", "n_words").join(judged, "sha")
+    out = prints.join(judged, "sha")
     copy = (F.col("ref") > F.col("_first")) & (F.col("n_words") >= window)
     return out.select(
-        F.when(F.col("ref") < NO_ID, F.col("ref")).alias(doc_id), "n_words",
+        F.col("doc_id").alias(doc_id), "n_words",
         F.when(copy, F.col("n_words")).when(F.col("ref") > F.col("_first"), F.lit(0)).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(copy, F.lit(EMPTY_SHA)).when(F.col("ref") > F.col("_first"), F.lower(F.hex("sha")))
          .otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"))
