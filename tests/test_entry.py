@@ -11,7 +11,7 @@ FAST = ["weather_hourly", "weather_by_condition", "precip_stats", "weather_gauge
         "dedupe_by_key", "bus_clean", "latest_per_key", "quality_counts", "aq_station_avg", "aq_pivot",
         "aq_corr_matrix", "box_stats", "pm_bands", "sensor_means", "aq_cells", "timetable_explode",
         "line_delay_summary", "keyed_scan", "city_report", "keyed_get", "keyed_upsert", "top_lines", "stops_csv",
-        "summary_text_table", "clean_table", "air_rotated", "aq_keyed_reload"]
+        "summary_text_table", "clean_table", "air_rotated", "aq_keyed_reload", "aq_series_stored", "weather_keyed", "nearest_stop", "nearest_departure"]
 
 
 def test_entry_runs(spark):
