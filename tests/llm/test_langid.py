@@ -1,6 +1,7 @@
 """Language ID: held-out accuracy, spans of mixed text, odd rows."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from metrolens.llm import langid
@@ -72,3 +73,24 @@ def test_empty_table_and_nothing_learned(spark):
     assert langid.query(empty).count() == 0
     model = langid.train(empty)
     assert langid.identify(spark.createDataFrame([(1, "abc", None, None)], SCHEMA), model).first()["lang_pred"] == "und"
+
+
+def test_viterbi_equals_all_ways():
+    """The best way by trying every one, for many texts at once."""
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    count = np.array([0, 1, 5, 3, 6, 2, 0, 4])
+    scores = rng.normal(0, 4, (count.sum(), 3)).astype(np.float32)
+    base = np.cumsum(count) - count
+    for penalty in (0.0, 2.5, 12.0):
+        path = langid.viterbi(scores, base, count, penalty)
+        for b, n in zip(base, count):
+            def worth(way):
+                return sum(scores[b + i, x] for i, x in enumerate(way)) - penalty * sum(x != y for x, y in zip(way, way[1:]))  # noqa: B023
+
+            if n:
+                best = max(itertools.product(range(3), repeat=int(n)), key=worth)
+                assert worth(tuple(path[b:b + n])) == pytest.approx(worth(best), abs=1e-4)

@@ -74,3 +74,21 @@ def test_prefix_sums_match_a_running_sum(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert mixing.mix(df).count() == 0 and mixing.mixed_documents(df).count() == 0
+
+
+def test_taken_equals_brute_force(spark):
+    """Whole epochs and a cut, walked through document by document in the order of the keys."""
+    docs = [r for r in rows() if r[0] != 5002]
+    got = mixing.mix(spark.createDataFrame(docs, SCHEMA).repartition(7)).collect()
+    for source in {r["source"] for r in got}:
+        mine = sorted((r for r in got if r["source"] == source), key=lambda r: (r["key"] % 2 ** 64, r["key2"]))
+        total = sum(r["size"] for r in mine)
+        assert {r["source_size"] for r in mine} == {total}
+        left = round(mine[0]["target"])
+        taken = [0] * len(mine)
+        while left and total:
+            for i, r in enumerate(mine):
+                some = min(left, r["size"])
+                taken[i] += some
+                left -= some
+        assert [r["taken"] for r in mine] == taken
