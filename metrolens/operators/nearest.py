@@ -20,7 +20,7 @@ from metrolens.operators.common import BROADCAST_MAX_BYTES, dedupe, fits, hash_p
 # Fixed value: default match radius in metres.
 MAX_DISTANCE_METERS = 700.0
 #: A cell with more targets is split; cells have sizes of radius / 2**level, the last about ten metres here.
-MOST_CANDIDATES, LEVELS = 32, (0, 1, 3, 6)
+MOST_CANDIDATES, LEVELS = 64, (0, 1, 3, 6)
 
 STOP_COLUMNS = ["stop_zespol", "stop_slupek", "stop_name", "stop_lat", "stop_lon"]
 
