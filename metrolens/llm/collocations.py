@@ -6,8 +6,8 @@ stripes over many texts, and the stripes of one prefix are merged entry by entry
 stripe tells the extensions of its prefix (its entries), how often the prefix occurs (their
 sum), and the largest extension, which may make the prefix redundant.
 
-Stripes begin only at words, and then at pairs, that can be frequent: bit tables of bounded
-size, without false negatives, tell which. Stripes of words with a large share of all words
+There is a pass for each length of prefix, and stripes begin only at phrases that can be
+frequent: bit tables of bounded size, without false negatives, tell which. Stripes of words with a large share of all words
 are split by the next word, so none is gathered whole in one task."""
 
 from __future__ import annotations
@@ -84,7 +84,7 @@ def in_table(table: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def bit_table(phrases: DataFrame) -> np.ndarray:
-    """A table of the hashes of (lang, words) rows, `words` being one or two. Pages are made by tasks;
+    """A table of the hashes of (lang, words) rows, all of as many words. Pages are made by tasks;
     the driver gets the table, whose size is bounded."""
     n = phrases.count()
     bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * n - 1).bit_length() if n else 0))
@@ -93,9 +93,9 @@ def bit_table(phrases: DataFrame) -> np.ndarray:
         for batch in batches:
             if batch.num_rows:
                 langs, words = batch.column(0).to_pylist(), [w.encode().split(b" ") for w in batch.column(1).to_pylist()]
-                h = np.concatenate([word_hash(lang, w[:1]) for lang, w in zip(langs, words)])
-                if len(words[0]) == 2:
-                    h = pair_hash(h, np.concatenate([word_hash(lang, w[1:]) for lang, w in zip(langs, words)]))
+                h, *more = [np.concatenate([word_hash(lang, w[k:k + 1]) for lang, w in zip(langs, words)]) for k in range(len(words[0]))]
+                for x in more:
+                    h = pair_hash(h, x)
                 at = np.unique(np.concatenate(bit_places(h, bits))).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(at // _PAGE), pa.array((at % _PAGE).astype(np.int32))], names=["page", "at"])
 
@@ -169,9 +169,12 @@ def _strings(words: pa.Array) -> pa.Array:
     return words.view(pa.string())  # cut at ASCII characters, so still UTF-8
 
 
-STRIPE = T.StructType([T.StructField("lang", T.StringType()), T.StructField("prefix", T.StringType()), T.StructField("words", T.IntegerType()),
+#: Stripes as they travel: those of all prefixes with one first word (and one shard of it) in a
+#: row. `entries` are the other words of the prefix and the next word, if any (the text ends with a space
+#: otherwise), joined by tabs; `n` has their counts as 64-bit integers one after the other.
+STRIPE = T.StructType([T.StructField("lang", T.StringType()), T.StructField("first", T.StringType()), T.StructField("words", T.IntegerType()),
                        T.StructField("shards", T.IntegerType()), T.StructField("shard", T.IntegerType()),
-                       T.StructField("next", T.ArrayType(T.StringType())), T.StructField("n", T.ArrayType(T.LongType()))])
+                       T.StructField("entries", T.StringType()), T.StructField("n", T.BinaryType())])
 _NAMES = STRIPE.names
 
 
@@ -187,32 +190,36 @@ def _count(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "lang string, word string, n long")
 
 
-def _rows(lang: str, words: int, prefix, of_first: np.ndarray, keys: np.ndarray, vocabulary: pa.Array, hashes: np.ndarray, shards: np.ndarray):
-    """Stripes from keys (prefix number << 32 | next word + 1): `prefix(numbers)` gives the
-    prefixes' texts, `of_first` their first words."""
+def _rows(chunk: Chunk, parts: list[np.ndarray], keys: np.ndarray, vocabulary: pa.Array, hashes: np.ndarray, shards: np.ndarray):
+    """Rows of stripes from keys (prefix number << 32 | next word + 1). parts: the words of the distinct prefixes, by
+    place in the prefix; prefixes are numbered in the order of their first words."""
     u, n = np.unique(keys, return_counts=True)
-    first, after = u >> 32, (u & 0xFFFFFFFF) - 1
-    of = shards[of_first[first]]
+    prefix, after = u >> 32, (u & 0xFFFFFFFF) - 1
+    first = parts[0][prefix]
+    of = shards[first]
     shard = np.where(after >= 0, (hashes[after] >> np.uint64(7)) % of.astype(np.uint64), 0).astype(np.int64)
-    order = np.lexsort((shard, first)) if (of > 1).any() else np.arange(len(u))
-    first, after, shard, of, n = first[order], after[order], shard[order], of[order], n[order]
+    if (of > 1).any():
+        order = np.lexsort((shard, first))
+        prefix, after, first, shard, of, n = (x[order] for x in (prefix, after, first, shard, of, n))
     begin = np.flatnonzero(np.append(True, (np.diff(first) != 0) | (np.diff(shard) != 0))) if len(u) else np.zeros(0, np.int64)
-    end = np.append(begin[1:], len(u))
+    at, m = np.append(begin, len(u)), len(parts)
     for a in range(0, len(begin), 20_000):
         b = min(a + 20_000, len(begin))
-        lo, hi = begin[a], end[b - 1]
-        offsets = pa.array(np.append(begin[a:b], hi) - lo, pa.int32())
-        nexts = vocabulary.take(pa.array(after[lo:hi], mask=after[lo:hi] < 0))
-        at = begin[a:b]
+        lo, hi, rows = at[a], at[b], begin[a:b]
+        words = [vocabulary.take(pa.array(x[prefix[lo:hi]])) for x in parts[1:]]
+        words.append(pc.fill_null(vocabulary.take(pa.array(after[lo:hi], mask=after[lo:hi] < 0)), b""))
+        entries = pc.binary_join_element_wise(*words, b" ") if len(words) > 1 else words[0]
+        offsets = (at[a:b + 1] - lo).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(offsets * 8), pa.py_buffer(n[lo:hi].astype(np.int64))])
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), entries), b"\t")
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * (b - a)), _strings(prefix(first[at])), pa.array(np.full(b - a, words, np.int32)), pa.array(of[at].astype(np.int32)),
-             pa.array(shard[at].astype(np.int32)), pa.ListArray.from_arrays(offsets, _strings(nexts)),
-             pa.ListArray.from_arrays(offsets, pa.array(n[lo:hi].astype(np.int64)))], names=_NAMES)
+            [pa.array([chunk.lang] * (b - a)), _strings(vocabulary.take(pa.array(first[rows]))), pa.array(np.full(b - a, m, np.int32)),
+             pa.array(of[rows].astype(np.int32)), pa.array(shard[rows].astype(np.int32)), _strings(joined), packed], names=_NAMES)
 
 
-def _stripes(docs: DataFrame, table, heavy: dict, lengths: list[int]) -> DataFrame:
-    """The tasks' stripes of prefixes of `lengths` words: [1] with a table of words, or from
-    [2] on with a table of pairs, all of whose pairs must be in the table."""
+def _stripes(docs: DataFrame, table: np.ndarray, heavy: dict, m: int) -> DataFrame:
+    """The tasks' stripes of the prefixes of `m` words that the table has. A next word counts by
+    name if the `m` words that end with it are in the table too."""
     sc = docs.sparkSession.sparkContext
     shared, split = sc.broadcast(table), sc.broadcast(heavy)
 
@@ -222,68 +229,49 @@ def _stripes(docs: DataFrame, table, heavy: dict, lengths: list[int]) -> DataFra
             vocabulary = pa.array(words, pa.binary())
             hashes = word_hash(chunk.lang, words)
             shards = np.array([split.value.get((chunk.lang, w), 1) for w in words], np.int64)
-            own = (chunk.lang, vocabulary, hashes, shards)
-            if lengths == [1]:
-                good = np.append(in_table(shared.value, hashes), False)[ids]  # the last one is for -1
-                at = np.flatnonzero(good)
-                after = np.where(good[np.minimum(at + 1, len(ids) - 1)], ids[np.minimum(at + 1, len(ids) - 1)], -1)
-                yield from _rows(own[0], 1, lambda p: vocabulary.take(pa.array(p)), np.arange(len(words)), ids[at] << 32 | (after + 1), *own[1:])
-                continue
-            pair = np.zeros(len(ids) + max(lengths) + 1, bool)  # the pair that begins here may be frequent
-            both = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
-            pair[both] = in_table(shared.value, pair_hash(hashes[ids[both]], hashes[ids[both + 1]]))
-            at, number = np.flatnonzero(pair), None
-            parts = [ids[at]]  # the words of the distinct prefixes, by place in the prefix
-            number = np.arange(len(at))
-            for m in range(2, max(lengths) + 1):  # distinct prefixes of m words
-                whole, number, *parts = _extend(parts, number, ids, at, m)
-                if m in lengths:
-                    goes = pair[at + m - 1]
-                    after = np.where(goes, ids[np.where(goes, at + m, 0)], -1)
-
-                    def text(p, parts=parts):
-                        return pc.binary_join_element_wise(*[vocabulary.take(pa.array(x[p])) for x in parts], b" ")
-
-                    yield from _rows(own[0], m, text, parts[0], number << 32 | (after + 1), *own[1:])
-                on = pair[at + m - 1]
-                at, number = at[on], number[on]
+            at = np.flatnonzero(ids >= 0)
+            hashed = hashes[ids[at]]
+            for k in range(1, m):
+                goes = ids[at + k] >= 0  # the last one is -1, so this ends before the end
+                at, hashed = at[goes], hashed[goes]
+                hashed = pair_hash(hashed, hashes[ids[at + k]])
+            at = at[in_table(shared.value, hashed)]
+            known = np.zeros(len(ids) + 1, bool)  # the m words from here are in the table
+            known[at] = True
+            number, parts = ids[at], [np.arange(len(words))]
+            for k in range(1, m):  # numbers of the distinct prefixes, and their words
+                u, number = np.unique(number << 32 | ids[at + k], return_inverse=True)
+                parts = [*(x[u >> 32] for x in parts), u & 0xFFFFFFFF]
+            after = np.where(known[at + 1], ids[np.minimum(at + m, len(ids) - 1)], -1)
+
+            yield from _rows(chunk, parts, number << 32 | (after + 1), vocabulary, hashes, shards)
 
     return docs.mapInArrow(run, STRIPE)
 
 
-def _extend(parts: list[np.ndarray], number: np.ndarray, ids: np.ndarray, at: np.ndarray, m: int):
-    """Numbers of the distinct prefixes of m words that begin at `at`, and their words."""
-    if m == 2:
-        number = ids[at]
-        parts = [np.arange(int(number.max()) + 1 if len(number) else 0)]
-    u, fresh = np.unique(number << 32 | ids[at + m - 1], return_inverse=True)
-    return u, fresh, *[p[u >> 32] for p in parts], u & 0xFFFFFFFF
-
-
 def _merge(stripes: DataFrame, min_count: int) -> DataFrame:
-    """Stripes of the same (lang, prefix, shard) added entry by entry: (lang, prefix, words, total, best, next, n), the
-    entries being those of `min_count` or more. Rows come sorted; only the last stripe of a batch waits for the next."""
-    keys = ["lang", "prefix", "shard"]
-    schema = T.StructType([STRIPE["lang"], STRIPE["prefix"], STRIPE["words"], T.StructField("total", T.LongType()), T.StructField("best", T.LongType()),
-                           STRIPE["next"], STRIPE["n"]])
-
-    def add(rows: pa.Table):
-        """(first row of each stripe, its number of entries, entries, their counts)."""
+    """Stripes of the same (lang, first word, shard) added entry by entry, then told apart by prefix: (lang, prefix, words, total, best,
+    next, n), the entries being those of `min_count` or more. Rows come sorted; only the last ones of a batch wait for the next."""
+    keys = ["lang", "first", "shard"]
+    schema = T.StructType([STRIPE["lang"], T.StructField("prefix", T.StringType()), STRIPE["words"], T.StructField("total", T.LongType()),
+                           T.StructField("best", T.LongType()), T.StructField("next", T.ArrayType(T.StringType())),
+                           T.StructField("n", T.ArrayType(T.LongType()))])
+
+    def add(rows: pa.RecordBatch):
+        """(first row of each key, key of each entry, entries, their counts)."""
         changes = np.zeros(rows.num_rows, bool)
         changes[0] = True
         for k in keys:
-            c = rows.column(k).combine_chunks()
+            c = rows.column(k)
             changes[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
         group = np.cumsum(changes) - 1
-        nexts, n = rows.column("next").combine_chunks(), rows.column("n").combine_chunks()
-        coded = nexts.flatten().dictionary_encode()
-        code = pc.fill_null(coded.indices.cast(pa.int64()), -1).to_numpy(zero_copy_only=False) + 1
-        of = np.repeat(group, pc.list_value_length(nexts).to_numpy())
-        u, inverse = np.unique(of << 32 | code, return_inverse=True)
+        sizes = pc.binary_length(rows.column("n")).to_numpy() // 8
+        n = np.frombuffer(b"".join(rows.column("n").to_pylist()), np.int64)
+        coded = pc.split_pattern(rows.column("entries"), "\t").flatten().dictionary_encode()
+        u, inverse = np.unique(np.repeat(group, sizes) << 32 | coded.indices.to_numpy().astype(np.int64), return_inverse=True)
         total = np.zeros(len(u), np.int64)
-        np.add.at(total, inverse, n.flatten().to_numpy())
-        code = (u & 0xFFFFFFFF) - 1
-        return np.flatnonzero(changes), u >> 32, code, total, coded.dictionary
+        np.add.at(total, inverse, n)
+        return np.flatnonzero(changes), u >> 32, coded.dictionary.take(pa.array(u & 0xFFFFFFFF)), total
 
     def run(batches):
         held = None
@@ -291,35 +279,41 @@ def _merge(stripes: DataFrame, min_count: int) -> DataFrame:
             some = [x for x in (held, batch) if x is not None and x.num_rows]
             if not some:
                 continue
-            rows = pa.Table.from_batches(some)
-            first, group, code, n, words = add(rows)
+            rows = pa.Table.from_batches(some).combine_chunks().to_batches()[0]
+            first, group, entries, n = add(rows)
             last = len(first) - 1
-            done = len(first) if batch is None else last
-            if batch is not None:  # the last stripe, as one row
-                mine = group == last
-                entry = words.take(pa.array(code[mine], mask=code[mine] < 0))
-                whole = pa.array([0, len(entry)], pa.int32())
-                cols = [*(rows.column(c).combine_chunks().take(pa.array(first[last:])) for c in _NAMES[:5]),
-                        pa.ListArray.from_arrays(whole, entry), pa.ListArray.from_arrays(whole, pa.array(n[mine]))]
+            done = int(np.searchsorted(group, len(first) if batch is None else last))
+            if batch is not None:  # the last key, as one row
+                cols = [*(rows.column(c).take(pa.array(first[last:])) for c in _NAMES[:5]), pa.array(["\t".join(entries[done:].to_pylist())]),
+                        pa.array([n[done:].tobytes()], pa.binary())]
                 held = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, rows.schema)], schema=rows.schema)
             if done:
-                sel = group < done
-                yield from merged(rows, first[:done], group[sel], code[sel], n[sel], words)
-
-    def merged(rows, first, group, code, n, words):
-        total, best = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+                yield by_prefix(rows, first[group[:done]], entries[:done], n[:done])
+
+    def by_prefix(rows, row, entries, n):
+        words, head = rows.column("words")[0].as_py(), rows.column("first").take(pa.array(row))
+        if words > 1:
+            cut = pc.split_pattern(entries, " ", max_splits=1, reverse=True).flatten()
+            tails, nexts = cut.take(pa.array(np.arange(0, len(cut), 2))), cut.take(pa.array(np.arange(1, len(cut), 2)))
+            prefixes = pc.binary_join_element_wise(head, tails, " ")
+        else:
+            prefixes, nexts = head, entries
+        tail = prefixes.dictionary_encode().indices.to_numpy().astype(np.int64)
+        _, at, group = np.unique(row << 32 | tail, return_index=True, return_inverse=True)
+        total, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
         np.add.at(total, group, n)
-        real = code >= 0
+        real = pc.binary_length(nexts).to_numpy() > 0
         np.maximum.at(best, group[real], n[real])
-        shards = rows.column("shards").combine_chunks().to_numpy()[first]
-        keep = (total >= min_count) | (shards > 1)
-        entry = real & (n >= min_count) & keep[group]
+        keep = (total >= min_count) | (rows.column("shards").to_numpy()[row[at]] > 1)
+        entry = np.flatnonzero(real & (n >= min_count) & keep[group])
+        entry = entry[np.argsort(group[entry], kind="stable")]
         to = np.cumsum(keep) - 1
         offsets = pa.array(np.append(0, np.cumsum(np.bincount(to[group[entry]], minlength=int(keep.sum())))), pa.int32())
-        at = pa.array(first[keep])
-        yield pa.RecordBatch.from_arrays(
-            [*(rows.column(c).combine_chunks().take(at) for c in _NAMES[:3]), pa.array(total[keep]), pa.array(best[keep]),
-             pa.ListArray.from_arrays(offsets, words.take(pa.array(code[entry]))), pa.ListArray.from_arrays(offsets, pa.array(n[entry]))], names=schema.names)
+        kept = at[keep]
+        return pa.RecordBatch.from_arrays(
+            [rows.column("lang").take(pa.array(row[kept])), prefixes.take(pa.array(kept)), pa.array(np.full(len(kept), words, np.int32)),
+             pa.array(total[keep]), pa.array(best[keep]), pa.ListArray.from_arrays(offsets, nexts.take(pa.array(entry))),
+             pa.ListArray.from_arrays(offsets, pa.array(n[entry]))], names=schema.names)
 
     def slices(batches):
         for batch in batches:
@@ -351,12 +345,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_co
     everything = words.agg(F.sum("n")).first()[0] or 0
     heavy = {(r.lang, r.word.encode()): -(-r.n * SHARES // everything)  # at most SHARES words
              for r in words.where(F.col("n") * F.lit(SHARES) > F.lit(everything)).collect()}
-    known = bit_table(words.where(F.col("n") >= min_count).select("lang", "word"))
-    stripes = stage(_merge(_stripes(rows, known, heavy, [1]), min_count), "stripes")
-    if max_words > 2:
-        pairs = bit_table(stripes.select("lang", "prefix", F.explode("next").alias("w")).select("lang", F.concat_ws(" ", "prefix", "w")))
-        longer = _stripes(rows, pairs, heavy, list(range(2, max_words)))
-        stripes = stripes.unionByName(stage(_merge(longer, min_count), "stripes"))
+    frequent, stripes = words.where(F.col("n") >= min_count).select("lang", "word"), None
+    for m in range(1, max_words):
+        made = stage(_merge(_stripes(rows, bit_table(frequent), heavy, m), min_count), "stripes")
+        frequent = made.select("lang", "prefix", F.explode("next").alias("w")).select("lang", F.concat_ws(" ", "prefix", "w"))
+        stripes = made if stripes is None else stripes.unionByName(made)
 
     known = (stripes.groupBy("lang", F.col("prefix").alias("phrase")).agg(F.sum("total").alias("f"), F.max("best").alias("best"))
              .where(F.col("f") >= min_count))

@@ -99,10 +99,17 @@ def test_tables_have_no_false_negatives(spark):
 
 
 def test_stripes_of_one_prefix_are_merged_across_batches(spark):
-    rows = [("en", "the", 1, 2, 1, [f"w{j % 700}", None], [1, 2]) for j in range(23_000)] + [("en", "a", 1, 1, 0, ["b", "c"], [29, 1])]
+    def row(first, words, shards, shard, **n):
+        return ("en", first, words, shards, shard, "\t".join(x.replace("_", " ") for x in n), bytearray(np.array(list(n.values()), np.int64).tobytes()))
+
+    rows = [row("the", 1, 2, 1, **{f"w{j % 700}": 1, "": 2}) for j in range(23_000)] + [row("a", 1, 1, 0, b=29, c=1, **{"": 2}), row("b", 1, 1, 0, **{"": 40})]
     got = {r.prefix: r for r in collocations._merge(spark.createDataFrame(rows, collocations.STRIPE), 33).collect()}
-    assert list(got) == ["the"] and got["the"].total == 3 * 23_000 and got["the"].best == 33
+    assert sorted(got) == ["b", "the"] and got["the"].total == 3 * 23_000 and got["the"].best == 33
     assert sorted(zip(got["the"].next, got["the"].n)) == sorted((f"w{k}", 33) for k in range(23_000 % 700))
+    assert (got["b"].total, got["b"].best, got["b"].next) == (40, 0, [])
+    rows = [row("of", 2, 1, 0, the_end=20, the_=9, a_=3), row("of", 2, 1, 0, the_end=15, a_b=40), row("so", 2, 1, 0, it_is=1)]
+    got = {r.prefix: (r.words, r.total, r.best, r.next, r.n) for r in collocations._merge(spark.createDataFrame(rows, collocations.STRIPE), 30).collect()}
+    assert got == {"of the": (2, 44, 35, ["end"], [35]), "of a": (2, 43, 40, ["b"], [40])}
 
 
 def test_query_equals_sql(spark):
