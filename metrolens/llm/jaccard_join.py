@@ -261,7 +261,7 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int
     tied = tied.withColumnsRenamed({"node": "c", "component": "group"}).join(classes.select("c", "n", "owner.h", "owner.th"), "c")
     load = tied.groupBy("group").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(exact_block)), F.ceil(F.sum("n") * 8 / F.lit(block_bytes))).alias("n_blocks"))
     tied = stage(tied.join(load, "group").select("c", "h", "th", "group", "n_blocks"), "tied")
-    sets = _sets_of(named.join(tied, ["h", "th"]), size)
+    sets = _sets_of(named.join(tied.hint("merge"), ["h", "th"]), size)  # the same plan at every size
     found = stage(_exact_links(deal(sets, "group", "c", F.col("n_blocks")), similarity), "found")
     links = found.groupBy("c").agg(F.sum("links").alias("n_links"))
     classed = stage(components(found.where(F.col("root") != F.col("c")), "c", "root").withColumnRenamed("node", "c"), "classed")
