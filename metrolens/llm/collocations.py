@@ -31,7 +31,7 @@ SUBSUMED_PERCENT = 80
 #: A word with more than one in so many of all words has its stripes split.
 SHARES = 1024
 #: Distinct words, and words, that a task counts before it sends its stripes.
-FLUSH_WORDS, FLUSH_TOKENS = 300_000, 4 << 20
+FLUSH_WORDS, FLUSH_TOKENS = 250_000, 3 << 20
 #: Bits of a table: 16 for each entry, between these bounds (32 MB at most).
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28
 _PAGE = 1 << 15  # bits of a table's page, its unit of work
