@@ -92,9 +92,10 @@ def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
 
 
 def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary: str = "byte_bpe_50k.json",
-           end_id: int = 2, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
+           end_id: int = 2, capacity: int = CAPACITY, with_ids: bool = True, remember: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids) of every piece, with the task that
-    made it and its rank among that task's pieces of this length."""
+    made it and its rank among that task's pieces of this length. Without `remember` a worker
+    gives back the memory of its words after each task."""
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("piece", T.IntegerType()),
                            *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "task", "nth")),
                            *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else [])])
@@ -122,20 +123,23 @@ def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabula
                 if with_ids:
                     cols.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(found.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
+        if not remember:
+            enc.forget()
+            pa.default_memory_pool().release_unused()
 
     return docs.select(doc_id, text).mapInArrow(run, schema)
 
 
 def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary: str = "byte_bpe_50k.json",
-         end_id: int = 2, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
+         end_id: int = 2, capacity: int = CAPACITY, with_ids: bool = True, remember: bool = True) -> DataFrame:
     """The pieces of all rows of `docs` with sequence_id and offset (their place in it, gapless from 0).
 
     Each text (null: empty) gets `end_id` at its end, so a row has one piece at least; rows
     that repeat are packed as often. The order of equal pieces follows the tasks that made
     them. The driver gets the histogram (at most `capacity` rows), and the plan, whose size
     depends on the capacity, goes to the tasks. An empty table gives an empty result;
-    other columns play no part."""
-    made = stage(pieces(docs, text, doc_id, vocabulary, end_id, capacity, with_ids), "pieces")
+    other columns play no part. Without `remember` workers keep no words between tasks."""
+    made = stage(pieces(docs, text, doc_id, vocabulary, end_id, capacity, with_ids, remember), "pieces")
     counts = made.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = stage(counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))), "ranks")

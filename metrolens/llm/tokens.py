@@ -113,9 +113,10 @@ class Encoder:
         for name, i in names.items():
             self.size[i] = added.get(i, len(name))
             self.edge[i] = name.endswith("</w>")
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Give back the memory of remembered words."""
         self.number: dict[bytes, int] = {}  # words -> places in `starts`
         self.flat = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
@@ -189,7 +190,7 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of all texts (null: empty), and where those of each begin."""
         if len(self.number) > self.memo_words or self.held > self.memo_bytes:
-            self._forget()
+            self.forget()
         data, starts, firsts = cut([t or b"" for t in texts.cast(pa.large_binary()).to_pylist()], self.keeps_space)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
