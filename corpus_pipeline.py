@@ -32,8 +32,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces in sequences of at most 1024 tokens."""
-    return packing.query(docs)
+    """Pieces in sequences of at most 1024 tokens. The workers serve other stages too, so
+    they do not remember words between tasks."""
+    return packing.pack(docs, with_ids=False, remember=False)
 
 
 STAGES = [
