@@ -68,26 +68,44 @@ def candidate_cells(targets: DataFrame, grid: Grid, lat: str, lon: str, most: in
     With d the distance of a target from the cell's centre and h that of its farthest corner, the
     nearest target of no point lies beyond least(d) + 2h, nor beyond the radius + h. A cell with more
     than `most` targets is split into the cells of the next of `levels` (of size radius / 2**level).
-    Everything after the first shuffle, by the cell of level 0, is sorted within its tasks."""
+    It tells each part whether it holds a target: its least(d) is then h at most, so that rows
+    beyond 3h are not even sorted. There is one shuffle, by the cell of level 0; everything after
+    it is sorted within its tasks."""
     names = targets.columns
     cell = ["_band0", "_cell0", "_level", "_band", "_cell"]
-    c = grid_targets(targets, grid, lat, lon).repartition("_band", "_cell")
-    c = c.select("_nc", *names, F.inline(F.array(F.struct(F.col("_band").alias("_band0"), F.col("_cell").alias("_cell0"), F.lit(0).alias("_level"), "_band", "_cell"))))
-    together = Window.partitionBy("_band0", "_cell0", "_level", "_band", "_cell")
+    c = grid_targets(targets, grid, lat, lon)
+    first = F.struct(F.col("_band").alias("_band0"), F.col("_cell").alias("_cell0"), F.lit(0).alias("_level"), "_band", "_cell", F.lit(False).alias("_held"))
+    c = c.select("_nc", *names, F.inline(F.array(first))).repartition("_band0", "_cell0")
+    together = Window.partitionBy(*cell)
     for level, finer in zip(levels, [*levels[1:], None]):
         c = _measured(c, grid, lat, lon)
-        c = c.where(F.col("_d") <= F.lit(grid.radius_m) + F.col("_h")).withColumn("_least", F.min("_d").over(together))
+        near = (F.col("_d") <= F.lit(grid.radius_m) + F.col("_h")) & (~F.col("_held") | (F.col("_d") <= F.col("_h") * 3))
+        c = c.where(near).withColumn("_least", F.min("_d").over(together))
         c = c.where(F.col("_d") <= F.col("_least") + F.col("_h") * 2)
         if finer is not None:
             n = 1 << (finer - level)
-            c = c.withColumn("_n", F.count(F.lit(1)).over(together))
+            c = c.withColumns({"_n": F.count(F.lit(1)).over(together), "_parts": F.bit_or(_part_of(grid, lat, lon, finer, n)).over(together)})
             more = (F.col("_level") == level) & (F.col("_n") > most)
-            parts = F.array(*[F.struct(F.lit(finer).alias("_level"), (F.col("_band") * n + i).alias("_band"), (F.col("_cell") * n + j).alias("_cell"))
+            parts = F.array(*[F.struct(F.lit(finer).alias("_level"), (F.col("_band") * n + i).alias("_band"), (F.col("_cell") * n + j).alias("_cell"), _holds(i * n + j, n).alias("_held"))
                               for i in range(n) for j in range(n)])
-            c = c.select("_band0", "_cell0", "_nc", *names, F.inline(F.when(more, parts).otherwise(F.array(F.struct("_level", "_band", "_cell")))))
+            c = c.select("_band0", "_cell0", "_nc", *names, F.inline(F.when(more, parts).otherwise(F.array(F.struct("_level", "_band", "_cell", "_held")))))
     return c.select(*cell, *names)
 
 
+def _part_of(grid: Grid, lat: str, lon: str, finer: int, n: int) -> Column:
+    """The bit of that of the n x n parts of the row's cell, cells of level `finer`, that the target lies in; null outside the cell."""
+    scale = F.lit(1 << finer)
+    band = F.floor(F.col(lat) / F.lit(grid.cell_lat) * scale).cast("long") - F.col("_band") * n
+    column = F.pmod(F.floor((F.col(lon) + F.lit(180.0)) * F.col("_nc") / F.lit(360.0) * scale).cast("long"), F.col("_nc") * scale) - F.col("_cell") * n
+    inside = band.between(0, n - 1) & column.between(0, n - 1)
+    return F.when(inside, F.call_function("shiftleft", F.lit(1).cast("long"), (band * n + column).cast("int")))
+
+
+def _holds(part: int, n: int) -> Column:
+    """Whether a part is known to hold a target; a long tells it of up to 64 parts."""
+    return F.coalesce(F.getbit("_parts", F.lit(part)) == 1, F.lit(False)) if n * n <= 64 else F.lit(False)
+
+
 def _measured(cells: DataFrame, grid: Grid, lat: str, lon: str) -> DataFrame:
     """The rows with _d, the distance of the target from the centre of the cell, and _h, that of its farthest corner."""
     scale = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_level"))

@@ -162,3 +162,20 @@ def test_candidates_are_bounded_where_stops_are_dense(spark):
     per_point = [r["count"] for r in met.groupBy("id").count().collect()]
     assert len(per_point) > 300 and max(per_point) <= 120 and sum(per_point) / len(per_point) <= 64
     assert_same(nearest_named(spark, points, targets, 700.0), brute_nearest(points, targets, 700.0))
+
+
+def test_dense_stops_are_dealt_once_and_parts_are_told_of_their_stops(spark):
+    """One shuffle, by the cell of level 0; a split cell tells its parts which hold stops."""
+    import random
+
+    from metrolens.functions.geo import Grid
+    from metrolens.operators.nearest import candidate_cells
+    from tests.conftest import plan_text
+
+    rnd = random.Random(23)
+    targets = [(f"t{i:05d}", 52.0 + rnd.uniform(0, 0.02), 21.0 + rnd.uniform(0, 0.03)) for i in range(6_000)]
+    cells = candidate_cells(spark.createDataFrame(targets, "name string, stop_lat double, stop_lon double"), Grid(700.0, 1), "stop_lat", "stop_lon")
+    plan = plan_text(cells)
+    assert plan.count("Exchange hashpartitioning") == 1 and "bit_or" in plan
+    points = [(i, 52.0 + rnd.uniform(-0.008, 0.028), 21.0 + rnd.uniform(-0.01, 0.04)) for i in range(300)]
+    assert_same(nearest_named(spark, points, targets, 700.0, most=3, levels=(0, 2)), brute_nearest(points, targets, 700.0))
