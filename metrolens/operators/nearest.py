@@ -154,7 +154,9 @@ def candidate_pairs(points: DataFrame, targets: DataFrame, radius_m: float, *, p
 
     Cells that are sure to be small by the scan's statistics are broadcast (no job runs to
     decide it), and a point asks for its cell of every level. Otherwise both sides are shuffled: by
-    the cell of level 0 to learn the levels there, then by the cell. AQE splits a skewed cell."""
+    the cell of level 0 to learn the levels there, then by the cell. AQE splits a skewed cell. Those
+    joins say so by a hint: the planner does not count the copies that generators make, takes the cells
+    to be as small as the file of targets and would broadcast them, millions of rows, through the driver."""
     grid = Grid(radius_m, 1)
     t = targets.where(_valid_coords(target_lat, target_lon))
     t = dedupe(t, keys=[target_lat, target_lon], order=[F.col(c).asc_nulls_last() for c in order])
@@ -175,10 +177,11 @@ def candidate_pairs(points: DataFrame, targets: DataFrame, radius_m: float, *, p
         p = p.select(*points.columns, F.inline(F.array(*[place(F.lit(x), nc) for x in levels])))
     else:
         first = F.struct(grid.band(point_lat).alias("_band0"), grid.column(point_lon, nc).alias("_cell0"), nc.alias("_nc"))
-        p = p.select(*points.columns, F.inline(F.array(first))).join(cells.select("_band0", "_cell0", "_level").distinct(), ["_band0", "_cell0"])
+        p = p.select(*points.columns, F.inline(F.array(first))).join(
+            cells.select("_band0", "_cell0", "_level").distinct().hint("merge"), ["_band0", "_cell0"])
         p = p.select(*points.columns, F.inline(F.array(place(F.col("_level"), F.col("_nc")))))
     cells = cells.drop("_band0", "_cell0")
-    met = p.join(F.broadcast(cells) if small else cells, ["_level", "_band", "_cell"])
+    met = p.join(F.broadcast(cells) if small else cells.hint("merge"), ["_level", "_band", "_cell"])
     return met.select(*points.columns, *targets.columns)
 
 

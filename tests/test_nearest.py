@@ -179,3 +179,16 @@ def test_dense_stops_are_dealt_once_and_parts_are_told_of_their_stops(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "bit_or" in plan
     points = [(i, 52.0 + rnd.uniform(-0.008, 0.028), 21.0 + rnd.uniform(-0.01, 0.04)) for i in range(300)]
     assert_same(nearest_named(spark, points, targets, 700.0, most=3, levels=(0, 2)), brute_nearest(points, targets, 700.0))
+
+
+def test_cells_that_may_be_large_are_not_broadcast(spark):
+    """The scan's size says nothing of the copies of a target: the planner alone would broadcast all cells."""
+    from tests.conftest import plan_text
+
+    stops = normalize_stops(spark.createDataFrame([(f"{i:04d}_01", None, f"s{i}", 52.0 + i / 5000, 21.0) for i in range(50)], STOPS))
+    pings = spark.createDataFrame([("L1", f"v{i}", "1", 52.0 + i / 5000, 21.001, None) for i in range(50)], PINGS)
+    assert "BroadcastHashJoin" in plan_text(nearest_stop(pings, stops, broadcast_max_bytes=64 << 20))
+    shuffled = nearest_stop(pings, stops, broadcast_max_bytes=0)
+    plan = plan_text(shuffled)
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 2
+    assert shuffled.count() == 50
