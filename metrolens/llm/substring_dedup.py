@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.llm.blocks import units
 from metrolens.llm.common import discard, shuffle_tasks, stage
 from metrolens.llm.words import in_chunks, mix, word_hashes
 
@@ -63,18 +62,15 @@ class Automaton:
         self.length = [0]
         self.number = [0]
 
-    def _state(self, length: int, follow: dict, link: int, number: int) -> int:
-        self.next.append(follow)
-        self.link.append(link)
-        self.length.append(length)
-        self.number.append(number)
-        return len(self.next) - 1
-
     def _clone(self, p: int, word: str) -> int:
         q = self.next[p][word]
         if self.length[q] == self.length[p] + 1:
             return q
-        copy = self._state(self.length[p] + 1, dict(self.next[q]), self.link[q], self.number[q])
+        copy = len(self.next)
+        self.next.append(dict(self.next[q]))
+        self.link.append(self.link[q])
+        self.length.append(self.length[p] + 1)
+        self.number.append(self.number[q])
         self.link[q] = copy
         while p >= 0 and self.next[p].get(word) == q:
             self.next[p][word] = copy
@@ -82,29 +78,44 @@ class Automaton:
         return copy
 
     def add(self, words: list[str], number: int) -> None:
+        follow, link, length = self.next, self.link, self.length
         last = 0
         for word in words:
-            if word in self.next[last]:
+            if word in follow[last]:
                 last = self._clone(last, word)
                 continue
-            new = self._state(self.length[last] + 1, {}, 0, number)
+            new = len(follow)
+            follow.append({})
+            link.append(0)
+            length.append(length[last] + 1)
+            self.number.append(number)
             p = last
-            while p >= 0 and word not in self.next[p]:
-                self.next[p][word] = new
-                p = self.link[p]
-            if p >= 0:
-                self.link[new] = self._clone(p, word)
+            while p >= 0:
+                if word in follow[p]:
+                    link[new] = self._clone(p, word)
+                    break
+                follow[p][word] = new
+                p = link[p]
             last = new
 
-    def first_of_windows(self, words: list[str], window: int) -> list[int]:
-        """Stream words that are held: for each window of them the number of the first text that holds it."""
-        out, state = [], 0
-        for i, word in enumerate(words):
-            state = self.next[state][word]
-            while self.length[self.link[state]] >= window:
-                state = self.link[state]
-            if i >= window - 1:
-                out.append(self.number[state])
+    def first_of_windows(self, words: list[str], window: int, absent: int | None = None) -> list[int | None]:
+        """Stream words for matching statistics: for each window of them the number of the first text that holds it, or
+        `absent`. `held` of the words up to here, at least, are a string of the state, and the window is one if that many are."""
+        follow, link, length, number = self.next, self.link, self.length, self.number
+        out, state, held = [], 0, 0
+        for i, word in enumerate(words, 1):
+            to = follow[state].get(word)
+            while to is None and state:
+                state = link[state]
+                held = length[state]
+                to = follow[state].get(word)
+            if to is not None:
+                state, held = to, held + 1
+                while length[link[state]] >= window:
+                    state = link[state]
+                    held = length[state]
+            if i >= window:
+                out.append(number[state] if held >= window else absent)
         return out
 
 
@@ -187,34 +198,50 @@ def first_documents(segments: list[list[str]], low: list[int], at: list[int], wi
 
     A window holds the anchor and, on one side of it at least, half of its other words. So a
     segment whose words on neither side are those of another one has nothing in common
-    with the others; the rest are added to the automaton and streamed over it."""
+    with the others. Each of the rest is streamed over the automaton of those before it and
+    then added, unless it is the last; the first has none before it."""
     half = (window - GRAM + 1) // 2
     sides = [(tuple(w[max(0, p - half):p]), tuple(w[p + GRAM:p + GRAM + half])) for w, p in zip(segments, at)]
     left, right = Counter(s[0] for s in sides), Counter(s[1] for s in sides)
+    met = [i for i, (a, b) in enumerate(sides) if left[a] > 1 or right[b] > 1]
+    firsts = [[number] * (len(words) - window + 1) for words, number in zip(segments, low)]
     automaton = Automaton()
-    met = [left[a] > 1 or right[b] > 1 for a, b in sides]
-    for words, number, m in zip(segments, low, met):
-        if m:
-            automaton.add(words, number)
-    return [automaton.first_of_windows(words, window) if m else [number] * (len(words) - window + 1)
-            for words, number, m in zip(segments, low, met)]
+    for i, following in zip(met, met[1:]):
+        automaton.add(segments[i], low[i])
+        firsts[following] = automaton.first_of_windows(segments[following], window, low[following])
+    return firsts
 
 
 def _by_automaton(references: DataFrame, window: int) -> DataFrame:
     """(anchor, segment_hash, firsts): for each window of a segment the smallest document that
     holds it, where that is smaller than some document with the segment. references: (anchor,
     low, high, segment, segment_hash, at), the rows of an anchor in ascending order of low."""
-    def run(batches):
-        for unit in units(batches, 1):
-            low, high = unit.column(1).to_pylist(), unit.column(2).to_pylist()
-            if low[0] == max(high):  # one document's anchor, or its copies'
+    def judged(table: pa.Table) -> pa.RecordBatch:
+        anchor = table.column(0).to_numpy()
+        low, high, segment, at = (table.column(i).to_pylist() for i in (1, 2, 3, 5))
+        cuts = [0, *(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1).tolist(), len(anchor)]
+        rows, firsts = [], []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if low[a] == max(high[a:b]):  # one document's anchor, or its copies'
                 continue
-            segments = [s.split(" ") for s in unit.column(3).to_pylist()]
-            firsts = first_documents(segments, low, unit.column(5).to_pylist(), window)
-            rows = [i for i, f in enumerate(firsts) if min(f) < high[i]]
-            if rows:
-                yield pa.RecordBatch.from_arrays([unit.column(0).combine_chunks().take(pa.array(rows)), unit.column(4).combine_chunks().take(pa.array(rows)),
-                                                  pa.array([firsts[i] for i in rows], pa.list_(pa.int64()))], names=["anchor", "segment_hash", "firsts"])
+            for i, f in enumerate(first_documents([s.split(" ") for s in segment[a:b]], low[a:b], at[a:b], window), a):
+                if min(f) < high[i]:
+                    rows.append(i)
+                    firsts.append(f)
+        names = ["anchor", "segment_hash", "firsts"]
+        return pa.RecordBatch.from_arrays([pa.array(anchor[rows]), pa.array(table.column(4).to_numpy()[rows]), pa.array(firsts, pa.list_(pa.int64()))], names=names)
+
+    def run(batches):
+        rest = []  # the rows of the last anchor, which may go on in the next batch
+        for batch in batches:
+            table = pa.Table.from_batches([*rest, batch])
+            anchor = table.column(0).to_numpy()
+            last = int(np.searchsorted(anchor, anchor[-1])) if len(anchor) else 0
+            if last:
+                yield judged(table.slice(0, last))
+            rest = table.slice(last).to_batches()
+        if rest:
+            yield judged(pa.Table.from_batches(rest))
 
     key = ["anchor", "low", "segment"]
     ordered = references.repartition(shuffle_tasks(references.sparkSession), "anchor").sortWithinPartitions(*key)

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from metrolens.llm import substring_dedup as S
@@ -98,3 +99,30 @@ def test_equal_windows_share_an_anchor():
     seen = [set(anchor[text == i].tolist()) for i in range(20)]
     assert set.intersection(*seen)
     assert windows.sum() == sum(max(0, n - 12) for n in np.diff(first))
+
+
+def test_automaton_streams_words_that_it_does_not_hold():
+    automaton = S.Automaton()
+    assert automaton.first_of_windows(list("abcd"), 3, 9) == [9, 9]
+    automaton.add(list("abcde"), 1)
+    automaton.add(list("xbcdz"), 2)
+    assert automaton.first_of_windows(list("abcdzqbcdeabq"), 3, 9) == [1, 1, 2, 9, 9, 9, 1, 1, 9, 9, 9]
+
+
+def test_anchors_are_judged_together_by_the_batch(spark, monkeypatch):
+    """A task answers a batch of anchors with one batch, whether or not the last anchor goes on in the next."""
+    words = [f"w{i}" for i in range(13)]
+    rows = [(a, n, n, " ".join([*words, f"{n % 2}"]), n, 0) for a in range(40) for n in range(1, 4)]
+    references = spark.createDataFrame(rows, "anchor long, low long, high long, segment string, segment_hash long, at int")
+    made = []
+    monkeypatch.setattr(type(references), "mapInArrow", lambda self, run, schema: made.append((run, self)))
+    S._by_automaton(references, 13)
+    run, ordered = made[0]
+    tables = sorted((r.asDict() for r in ordered.collect()), key=lambda r: (r["anchor"], r["low"]))
+    whole = pa.Table.from_pylist(tables, pa.schema([("anchor", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("segment", pa.string()),
+                                                    ("segment_hash", pa.int64()), ("at", pa.int32())]))
+    want = [{"anchor": a, "segment_hash": n, "firsts": [1, 1 if n == 3 else 2]} for a in range(40) for n in (2, 3)]
+    for size in (1, 7, 50, 1000):
+        out = list(run(iter(whole.to_batches(size))))
+        assert len(out) <= len(whole.to_batches(size)) + 1
+        assert [r for b in out for r in b.to_pylist()] == want
