@@ -189,3 +189,21 @@ def test_cells_that_may_be_large_are_not_broadcast(spark):
     pings = spark.range(50).selectExpr("'L1' AS line", "string(id) AS vehicle_number", "'1' AS brigade", "52.0D + id / 5000 AS lat", "21.001D AS lon", "timestamp_ntz'2026-01-10 19:00:00' AS event_ts")
     plan = plan_text(nearest_stop(pings, stops, broadcast_max_bytes=0))
     assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 2
+
+
+def test_queries_that_match_pings_keep_large_cells_off_the_driver(spark, tmpdir_path, monkeypatch):
+    """The line summary, which the rankings, the report and the keyed tables read, and the keyed upsert: with more
+    stops than may be broadcast, at most the timetable's lists are."""
+    from metrolens.operators import nearest
+    from metrolens.plans import catalog
+    from tests.conftest import plan_text
+
+    tables = {"part": spark.range(50).selectExpr("id AS p_partkey", "'stop' AS p_name"),
+              "events": spark.range(50).selectExpr("id AS event_id", "timestamp_ntz'2024-01-10 08:00:00' AS ts", "id AS user_id", "'click' AS event_type"),
+              "lineitem": spark.range(50).selectExpr("id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber")}
+    for name, df in tables.items():
+        df.write.parquet(f"{tmpdir_path}/{name}.parquet")
+    monkeypatch.setattr(nearest, "fits", lambda *_: False)
+    for df in (catalog.summary(spark, tmpdir_path), catalog.q_keyed_upsert(spark, tmpdir_path)):
+        plan = plan_text(df)
+        assert plan.count("BroadcastExchange") <= 1 and plan.count("SortMergeJoin") >= 2
